@@ -1,7 +1,11 @@
 """Registry of the named queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each query reads the driver's tables at ``sf_dir`` (only the columns it
-needs) and runs one operator over the whole input.
+needs) and runs one operator over the whole input.  Double results that come
+from sums of many doubles (averages, standard deviations) are rounded to
+``FLOAT_DIGITS`` places here, at the very end, so that two engines summing in
+different orders produce identical values; the operators themselves return
+full precision.
 """
 
 from __future__ import annotations
@@ -9,28 +13,144 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.operators import variety
-from ledgerlens.sources.sales import sales_from_tables
+from ledgerlens.operators import percentiles, promotions, trailing, variety
+from ledgerlens.sources.sales import SALES_COLUMNS, sales_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+FLOAT_DIGITS = 4
 
 
 def _sales(spark, d, *cols):
-    return sales_from_tables(spark, d, cols)
+    return sales_from_tables(spark, d, cols or SALES_COLUMNS)
+
+
+def round_cols(df: DataFrame, *cols: str, digits: int = FLOAT_DIGITS) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+# ---- sales frame -------------------------------------------------------------
+
+def q_clean_sales(spark, d):
+    return _sales(spark, d)
+
+
+# ---- trailing-window mode -------------------------------------------------------
+
+_Q1_COLS = ("order_date", "status", "size", "qty", "state")
+
+
+def q_trailing_mode(spark, d):
+    return trailing.size_mode_by_state(_sales(spark, d, *_Q1_COLS))
+
+
+def q_trailing_mode_window_fn(spark, d):
+    return trailing.size_mode_by_state_window_fn(_sales(spark, d, *_Q1_COLS))
+
+
+# ---- median variety -----------------------------------------------------------
+
+_Q2_COLS = ("order_date", "state", "style", "sku", "size")
 
 
 def q_style_variety(spark, d):
-    return variety.style_variety(
-        _sales(spark, d, "order_date", "state", "style", "sku", "size"))
+    return variety.style_variety(_sales(spark, d, *_Q2_COLS))
 
 
 def q_median_variety(spark, d):
-    return variety.median_variety(
-        _sales(spark, d, "order_date", "state", "style", "sku", "size"))
+    return variety.median_variety(_sales(spark, d, *_Q2_COLS))
+
+
+# ---- qualification rate -------------------------------------------------------
+
+_Q3_COLS = ("order_id", "order_date", "status", "fulfilment", "courier_status",
+            "service_level", "amount", "state", "city", "promotion_ids")
+
+
+def q_valid_promotions(spark, d):
+    return promotions.valid_promotions(
+        _sales(spark, d, "order_id", "order_date", "promotion_ids"))
+
+
+def q_orders_3_valid_promos(spark, d):
+    return promotions.orders_with_valid_promos(
+        _sales(spark, d, "order_id", "order_date", "promotion_ids"))
+
+
+def q_state_avg_amount(spark, d):
+    df = promotions.state_avg_amount(
+        _sales(spark, d, "fulfilment", "courier_status", "amount", "state"))
+    return round_cols(df, "avg_amount")
+
+
+def q_cancelled_standard_base(spark, d):
+    return promotions.base_counts(
+        _sales(spark, d, "order_id", "status", "service_level", "amount",
+               "state", "city"))
+
+
+def q_qualification_rate(spark, d):
+    return promotions.qualification_rate(_sales(spark, d, *_Q3_COLS))
+
+
+# ---- dynamic percentile stddev --------------------------------------------------
+
+_Q4_COLS = ("order_id", "order_date", "sku", "amount", "promotion_ids")
+
+
+def _orders(spark, d):
+    return percentiles.promo_orders(_sales(spark, d, *_Q4_COLS))
+
+
+def _wide(spark, d):
+    return percentiles.percentile_stddev(_orders(spark, d))
+
+
+def _round_wide(df):
+    return round_cols(df, *[c for c in df.columns if c.startswith("stddev_")])
+
+
+def q_promo_count(spark, d):
+    return _orders(spark, d)
+
+
+def q_promo_cdf(spark, d):
+    return percentiles.promo_cdf(_orders(spark, d))
+
+
+def q_threshold_exact(spark, d):
+    return percentiles.threshold_exact(_orders(spark, d))
+
+
+def q_threshold_disc(spark, d):
+    return percentiles.threshold_disc(_orders(spark, d))
+
+
+def q_threshold_approx(spark, d):
+    return percentiles.threshold_approx(_orders(spark, d))
+
+
+def q_percentile_stddev(spark, d):
+    return _round_wide(_wide(spark, d))
 
 
 QUERIES: dict[str, Query] = {
+    "clean_sales": q_clean_sales,
+    "trailing_mode": q_trailing_mode,
+    "trailing_mode_window_fn": q_trailing_mode_window_fn,
     "style_variety": q_style_variety,
     "median_variety": q_median_variety,
+    "valid_promotions": q_valid_promotions,
+    "orders_3_valid_promos": q_orders_3_valid_promos,
+    "state_avg_amount": q_state_avg_amount,
+    "cancelled_standard_base": q_cancelled_standard_base,
+    "qualification_rate": q_qualification_rate,
+    "promo_count": q_promo_count,
+    "promo_cdf": q_promo_cdf,
+    "threshold_exact": q_threshold_exact,
+    "threshold_disc": q_threshold_disc,
+    "threshold_approx": q_threshold_approx,
+    "percentile_stddev": q_percentile_stddev,
 }

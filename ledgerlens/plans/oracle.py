@@ -69,9 +69,131 @@ sv AS (
   HAVING bool_or(size IN ('XXL', '3XL', '4XL', '5XL', '6XL'))
 )"""
 
+TRAILING_CTES = """
+t_lines AS (
+  SELECT upper(trim(state)) AS state, order_date AS day, trim(size) AS size
+  FROM sales
+  WHERE lower(status) LIKE '%shipped%' AND coalesce(qty, 0) > 0
+    AND state IS NOT NULL AND upper(trim(state)) <> '' AND upper(trim(state)) <> 'NULL'
+    AND size IS NOT NULL AND trim(size) <> '' AND order_date IS NOT NULL
+),
+t_daily AS (SELECT state, day, size, count(*) AS cnt FROM t_lines GROUP BY state, day, size),
+t_fan AS (
+  SELECT state, CAST(day + CAST(k AS INTEGER) AS DATE) AS target_date, size, cnt
+  FROM t_daily CROSS JOIN range(1, 8) AS r(k)
+),
+t_counts AS (
+  SELECT state, target_date, size, sum(cnt) AS cnt FROM t_fan GROUP BY state, target_date, size
+),
+t_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY state, target_date ORDER BY cnt DESC, size) AS rn
+  FROM t_counts
+)"""
+
+TRAILING_SQL = _q(TRAILING_CTES + """
+SELECT state, target_date, size AS top_size, CAST(cnt AS BIGINT) AS size_count
+FROM t_ranked WHERE rn = 1""")
+
+PROMO_CTES = """
+toks AS (
+  SELECT order_id, order_date, trim(tok) AS promotion_id
+  FROM (SELECT order_id, order_date, unnest(string_split(promotion_ids, ',')) AS tok
+        FROM sales WHERE promotion_ids IS NOT NULL AND trim(promotion_ids) <> '') x
+),
+valid AS (
+  SELECT promotion_id, min(order_date) AS first_seen, max(order_date) AS last_seen,
+         CAST(date_diff('day', min(order_date), max(order_date)) AS INTEGER) AS active_days
+  FROM toks WHERE promotion_id <> ''
+  GROUP BY promotion_id
+  HAVING date_diff('day', min(order_date), max(order_date)) >= 2
+),
+good AS (
+  SELECT order_id, count(DISTINCT promotion_id) AS valid_promo_count
+  FROM toks WHERE promotion_id IN (SELECT promotion_id FROM valid)
+  GROUP BY order_id HAVING count(DISTINCT promotion_id) >= 3
+),
+savg AS (
+  SELECT upper(trim(state)) AS state, avg(amount) AS avg_amount
+  FROM sales
+  WHERE fulfilment = 'Merchant' AND courier_status = 'Shipped'
+    AND state IS NOT NULL AND trim(state) <> ''
+  GROUP BY upper(trim(state))
+),
+base AS (
+  SELECT order_id, amount, upper(trim(state)) AS state, upper(trim(city)) AS city
+  FROM sales
+  WHERE status = 'Cancelled' AND service_level = 'Standard'
+    AND city IS NOT NULL AND trim(city) <> ''
+),
+denom AS (SELECT city, count(order_id) AS base_count FROM base GROUP BY city),
+numer AS (
+  SELECT b.city, count(b.order_id) AS qualified_count
+  FROM base b JOIN savg s ON b.state = s.state
+  JOIN good g ON b.order_id = g.order_id
+  WHERE b.amount < s.avg_amount
+  GROUP BY b.city
+)"""
+
+PCT_CTES = """
+po AS (
+  SELECT order_id, sku, CAST(month(order_date) AS INTEGER) AS month, CAST(amount AS DOUBLE) AS amount,
+         CAST(CASE WHEN promotion_ids IS NULL OR trim(promotion_ids) = '' THEN 0
+                   ELSE len(string_split(trim(promotion_ids), ',')) END AS INTEGER) AS promo_count
+  FROM sales
+  WHERE order_id IS NOT NULL AND sku IS NOT NULL AND amount IS NOT NULL AND order_date IS NOT NULL
+),
+thr AS (
+  SELECT sku, month, count(*) AS total_orders,
+         quantile_disc(promo_count, 0.8) AS p80, quantile_disc(promo_count, 0.9) AS p90
+  FROM po GROUP BY sku, month
+),
+res AS (
+  SELECT t.sku, t.month, t.total_orders, t.p80, t.p90,
+    count(*) FILTER (WHERE o.promo_count >= t.p80) AS o80,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.p80) AS s80,
+    count(*) FILTER (WHERE o.promo_count >= t.p90) AS o90,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.p90) AS s90
+  FROM thr t JOIN po o ON o.sku = t.sku AND o.month = t.month
+  GROUP BY t.sku, t.month, t.total_orders, t.p80, t.p90
+),
+wide AS (
+  SELECT sku, month, total_orders,
+    p80 AS threshold_p80_approx, o80 AS orders_p80_approx,
+    round(CASE WHEN o80 < 2 THEN 0.0 ELSE s80 END, 4) AS stddev_p80_approx,
+    p90 AS threshold_p90_approx, o90 AS orders_p90_approx,
+    round(CASE WHEN o90 < 2 THEN 0.0 ELSE s90 END, 4) AS stddev_p90_approx,
+    p80 AS threshold_p80_exact, o80 AS orders_p80_exact,
+    round(CASE WHEN o80 < 2 THEN 0.0 ELSE s80 END, 4) AS stddev_p80_exact,
+    p90 AS threshold_p90_exact, o90 AS orders_p90_exact,
+    round(CASE WHEN o90 < 2 THEN 0.0 ELSE s90 END, 4) AS stddev_p90_exact
+  FROM res
+)"""
+
 ORACLE: dict[str, str] = {
     "style_variety": _q(VARIETY_CTES + "\nSELECT month, state, style, variety FROM sv"),
     "median_variety": _q(VARIETY_CTES + """
 SELECT month, state, CAST(median(variety) AS DOUBLE) AS median_variety
 FROM sv GROUP BY month, state"""),
+    "clean_sales": _q("SELECT * FROM sales"),
+    "trailing_mode": TRAILING_SQL,
+    "trailing_mode_window_fn": TRAILING_SQL,
+    "valid_promotions": _q(PROMO_CTES + "\nSELECT * FROM valid"),
+    "orders_3_valid_promos": _q(PROMO_CTES + "\nSELECT * FROM good"),
+    "state_avg_amount": _q(PROMO_CTES + "\nSELECT state, round(avg_amount, 4) AS avg_amount FROM savg"),
+    "cancelled_standard_base": _q(PROMO_CTES + "\nSELECT * FROM denom"),
+    "qualification_rate": _q(PROMO_CTES + """
+SELECT d.city, d.base_count, coalesce(n.qualified_count, 0) AS qualified_count,
+       round(coalesce(n.qualified_count, 0) / d.base_count * 100, 2) AS pct_qualified
+FROM denom d LEFT JOIN numer n ON d.city = n.city"""),
+    "promo_count": _q(PCT_CTES + "\nSELECT * FROM po"),
+    "promo_cdf": _q(PCT_CTES + """
+SELECT sku, month, promo_count, freq,
+       CAST(sum(freq) OVER (PARTITION BY sku, month ORDER BY promo_count
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_freq,
+       CAST(sum(freq) OVER (PARTITION BY sku, month) AS BIGINT) AS n
+FROM (SELECT sku, month, promo_count, count(*) AS freq FROM po GROUP BY sku, month, promo_count) f"""),
+    "threshold_exact": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
+    "threshold_disc": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
+    "threshold_approx": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
+    "percentile_stddev": _q(PCT_CTES + "\nSELECT * FROM wide"),
 }

@@ -49,14 +49,24 @@ def main():
     bad = 0
     for name in names or list(qs):
         t0 = time.time()
-        df = qs[name](spark, sf_dir)
-        cols = df.columns
-        srows = [tuple(r) for r in df.collect()]
+        try:
+            df = qs[name](spark, sf_dir)
+            cols = df.columns
+            srows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            bad += 1
+            print(f"{name:28s} ERR {str(e).splitlines()[0][:300]}")
+            continue
         ts = time.time() - t0
         if name not in sqls:
             print(f"{name:28s} rows={len(srows):7d} spark={ts:5.1f}s  (no oracle)")
             continue
-        rel = con.sql(sqls[name])
+        try:
+            rel = con.sql(sqls[name])
+        except Exception as e:  # noqa: BLE001
+            bad += 1
+            print(f"{name:28s} SQL-ERR {str(e).splitlines()[0][:300]}")
+            continue
         dcols = rel.columns
         drows = rel.fetchall()
         order = sorted(range(len(cols)), key=lambda i: cols[i])
