@@ -15,8 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import percentiles, promotions, trailing, variety
+from ledgerlens.operators import compare, percentiles, promotions, quality, runs, trailing, variety
+from ledgerlens.session import scratch_path
+from ledgerlens.sources import logs, sinks
 from ledgerlens.sources.sales import SALES_COLUMNS, sales_from_tables
+from ledgerlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 FLOAT_DIGITS = 4
@@ -136,6 +139,137 @@ def q_percentile_stddev(spark, d):
     return _round_wide(_wide(spark, d))
 
 
+# ---- comparison reports ------------------------------------------------------
+
+def q_threshold_diff(spark, d):
+    o = _orders(spark, d)
+    return compare.threshold_diff(percentiles.threshold_approx(o),
+                                  percentiles.threshold_exact(o))
+
+
+def q_threshold_mismatch_top(spark, d):
+    o = _orders(spark, d)
+    diff = compare.threshold_diff(percentiles.threshold_approx(o),
+                                  percentiles.threshold_exact(o))
+    return compare.top_threshold_mismatches(diff, "p80", 20)
+
+
+def q_threshold_accuracy(spark, d):
+    return round_cols(compare.threshold_accuracy(_wide(spark, d)),
+                      "mismatch_rate_percent", "mean_abs_threshold_diff")
+
+
+def q_mismatch_union(spark, d):
+    return compare.mismatch_union(_wide(spark, d))
+
+
+def q_result_drift(spark, d):
+    df = compare.result_drift(_wide(spark, d))
+    return round_cols(df, "stddev_approx", "stddev_exact")
+
+
+def q_qualifying_diff_summary(spark, d):
+    return round_cols(compare.qualifying_diff_summary(_wide(spark, d)),
+                      "mean_abs_qualifying_count_diff", "mean_abs_stddev_diff",
+                      "max_abs_stddev_diff")
+
+
+# ---- validation and profile reports ------------------------------------------------
+
+def q_heavy_groups(spark, d):
+    return quality.heavy_groups(_orders(spark, d), ("sku", "month"), 1000)
+
+
+def q_heavy_months(spark, d):
+    return quality.heavy_groups(_orders(spark, d), ("month",), 1000)
+
+
+def q_top_groups(spark, d):
+    return quality.top_groups(_orders(spark, d), ("sku", "month"), 10)
+
+
+def q_validate_result(spark, d):
+    return quality.validate_result(_wide(spark, d))
+
+
+def q_zero_breakdown(spark, d):
+    return quality.zero_breakdown(_wide(spark, d))
+
+
+def q_overview(spark, d):
+    return round_cols(quality.overview(_wide(spark, d)), "mean_orders_per_group")
+
+
+def q_histogram(spark, d):
+    return round_cols(quality.histogram(_wide(spark, d), "total_orders", 50),
+                      "bin_lower", "bin_upper")
+
+
+def q_profile_summary(spark, d):
+    return quality.profile_summary(_sales(spark, d))
+
+
+def q_promo_distribution(spark, d):
+    return quality.promo_distribution(_sales(spark, d, "promotion_ids"))
+
+
+def q_date_format_classes(spark, d):
+    s = _sales(spark, d, "order_date")
+    text = s.select(F.date_format("order_date", "MM-dd-yy").alias("date_text"))
+    return quality.date_format_classes(text, "date_text")
+
+
+def q_sample_rows(spark, d):
+    return quality.sample_rows(
+        _sales(spark, d, "order_id", "sku", "order_date", "status", "amount",
+               "promotion_ids"))
+
+
+# ---- run-time reports over the event log ----------------------------------------------
+
+def _event_runs(spark, d):
+    ev = read_table(spark, d, "events",
+                    ["event_id", "user_id", "event_type", "value", "props"])
+    return runs.parse_run_lines(logs.event_run_log(ev))
+
+
+def q_runtime_pivot(spark, d):
+    return runs.runtime_pivot(_event_runs(spark, d), logs.TIMED_EVENT_TYPES)
+
+
+def q_runtime_summary(spark, d):
+    return runs.runtime_summary(_event_runs(spark, d), "click")
+
+
+def q_run_stats(spark, d):
+    r = _event_runs(spark, d).select("method", (F.col("ms") / 1000).alias("seconds"))
+    return runs.run_stats(r)
+
+
+# ---- sinks with read-back ---------------------------------------------------------------
+
+def q_parquet_roundtrip(spark, d):
+    path = scratch_path(spark, "qualification")
+    sinks.write_single_parquet(q_qualification_rate(spark, d), path, sort_by=["city"])
+    return sinks.read_back(spark, path, "parquet")
+
+
+def q_csv_roundtrip(spark, d):
+    path = scratch_path(spark, "median-variety")
+    sinks.write_single_csv(q_median_variety(spark, d), path, sort_by=["month", "state"])
+    return sinks.read_back(spark, path, "csv",
+                           "month string, state string, median_variety double")
+
+
+def q_json_roundtrip(spark, d):
+    path = scratch_path(spark, "run-stats")
+    sinks.write_json(q_run_stats(spark, d), path, sort_by=["method"])
+    return sinks.read_back(
+        spark, path, "json",
+        "method string, number_of_runs bigint, mean_seconds double, "
+        "stddev_seconds double, min_seconds double, max_seconds double")
+
+
 QUERIES: dict[str, Query] = {
     "clean_sales": q_clean_sales,
     "trailing_mode": q_trailing_mode,
@@ -153,4 +287,27 @@ QUERIES: dict[str, Query] = {
     "threshold_disc": q_threshold_disc,
     "threshold_approx": q_threshold_approx,
     "percentile_stddev": q_percentile_stddev,
+    "threshold_diff": q_threshold_diff,
+    "threshold_mismatch_top": q_threshold_mismatch_top,
+    "threshold_accuracy": q_threshold_accuracy,
+    "mismatch_union": q_mismatch_union,
+    "result_drift": q_result_drift,
+    "qualifying_diff_summary": q_qualifying_diff_summary,
+    "heavy_groups": q_heavy_groups,
+    "heavy_months": q_heavy_months,
+    "top_groups": q_top_groups,
+    "validate_result": q_validate_result,
+    "zero_breakdown": q_zero_breakdown,
+    "overview": q_overview,
+    "histogram": q_histogram,
+    "profile_summary": q_profile_summary,
+    "promo_distribution": q_promo_distribution,
+    "date_format_classes": q_date_format_classes,
+    "sample_rows": q_sample_rows,
+    "runtime_pivot": q_runtime_pivot,
+    "runtime_summary": q_runtime_summary,
+    "run_stats": q_run_stats,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+    "json_roundtrip": q_json_roundtrip,
 }

@@ -156,6 +156,18 @@ res AS (
   FROM thr t JOIN po o ON o.sku = t.sku AND o.month = t.month
   GROUP BY t.sku, t.month, t.total_orders, t.p80, t.p90
 ),
+wide_raw AS (
+  SELECT sku, month, total_orders,
+    p80 AS threshold_p80_approx, o80 AS orders_p80_approx,
+    CASE WHEN o80 < 2 THEN 0.0 ELSE s80 END AS stddev_p80_approx,
+    p90 AS threshold_p90_approx, o90 AS orders_p90_approx,
+    CASE WHEN o90 < 2 THEN 0.0 ELSE s90 END AS stddev_p90_approx,
+    p80 AS threshold_p80_exact, o80 AS orders_p80_exact,
+    CASE WHEN o80 < 2 THEN 0.0 ELSE s80 END AS stddev_p80_exact,
+    p90 AS threshold_p90_exact, o90 AS orders_p90_exact,
+    CASE WHEN o90 < 2 THEN 0.0 ELSE s90 END AS stddev_p90_exact
+  FROM res
+),
 wide AS (
   SELECT sku, month, total_orders,
     p80 AS threshold_p80_approx, o80 AS orders_p80_approx,
@@ -169,11 +181,87 @@ wide AS (
   FROM res
 )"""
 
+
+def _validate_sql() -> str:
+    parts = ["SELECT 'missing_required_columns' AS \"check\", CAST(0 AS BIGINT) AS violations",
+             "SELECT 'duplicate_keys', CAST(count(*) - (SELECT count(*) FROM "
+             "(SELECT DISTINCT sku, month FROM wide_raw)) AS BIGINT) FROM wide_raw"]
+    for m in ("approx", "exact"):
+        parts.append(f"SELECT 'threshold_p90_{m} >= threshold_p80_{m}', count(*) FILTER "
+                     f"(WHERE threshold_p90_{m} < threshold_p80_{m}) FROM wide_raw")
+        parts.append(f"SELECT 'orders_p90_{m} <= orders_p80_{m}', count(*) FILTER "
+                     f"(WHERE orders_p90_{m} > orders_p80_{m}) FROM wide_raw")
+        for l in ("p80", "p90"):
+            parts.append(f"SELECT 'orders_{l}_{m} <= total_orders', count(*) FILTER "
+                         f"(WHERE orders_{l}_{m} > total_orders) FROM wide_raw")
+            parts.append(f"SELECT 'stddev_{l}_{m} == 0 when orders_{l}_{m} < 2', count(*) FILTER "
+                         f"(WHERE orders_{l}_{m} < 2 AND abs(stddev_{l}_{m}) > 1e-12) FROM wide_raw")
+    return _q(PCT_CTES + "\n" + "\nUNION ALL\n".join(parts))
+
+
+def _zero_sql() -> str:
+    parts = []
+    for m in ("approx", "exact"):
+        for l in ("p80", "p90"):
+            o, sd = f"orders_{l}_{m}", f"stddev_{l}_{m}"
+            parts.append(
+                f"SELECT '{m}' AS method, '{l.upper()}' AS percentile, "
+                f"count(*) FILTER (WHERE {sd} = 0) AS zero_stddev_groups, "
+                f"count(*) FILTER (WHERE {o} < 2 AND {sd} = 0) AS zero_due_to_lt2_qualifying_orders, "
+                f"count(*) FILTER (WHERE {o} >= 2 AND {sd} = 0) AS zero_with_at_least_2_qualifying_orders, "
+                f"count(*) FILTER (WHERE {sd} <> 0) AS nonzero_stddev_groups FROM wide_raw")
+    return _q(PCT_CTES + "\n" + "\nUNION ALL\n".join(parts))
+
+
+def _by_level(select_for) -> str:
+    return "\nUNION ALL\n".join(select_for(l) for l in ("p80", "p90"))
+
+
+DIFF_CTE = """,
+diff AS (
+  SELECT sku, month, p80 AS p80_approx, p80 AS p80_exact, CAST(p80 - p80 AS INTEGER) AS p80_diff,
+         p90 AS p90_approx, p90 AS p90_exact, CAST(p90 - p90 AS INTEGER) AS p90_diff
+  FROM thr
+)"""
+
+EVENT_CTES = """
+ev AS (
+  SELECT CAST(event_id AS BIGINT) AS run, event_type AS method,
+         CAST(round("value" * 100) AS BIGINT) AS ms
+  FROM events WHERE event_type <> 'error'
+),
+per AS (
+  SELECT method, count(ms) AS runs, avg(ms) AS mean_ms, stddev_pop(ms) AS std_ms_population,
+         min(ms) AS min_ms, max(ms) AS max_ms
+  FROM ev GROUP BY method
+),
+stats AS (
+  SELECT method, count(ms / 1000) AS number_of_runs,
+         round(avg(ms / 1000), 6) AS mean_seconds,
+         round(CASE WHEN count(ms) < 2 THEN 0.0 ELSE stddev_samp(ms / 1000) END, 6) AS stddev_seconds,
+         round(min(ms / 1000), 6) AS min_seconds, round(max(ms / 1000), 6) AS max_seconds
+  FROM ev GROUP BY method
+)"""
+
+SAMPLE_SQL = _q("""
+s1 AS (SELECT * FROM sales WHERE amount IS NULL
+       ORDER BY order_id, sku, order_date, status, promotion_ids LIMIT 3)
+SELECT sku, strftime(order_date, '%m-%d-%y') AS date, status,
+       substring(promotion_ids, 1, 50) AS promo FROM s1""")
+
+MEDIAN_SQL = _q(VARIETY_CTES + """
+SELECT month, state, CAST(median(variety) AS DOUBLE) AS median_variety
+FROM sv GROUP BY month, state""")
+
+QUAL_SQL = _q(PROMO_CTES + """
+SELECT d.city, d.base_count, coalesce(n.qualified_count, 0) AS qualified_count,
+       round(coalesce(n.qualified_count, 0) / d.base_count * 100, 2) AS pct_qualified
+FROM denom d LEFT JOIN numer n ON d.city = n.city""")
+
 ORACLE: dict[str, str] = {
     "style_variety": _q(VARIETY_CTES + "\nSELECT month, state, style, variety FROM sv"),
-    "median_variety": _q(VARIETY_CTES + """
-SELECT month, state, CAST(median(variety) AS DOUBLE) AS median_variety
-FROM sv GROUP BY month, state"""),
+    "median_variety": MEDIAN_SQL,
+    "csv_roundtrip": MEDIAN_SQL,
     "clean_sales": _q("SELECT * FROM sales"),
     "trailing_mode": TRAILING_SQL,
     "trailing_mode_window_fn": TRAILING_SQL,
@@ -181,10 +269,8 @@ FROM sv GROUP BY month, state"""),
     "orders_3_valid_promos": _q(PROMO_CTES + "\nSELECT * FROM good"),
     "state_avg_amount": _q(PROMO_CTES + "\nSELECT state, round(avg_amount, 4) AS avg_amount FROM savg"),
     "cancelled_standard_base": _q(PROMO_CTES + "\nSELECT * FROM denom"),
-    "qualification_rate": _q(PROMO_CTES + """
-SELECT d.city, d.base_count, coalesce(n.qualified_count, 0) AS qualified_count,
-       round(coalesce(n.qualified_count, 0) / d.base_count * 100, 2) AS pct_qualified
-FROM denom d LEFT JOIN numer n ON d.city = n.city"""),
+    "qualification_rate": QUAL_SQL,
+    "parquet_roundtrip": QUAL_SQL,
     "promo_count": _q(PCT_CTES + "\nSELECT * FROM po"),
     "promo_cdf": _q(PCT_CTES + """
 SELECT sku, month, promo_count, freq,
@@ -196,4 +282,114 @@ FROM (SELECT sku, month, promo_count, count(*) AS freq FROM po GROUP BY sku, mon
     "threshold_disc": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
     "threshold_approx": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
     "percentile_stddev": _q(PCT_CTES + "\nSELECT * FROM wide"),
+    "threshold_diff": _q(PCT_CTES + DIFF_CTE + "\nSELECT * FROM diff"),
+    "threshold_mismatch_top": _q(PCT_CTES + DIFF_CTE + """
+SELECT * FROM diff WHERE p80_approx <> p80_exact
+ORDER BY abs(p80_diff) DESC, sku, month LIMIT 20"""),
+    "threshold_accuracy": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+SELECT '{l.upper()}' AS percentile, count(*) AS num_groups,
+       count(*) FILTER (WHERE threshold_{l}_approx - threshold_{l}_exact <> 0) AS num_threshold_mismatch,
+       round(avg(CASE WHEN threshold_{l}_approx - threshold_{l}_exact <> 0
+                      THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) * 100, 4) AS mismatch_rate_percent,
+       round(avg(CAST(abs(threshold_{l}_approx - threshold_{l}_exact) AS DOUBLE)), 4) AS mean_abs_threshold_diff,
+       CAST(max(abs(threshold_{l}_approx - threshold_{l}_exact)) AS INTEGER) AS max_abs_threshold_diff,
+       CAST(min(threshold_{l}_approx - threshold_{l}_exact) AS INTEGER) AS min_signed_diff,
+       CAST(max(threshold_{l}_approx - threshold_{l}_exact) AS INTEGER) AS max_signed_diff
+FROM wide_raw""")),
+    "mismatch_union": _q(PCT_CTES + """,
+u AS (""" + _by_level(lambda l: f"""
+  SELECT '{l.upper()}' AS percentile, sku, month, total_orders,
+         threshold_{l}_approx AS threshold_approx, threshold_{l}_exact AS threshold_exact
+  FROM wide_raw WHERE threshold_{l}_approx <> threshold_{l}_exact""") + """)
+SELECT *, abs(threshold_approx - threshold_exact) AS abs_threshold_diff FROM u
+ORDER BY percentile, abs_threshold_diff DESC, sku, month LIMIT 20"""),
+    "result_drift": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+SELECT '{l.upper()}' AS percentile, sku, month,
+       orders_{l}_approx AS orders_approx, orders_{l}_exact AS orders_exact,
+       round(stddev_{l}_approx, 4) AS stddev_approx, round(stddev_{l}_exact, 4) AS stddev_exact
+FROM wide_raw
+WHERE orders_{l}_approx <> orders_{l}_exact
+   OR round(stddev_{l}_approx, 6) <> round(stddev_{l}_exact, 6)""")),
+    "qualifying_diff_summary": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+SELECT '{l.upper()}' AS percentile,
+       count(*) FILTER (WHERE orders_{l}_approx - orders_{l}_exact <> 0) AS groups_with_different_qualifying_count,
+       round(avg(CAST(abs(orders_{l}_approx - orders_{l}_exact) AS DOUBLE)), 4) AS mean_abs_qualifying_count_diff,
+       CAST(max(abs(orders_{l}_approx - orders_{l}_exact)) AS BIGINT) AS max_abs_qualifying_count_diff,
+       count(*) FILTER (WHERE abs(stddev_{l}_approx - stddev_{l}_exact) > 1e-9) AS groups_with_different_stddev,
+       round(avg(abs(stddev_{l}_approx - stddev_{l}_exact)), 4) AS mean_abs_stddev_diff,
+       round(max(abs(stddev_{l}_approx - stddev_{l}_exact)), 4) AS max_abs_stddev_diff
+FROM wide_raw""")),
+    "heavy_groups": _q(PCT_CTES + """
+SELECT sku, month, count(*) AS total_orders FROM po GROUP BY sku, month
+HAVING count(*) > 1000"""),
+    "heavy_months": _q(PCT_CTES + """
+SELECT month, count(*) AS total_orders FROM po GROUP BY month HAVING count(*) > 1000"""),
+    "top_groups": _q(PCT_CTES + """
+SELECT sku, month, count(*) AS total_orders FROM po GROUP BY sku, month
+ORDER BY total_orders DESC, sku, month LIMIT 10"""),
+    "validate_result": _validate_sql(),
+    "zero_breakdown": _zero_sql(),
+    "overview": _q(PCT_CTES + """
+SELECT count(*) AS num_sku_month_groups, count(DISTINCT sku) AS num_unique_sku,
+       array_to_string(list_sort(list_distinct(list(month))), ',') AS months,
+       CAST(sum(total_orders) AS BIGINT) AS sum_total_orders_across_groups,
+       min(total_orders) AS min_orders_per_group,
+       CAST(median(total_orders) AS DOUBLE) AS median_orders_per_group,
+       round(avg(total_orders), 4) AS mean_orders_per_group,
+       max(total_orders) AS max_orders_per_group
+FROM wide_raw"""),
+    "histogram": _q(PCT_CTES + """,
+mm AS (SELECT CAST(min(total_orders) AS DOUBLE) AS mn, CAST(max(total_orders) AS DOUBLE) AS mx FROM wide_raw),
+hb AS (
+  SELECT CASE WHEN mx - mn = 0 THEN 1
+              ELSE least(CAST(floor((CAST(total_orders AS DOUBLE) - mn) * 50 / (mx - mn)) AS INTEGER) + 1, 50)
+         END AS bin, mn, mx
+  FROM wide_raw, mm WHERE total_orders IS NOT NULL
+)
+SELECT bin, round(mn + (bin - 1) * (mx - mn) / 50, 4) AS bin_lower,
+       round(mn + bin * (mx - mn) / 50, 4) AS bin_upper, count(*) AS count
+FROM hb GROUP BY bin, mn, mx"""),
+    "profile_summary": _q("""
+x AS (SELECT 1)
+SELECT count(*) AS total_rows, CAST(14 AS INTEGER) AS num_columns,
+       count(*) FILTER (WHERE amount IS NULL) AS empty_amount_rows,
+       count(*) FILTER (WHERE amount = 0) AS zero_amount_rows,
+       count(*) FILTER (WHERE sku IS NULL OR trim(sku) = '') AS empty_sku_rows,
+       count(*) FILTER (WHERE promotion_ids IS NOT NULL AND trim(promotion_ids) <> '') AS rows_with_promotions,
+       count(*) FILTER (WHERE promotion_ids IS NOT NULL AND trim(promotion_ids) <> ''
+                        AND regexp_matches(promotion_ids, '^\\s|\\s$')) AS promotions_with_outer_whitespace,
+       (SELECT count(*) FROM (SELECT DISTINCT trim(sku), month(order_date) FROM sales
+                              WHERE order_date IS NOT NULL AND sku IS NOT NULL)) AS sku_month_groups,
+       count(*) FILTER (WHERE order_date IS NULL) AS date_parse_errors
+FROM sales"""),
+    "promo_distribution": _q("""
+pd AS (
+  SELECT CAST(CASE WHEN promotion_ids IS NULL OR trim(promotion_ids) = '' THEN 0
+              ELSE len(list_filter(string_split(trim(promotion_ids), ','), lambda t: trim(t) <> '')) END
+         AS INTEGER) AS promo_count
+  FROM sales
+)
+SELECT promo_count, count(*) AS rows FROM pd GROUP BY promo_count"""),
+    "date_format_classes": _q("""
+dt AS (SELECT trim(strftime(order_date, '%m-%d-%y')) AS d FROM sales)
+SELECT CASE WHEN d IS NULL OR d = '' THEN 'EMPTY'
+            WHEN length(d) = 8 AND substring(d, 3, 1) = '-' AND substring(d, 6, 1) = '-' THEN 'MM-DD-YY'
+            ELSE 'OTHER:' || substring(d, 1, 10) END AS date_format,
+       count(*) AS rows
+FROM dt GROUP BY 1"""),
+    "sample_rows": SAMPLE_SQL,
+    "runtime_pivot": "WITH " + EVENT_CTES.strip() + """
+SELECT run,
+       max(ms) FILTER (WHERE method = 'click') AS click_ms,
+       max(ms) FILTER (WHERE method = 'purchase') AS purchase_ms,
+       max(ms) FILTER (WHERE method = 'signup') AS signup_ms,
+       max(ms) FILTER (WHERE method = 'view') AS view_ms
+FROM ev GROUP BY run""",
+    "runtime_summary": "WITH " + EVENT_CTES.strip() + """
+SELECT method, runs, round(mean_ms, 2) AS mean_ms, round(std_ms_population, 2) AS std_ms_population,
+       min_ms, max_ms, round(mean_ms / 1000, 2) AS mean_seconds,
+       round(mean_ms / (SELECT mean_ms FROM per WHERE method = 'click'), 2) AS relative_to_baseline
+FROM per""",
+    "run_stats": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
+    "json_roundtrip": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
 }
