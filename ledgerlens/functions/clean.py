@@ -61,7 +61,7 @@ def int_or_zero(c) -> Column:
 def parse_sales_date(c) -> Column:
     """Strict ``MM-dd-yy`` parse; bad text becomes null instead of failing
     (ANSI mode makes ``to_date`` throw).  Already typed dates pass through."""
-    return F.try_to_date(_c(c).cast("string"), F.lit(SALES_DATE_FORMAT))
+    return F.try_to_date(_c(c).cast("string"), SALES_DATE_FORMAT)
 
 
 def as_date(c, dtype: str) -> Column:

@@ -1,0 +1,95 @@
+import pytest
+from conftest import SF
+
+from ledgerlens.functions.clean import parse_sales_date
+from ledgerlens.sources import sales as S
+from ledgerlens.sources.tables import read_table
+
+# Header of the sales report CSV (fixed column positions used by the
+# position-addressed jobs: Date 2, Status 3, Style 7, SKU 8, Size 10, Qty 13,
+# ship-state 17).
+HEADER = ("index,Order ID,Date,Status,Fulfilment,Sales Channel,ship-service-level,Style,"
+          "SKU,Category,Size,ASIN,Courier Status,Qty,currency,Amount,ship-city,ship-state,"
+          "ship-postal-code,ship-country,promotion-ids,B2B,fulfilled-by")
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_foreign_keys_hold(spark, sf):
+    """The pruned sales mapping drops unused dimensions; that is only exact when
+    every fact row finds its dimension row."""
+    li = read_table(spark, SF[sf], "lineitem", ["l_orderkey", "l_partkey"])
+    o = read_table(spark, SF[sf], "orders", ["o_orderkey", "o_custkey"])
+    c = read_table(spark, SF[sf], "customer", ["c_custkey", "c_nationkey"])
+    n = read_table(spark, SF[sf], "nation", ["n_nationkey"])
+    p = read_table(spark, SF[sf], "part", ["p_partkey"])
+    assert li.join(o, li.l_orderkey == o.o_orderkey, "left_anti").count() == 0
+    assert li.join(p, li.l_partkey == p.p_partkey, "left_anti").count() == 0
+    assert o.join(c, o.o_custkey == c.c_custkey, "left_anti").count() == 0
+    assert c.join(n, c.c_nationkey == n.n_nationkey, "left_anti").count() == 0
+    # dimension keys are unique, so inner joins cannot duplicate fact rows
+    for df, k in ((o, "o_orderkey"), (c, "c_custkey"), (n, "n_nationkey"), (p, "p_partkey")):
+        assert df.count() == df.select(k).distinct().count()
+
+
+def test_pruned_mapping_equals_full(spark):
+    full = S.sales_from_tables(spark, SF["0.001"])
+    for cols in (("order_id", "sku", "amount"), ("order_date", "state", "city"),
+                 ("style", "size", "qty")):
+        part = S.sales_from_tables(spark, SF["0.001"], cols)
+        assert part.exceptAll(full.select(*cols)).count() == 0
+        assert part.count() == full.count()
+
+
+def test_pruned_plan_skips_unused_tables(spark):
+    plan = S.sales_from_tables(spark, SF["0.001"], ("order_id", "sku", "amount")) \
+        ._jdf.queryExecution().optimizedPlan().toString()
+    assert "orders" not in plan and "part.parquet" not in plan
+
+
+def test_unknown_column_rejected(spark):
+    with pytest.raises(ValueError):
+        S.sales_from_tables(spark, SF["0.001"], ("nope",))
+
+
+def test_m22_strict_dates(spark):
+    df = spark.createDataFrame([(t,) for t in ("04-30-22", "13-45-22", "4-3-22", "", None,
+                                                "04-30-2022")], "t string")
+    got = [r[0] for r in df.select(parse_sales_date("t")).collect()]
+    assert str(got[0]) == "2022-04-30" and got[1:] == [None] * 5
+
+
+def _write(tmp_path, lines):
+    p = tmp_path / "sales.csv"
+    p.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(p)
+
+
+def test_m20_csv_named_and_positional(spark, tmp_path):
+    good = ('0,405-1,04-30-22,Shipped,Merchant,Amazon.in,Standard,JNE1,JNE1-KR-L,kurta,L,B1,'
+            'Shipped,1,INR,"1,234.5",MUMBAI,MAHARASHTRA,400081,IN,"p1,p2",False,Easy Ship')
+    quoted = ('1,405-2,04-30-22,Cancelled,Merchant,Amazon.in,Standard,"JNE ""2""",JNE2-KR-M,'
+              'kurta,M,B2,,0,INR,,PUNE,maharashtra,411001,IN,,False,')
+    short = "2,405-3,04-30-22,Shipped,Merchant"
+    path = _write(tmp_path, [HEADER, good, quoted, short])
+    pos = S.read_sales_csv_positional(spark, path)
+    rows = pos.orderBy("_c0").collect()
+    assert len(rows) == 2                                     # short row dropped
+    assert rows[0]["_c15"] == "1,234.5" and rows[0]["_c20"] == "p1,p2"   # quoted commas
+    assert rows[1]["_c7"] == 'JNE "2"'                         # escaped quote
+    typed = S.sales_from_csv(spark, path).orderBy("order_id").collect()
+    assert [r.order_id for r in typed] == ["405-1", "405-2", "405-3"]
+    assert typed[0].promotion_ids == "p1,p2" and typed[0].state == "MAHARASHTRA"
+    assert typed[0].amount is None                             # "1,234.5" is not a number
+    assert str(typed[0].order_date) == "2022-04-30" and typed[0].qty == 1
+    assert typed[1].amount is None and typed[1].promotion_ids is None
+
+
+def test_csv_feeds_operators(spark, tmp_path):
+    from ledgerlens.operators import trailing
+    rows = [HEADER] + [
+        f"{i},405-{i},04-{10 + i % 3}-22,Shipped,Merchant,Amazon.in,Standard,ST,SKU{i},k,"
+        f"{'L' if i % 2 else 'M'},B,Shipped,1,INR,10.0,PUNE, maharashtra ,411001,IN,,False,"
+        for i in range(6)]
+    df = S.sales_from_csv(spark, _write(tmp_path, rows))
+    out = trailing.size_mode_by_state(df)
+    assert out.count() == 9 and {r.state for r in out.collect()} == {"MAHARASHTRA"}
