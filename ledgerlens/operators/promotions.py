@@ -12,13 +12,15 @@
    when none qualify (cities are kept).
 
 Plan: the promotion list is exploded once per use; validity is a
-min/max aggregation with map-side combine.  The order-level filter is a
-left-semi join against the valid set (AQE broadcasts it when it measures
-small, otherwise sort-merge with skewed partitions split), and the distinct
-count per order is planned as a two-stage distinct aggregation.  The state
-averages are one row per state; the base lines meet them and the qualifying
-orders in left joins, and numerator and denominator come out of a single
-aggregation per city.
+min/max aggregation with map-side combine.  Tokens are reduced to distinct
+(order, promotion) pairs before the left-semi join against the valid set, and
+base lines meet the qualifying orders before the per-state averages.  Both
+small sides (valid promotions, state averages) are aggregates whose size is
+only known at run time, and both are joined to a stage that cannot start
+before they finish, so AQE measures them and broadcasts them only when they
+are under its threshold; otherwise the join stays sort-merge with skewed
+partitions split.  Numerator and denominator come out of one aggregation per
+city.
 """
 
 from __future__ import annotations
@@ -59,10 +61,14 @@ def orders_with_valid_promos(sales: DataFrame, min_promos: int = MIN_VALID_PROMO
     """(order_id, valid_promo_count) for orders with >= min_promos distinct
     valid promotions across all their lines."""
     valid = valid_promotions(sales, min_days).select("promotion_id")
-    return (promotion_tokens(sales)
-            .join(valid, "promotion_id", "left_semi")
+    # distinct (order, promotion) pairs first: the semi-join then meets a
+    # finished stage, so AQE can broadcast the valid set when it measures
+    # small; counting the surviving pairs per order is the distinct count.
+    pairs = (promotion_tokens(sales).filter(F.col("promotion_id") != "")
+             .select("order_id", "promotion_id").distinct())
+    return (pairs.join(valid, "promotion_id", "left_semi")
             .groupBy("order_id")
-            .agg(F.count_distinct("promotion_id").alias("valid_promo_count"))
+            .agg(F.count(F.lit(1)).alias("valid_promo_count"))
             .filter(F.col("valid_promo_count") >= min_promos))
 
 
@@ -100,8 +106,11 @@ def qualification_rate(sales: DataFrame, min_promos: int = MIN_VALID_PROMOS,
     avgs = state_avg_amount(sales)
     good = (orders_with_valid_promos(sales, min_promos, min_days)
             .select("order_id", F.lit(True).alias("promo_ok")))
-    flagged = (base.join(avgs, "state", "left")
-               .join(good, "order_id", "left"))
+    # order_id first (that shuffle is needed anyway); the one-row-per-state
+    # averages are then joined to a non-leaf stage, which AQE turns into a
+    # broadcast once it has measured them -- no shuffle of lines by state.
+    flagged = (base.join(good, "order_id", "left")
+               .join(avgs, "state", "left"))
     qualified = (F.col("amount") < F.col("avg_amount")) & F.col("promo_ok")
     counts = flagged.groupBy("city").agg(
         F.count("order_id").alias("base_count"),
