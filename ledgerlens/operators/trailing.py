@@ -80,3 +80,17 @@ def size_mode_by_state(sales: DataFrame, days: int = 7) -> DataFrame:
 
 def size_mode_by_state_window_fn(sales: DataFrame, days: int = 7) -> DataFrame:
     return trailing_mode_window_fn(shipped_lines(sales), ("state",), "day", "size", days)
+
+
+# Header and date text of the trailing-window CSV report.
+REPORT_HEADER = ("State", "TargetDate", "MostBoughtSize", "Count")
+REPORT_DATE_FORMAT = "MM-dd-yy"
+
+
+def as_report(result: DataFrame) -> DataFrame:
+    """Text layout of the CSV report: State, TargetDate (MM-dd-yy),
+    MostBoughtSize, Count."""
+    s, t, v, c = REPORT_HEADER
+    return result.select(F.col("state").alias(s),
+                         F.date_format("target_date", REPORT_DATE_FORMAT).alias(t),
+                         F.col("top_size").alias(v), F.col("size_count").alias(c))

@@ -261,6 +261,15 @@ def q_csv_roundtrip(spark, d):
                            "month string, state string, median_variety double")
 
 
+def q_trailing_mode_csv(spark, d):
+    path = scratch_path(spark, "trailing-mode")
+    report = trailing.as_report(q_trailing_mode(spark, d))
+    # key-ordered single file, as the report is read by people
+    sinks.write_single_csv(report, path, sort_by=["State", "TargetDate"])
+    return sinks.read_back(spark, path, "csv",
+                           "State string, TargetDate string, MostBoughtSize string, Count bigint")
+
+
 def q_json_roundtrip(spark, d):
     path = scratch_path(spark, "run-stats")
     sinks.write_json(q_run_stats(spark, d), path, sort_by=["method"])
@@ -310,4 +319,5 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,
+    "trailing_mode_csv": q_trailing_mode_csv,
 }

@@ -392,4 +392,8 @@ SELECT method, runs, round(mean_ms, 2) AS mean_ms, round(std_ms_population, 2) A
 FROM per""",
     "run_stats": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
     "json_roundtrip": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
+    "trailing_mode_csv": _q(TRAILING_CTES + """
+SELECT state AS "State", strftime(target_date, '%m-%d-%y') AS "TargetDate",
+       size AS "MostBoughtSize", CAST(cnt AS BIGINT) AS "Count"
+FROM t_ranked WHERE rn = 1"""),
 }
