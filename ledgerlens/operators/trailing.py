@@ -61,10 +61,11 @@ def trailing_mode_window_fn(df: DataFrame, keys=("state",), day="day",
                             value="size", days: int = 7) -> DataFrame:
     """Same result through Spark's sliding ``window``: a window
     [start, start + days) with a 1-day slide; the target day is its end.
-    Requires the session time zone to be UTC (windows align to the epoch)."""
+    Days become zone-less timestamps (``timestamp_ntz``), so the windows align
+    to calendar days whatever the session time zone is."""
     keys = list(keys)
     daily = df.groupBy(*keys, day, value).agg(F.count(F.lit(1)).alias("cnt"))
-    win = F.window(F.col(day).cast("timestamp"), f"{days} days", "1 day")
+    win = F.window(F.col(day).cast("timestamp_ntz"), f"{days} days", "1 day")
     counts = (daily.groupBy(*keys, win.alias("w"), value)
               .agg(F.sum("cnt").alias("cnt"))
               .select(*keys, F.col("w.end").cast("date").alias("target_date"),

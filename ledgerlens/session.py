@@ -48,14 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only invent one
     (a fresh temporary folder) when the setting is absent, as in local tests.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect has no SparkContext
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or (
+        sc.getCheckpointDir() if sc is not None else None)
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -24,12 +24,16 @@ def trailing_mode_stream(lines: DataFrame, keys=("state",), day="day",
                          watermark: str = "1 day") -> DataFrame:
     """Streaming (keys..., target_date, top_<value>, <value>_count)."""
     keys = list(keys)
-    ts = lines.withColumn("_ts", F.col(day).cast("timestamp")).withWatermark("_ts", watermark)
+    # event time = UTC midnight of the day, built arithmetically so that the
+    # windows align to calendar days whatever the session time zone is
+    ts = (lines.withColumn("_ts", F.timestamp_seconds(F.unix_date(F.col(day)).cast("bigint") * 86400))
+          .withWatermark("_ts", watermark))
     counts = (ts.groupBy(*keys, F.window("_ts", f"{days} days", "1 day").alias("w"), value)
               .agg(F.count(F.lit(1)).alias("cnt")))
     best = F.min(F.struct((-F.col("cnt")).alias("neg"), F.col(value).alias("v")))
     top = counts.groupBy(*keys, "w").agg(best.alias("b"))
-    return top.select(*keys, F.col("w.end").cast("date").alias("target_date"),
+    end_day = F.date_from_unix_date((F.unix_seconds(F.col("w.end")) / 86400).cast("int"))
+    return top.select(*keys, end_day.alias("target_date"),
                       F.col("b.v").alias("top_" + value),
                       (-F.col("b.neg")).alias(value + "_count"))
 

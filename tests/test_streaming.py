@@ -28,3 +28,19 @@ def test_stream_matches_batch_on_closed_windows(spark, tmp_path):
     # and no closed window is missing
     last = got.agg(F.max("target_date")).first()[0]
     assert batch.filter(F.col("target_date") <= last).exceptAll(got).count() == 0
+
+
+def test_stream_day_mapping_independent_of_time_zone(spark):
+    from pyspark.sql import functions as F
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2022-04-10",)], "d string").select(
+            F.to_date("d").alias("day"))
+        ts = F.timestamp_seconds(F.unix_date("day").cast("bigint") * 86400)
+        w = df.select(F.window(ts, "7 days", "1 day").alias("w"))
+        ends = sorted(r[0] for r in w.select(F.date_from_unix_date(
+            (F.unix_seconds("w.end") / 86400).cast("int"))).collect())
+        assert [str(e) for e in ends] == [f"2022-04-{x}" for x in range(11, 18)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

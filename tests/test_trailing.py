@@ -69,3 +69,15 @@ def test_generic_keys_and_days(make_sales):
     out = trailing.trailing_mode(df, ("state", "city"), "day", "size", days=3)
     assert out.columns == ["state", "city", "target_date", "top_size", "size_count"]
     assert out.count() == 3
+
+
+def test_window_fn_independent_of_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            a = QUERIES["trailing_mode"](spark, SF["0.001"])
+            b = QUERIES["trailing_mode_window_fn"](spark, SF["0.001"])
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
