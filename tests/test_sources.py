@@ -93,3 +93,12 @@ def test_csv_feeds_operators(spark, tmp_path):
     df = S.sales_from_csv(spark, _write(tmp_path, rows))
     out = trailing.size_mode_by_state(df)
     assert out.count() == 9 and {r.state for r in out.collect()} == {"MAHARASHTRA"}
+
+
+def test_s3_invalid_utf8_bytes_are_replaced(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_bytes(b"index,Order ID,Date,ship-city\n0,405-1,04-30-22,MUMB\xffAI\n"
+                  b"1,405-2,04-30-22,PUNE\n")
+    rows = S.sales_from_csv(spark, str(p)).orderBy("order_id").collect()
+    assert [r.city for r in rows] == ["MUMB�AI", "PUNE"]
+    assert rows[0].state is None            # absent columns read as null
