@@ -107,3 +107,18 @@ def qualifying_diff_summary(wide: DataFrame, levels=LEVEL_NAMES,
         F.count_if(sd > tol).alias("groups_with_different_stddev"),
         F.avg(sd).alias("mean_abs_stddev_diff"),
         F.max(sd).alias("max_abs_stddev_diff"))
+
+
+def diff_groups(wide: DataFrame, levels=LEVEL_NAMES, tol: float = 1e-9) -> DataFrame:
+    """Groups whose qualifying count differs between methods or whose stddev
+    differs by more than ``tol`` (absolute), with both thresholds, counts,
+    stddevs and the signed differences."""
+    long = _long_by_level(wide, levels, lambda l: [
+        ("total_orders", "total_orders"),
+        ("threshold_approx", f"threshold_{l}_approx"), ("threshold_exact", f"threshold_{l}_exact"),
+        ("orders_approx", f"orders_{l}_approx"), ("orders_exact", f"orders_{l}_exact"),
+        ("stddev_approx", f"stddev_{l}_approx"), ("stddev_exact", f"stddev_{l}_exact")])
+    cd = F.col("orders_approx") - F.col("orders_exact")
+    sd = F.col("stddev_approx") - F.col("stddev_exact")
+    return (long.withColumn("qualifying_count_diff", cd).withColumn("stddev_diff", sd)
+            .filter((F.col("qualifying_count_diff") != 0) | (F.abs(F.col("stddev_diff")) > tol)))

@@ -53,6 +53,18 @@ def top_groups(orders: DataFrame, keys=GROUP_KEYS, k: int = 10) -> DataFrame:
             .limit(k))
 
 
+def largest_groups(wide: DataFrame, k: int = 10, keys=GROUP_KEYS) -> DataFrame:
+    """The k groups of the wide result with the most lines, with their exact
+    thresholds, qualifying counts and stddevs (ties broken by the keys)."""
+    keys = list(keys)
+    cols = [*keys, "total_orders",
+            "threshold_p80_exact", "orders_p80_exact", "stddev_p80_exact",
+            "threshold_p90_exact", "orders_p90_exact", "stddev_p90_exact"]
+    return (wide.select(*cols)
+            .orderBy(F.desc("total_orders"), *[F.asc(c) for c in keys])
+            .limit(k))
+
+
 def validate_result(wide: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     """(check, violations): missing required columns, duplicate keys and the
     12 consistency invariants of the wide percentile result."""

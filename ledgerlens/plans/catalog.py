@@ -168,6 +168,11 @@ def q_result_drift(spark, d):
     return round_cols(df, "stddev_approx", "stddev_exact")
 
 
+def q_diff_groups(spark, d):
+    df = compare.diff_groups(_wide(spark, d))
+    return round_cols(df, "stddev_approx", "stddev_exact", "stddev_diff")
+
+
 def q_qualifying_diff_summary(spark, d):
     return round_cols(compare.qualifying_diff_summary(_wide(spark, d)),
                       "mean_abs_qualifying_count_diff", "mean_abs_stddev_diff",
@@ -188,6 +193,11 @@ def q_top_groups(spark, d):
     return quality.top_groups(_orders(spark, d), ("sku", "month"), 10)
 
 
+def q_largest_groups(spark, d):
+    df = quality.largest_groups(_wide(spark, d), 10)
+    return round_cols(df, "stddev_p80_exact", "stddev_p90_exact")
+
+
 def q_validate_result(spark, d):
     return quality.validate_result(_wide(spark, d))
 
@@ -261,6 +271,14 @@ def q_csv_roundtrip(spark, d):
                            "month string, state string, median_variety double")
 
 
+def q_percentile_stddev_parquet(spark, d):
+    # one row per group: at scale that is large, so the output is written
+    # with its natural partitioning, not squeezed into one file by one task
+    path = scratch_path(spark, "percentile-stddev")
+    sinks.write_partitioned(q_percentile_stddev(spark, d), path)
+    return sinks.read_back(spark, path, "parquet")
+
+
 def q_trailing_mode_csv(spark, d):
     path = scratch_path(spark, "trailing-mode")
     report = trailing.as_report(q_trailing_mode(spark, d))
@@ -320,4 +338,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,
     "trailing_mode_csv": q_trailing_mode_csv,
+    "largest_groups": q_largest_groups,
+    "diff_groups": q_diff_groups,
+    "percentile_stddev_parquet": q_percentile_stddev_parquet,
 }

@@ -392,6 +392,22 @@ SELECT method, runs, round(mean_ms, 2) AS mean_ms, round(std_ms_population, 2) A
 FROM per""",
     "run_stats": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
     "json_roundtrip": "WITH " + EVENT_CTES.strip() + "\nSELECT * FROM stats",
+    "largest_groups": _q(PCT_CTES + """
+SELECT sku, month, total_orders, threshold_p80_exact, orders_p80_exact,
+       round(stddev_p80_exact, 4) AS stddev_p80_exact, threshold_p90_exact, orders_p90_exact,
+       round(stddev_p90_exact, 4) AS stddev_p90_exact
+FROM wide_raw ORDER BY total_orders DESC, sku, month LIMIT 10"""),
+    "diff_groups": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+SELECT '{l.upper()}' AS percentile, sku, month, total_orders,
+       threshold_{l}_approx AS threshold_approx, threshold_{l}_exact AS threshold_exact,
+       orders_{l}_approx AS orders_approx, orders_{l}_exact AS orders_exact,
+       round(stddev_{l}_approx, 4) AS stddev_approx, round(stddev_{l}_exact, 4) AS stddev_exact,
+       orders_{l}_approx - orders_{l}_exact AS qualifying_count_diff,
+       round(stddev_{l}_approx - stddev_{l}_exact, 4) AS stddev_diff
+FROM wide_raw
+WHERE orders_{l}_approx - orders_{l}_exact <> 0
+   OR abs(stddev_{l}_approx - stddev_{l}_exact) > 1e-9""")),
+    "percentile_stddev_parquet": _q(PCT_CTES + "\nSELECT * FROM wide"),
     "trailing_mode_csv": _q(TRAILING_CTES + """
 SELECT state AS "State", strftime(target_date, '%m-%d-%y') AS "TargetDate",
        size AS "MostBoughtSize", CAST(cnt AS BIGINT) AS "Count"
