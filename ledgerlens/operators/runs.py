@@ -7,7 +7,7 @@ tasks like any other file; parsing is ``regexp_extract``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: shape of a timing line, e.g. "[approx] Run 3: 1066 ms".
@@ -62,3 +62,24 @@ def run_stats(runs: DataFrame, group: str = "method", value: str = "seconds",
                 digits).alias("stddev_seconds"),
         F.round(F.min(v), digits).alias("min_seconds"),
         F.round(F.max(v), digits).alias("max_seconds"))
+
+
+def number_lines(lines: DataFrame, name: str = "run") -> DataFrame:
+    """Add a 1-based, gap-free line number in input order (file order for a
+    text or Parquet scan) without moving the lines into one task.
+
+    Each line's position inside its partition comes from
+    ``monotonically_increasing_id`` (partition id in the upper bits); the
+    partitions' line counts are summed into offsets over a table with one
+    row per partition -- bounded by the partition count, so it is
+    broadcast -- and the offset is added back.  Must be applied directly on
+    the scan, before any shuffle, so that partition order is input order."""
+    pid = F.spark_partition_id().cast("bigint")
+    pos = lines.withColumn("_pid", pid).withColumn(
+        "_idx", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), 33))
+    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (pos.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_off") + F.col("_idx") + 1)
+            .drop("_pid", "_idx", "_off"))

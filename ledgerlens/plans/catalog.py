@@ -251,6 +251,12 @@ def q_runtime_summary(spark, d):
     return runs.runtime_summary(_event_runs(spark, d), "click")
 
 
+def q_run_numbers(spark, d):
+    ev = read_table(spark, d, "events", ["value"])
+    numbered = runs.number_lines(logs.event_runtime_lines(ev), "run")
+    return numbered.select("run", F.col("value").cast("double").alias("runtime_seconds"))
+
+
 def q_run_stats(spark, d):
     r = _event_runs(spark, d).select("method", (F.col("ms") / 1000).alias("seconds"))
     return runs.run_stats(r)
@@ -338,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,
     "trailing_mode_csv": q_trailing_mode_csv,
+    "run_numbers": q_run_numbers,
     "largest_groups": q_largest_groups,
     "diff_groups": q_diff_groups,
     "percentile_stddev_parquet": q_percentile_stddev_parquet,

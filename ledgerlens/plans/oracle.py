@@ -408,6 +408,10 @@ FROM wide_raw
 WHERE orders_{l}_approx - orders_{l}_exact <> 0
    OR abs(stddev_{l}_approx - stddev_{l}_exact) > 1e-9""")),
     "percentile_stddev_parquet": _q(PCT_CTES + "\nSELECT * FROM wide"),
+    "run_numbers": """
+SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) AS run,
+       CAST(printf('%.2f', "value") AS DOUBLE) AS runtime_seconds
+FROM events""",
     "trailing_mode_csv": _q(TRAILING_CTES + """
 SELECT state AS "State", strftime(target_date, '%m-%d-%y') AS "TargetDate",
        size AS "MostBoughtSize", CAST(cnt AS BIGINT) AS "Count"

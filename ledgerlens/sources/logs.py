@@ -31,3 +31,9 @@ def event_run_log(events: DataFrame) -> DataFrame:
     return events.select(
         F.when(F.col("event_type") == NOISE_EVENT_TYPE, noise)
          .otherwise(timed).alias("value"))
+
+
+def event_runtime_lines(events: DataFrame) -> DataFrame:
+    """value: one run time in seconds per line (the event's value), in the
+    table's order -- the layout of a benchmark's run-time file."""
+    return events.select(F.format_string("%.2f", F.col("value")).alias("value"))

@@ -72,3 +72,18 @@ def test_overview_and_validation_on_tables(spark):
     ov = QUERIES["overview"](spark, SF["0.01"]).collect()[0]
     assert ov.months == "1,2,3,4,5,6,7,8,9,10,11,12"
     assert ov.sum_total_orders_across_groups == QUERIES["promo_count"](spark, SF["0.01"]).count()
+
+
+def test_number_lines_across_partitions(spark, tmp_path):
+    p = tmp_path / "runtimes.txt"
+    p.write_text("".join(f"line-{i:05d}\n" for i in range(1, 5001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        df = spark.read.text(str(p))
+        assert df.rdd.getNumPartitions() > 5
+        got = R.number_lines(df, "run").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 5000
+    assert all(r.value == f"line-{r.run:05d}" for r in got)
