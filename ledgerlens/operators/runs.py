@@ -16,18 +16,22 @@ RUN_LINE_PATTERN = r"(?i)\[(approx|exact|[a-z_]+)\]\s+Run\s+(\d+)\s*:\s*(\d+)\s*
 
 def parse_run_lines(lines: DataFrame, text_col: str = "value",
                     pattern: str = RUN_LINE_PATTERN) -> DataFrame:
-    """(method, run, ms) for every matching line; other lines are ignored."""
+    """(method, run, ms) for every matching line; other lines are ignored.
+    A ``line`` column (see ``number_lines``) is carried along if present."""
     t = F.col(text_col)
+    keep = [F.col("line")] if "line" in lines.columns else []
     return (lines.filter(t.rlike(pattern))
             .select(F.lower(F.regexp_extract(t, pattern, 1)).alias("method"),
                     F.regexp_extract(t, pattern, 2).cast("bigint").alias("run"),
-                    F.regexp_extract(t, pattern, 3).cast("bigint").alias("ms")))
+                    F.regexp_extract(t, pattern, 3).cast("bigint").alias("ms"), *keep))
 
 
 def runtime_pivot(runs: DataFrame, methods: tuple[str, ...]) -> DataFrame:
-    """(run, <method>_ms ...): one row per run, first value per method.
+    """(run, <method>_ms ...): one row per run, the first value per method --
+    the one on the earliest log line when lines are numbered (deterministic).
     The method list is given explicitly so the pivot needs no extra job."""
-    wide = runs.groupBy("run").pivot("method", list(methods)).agg(F.first("ms"))
+    pick = F.min_by("ms", "line") if "line" in runs.columns else F.first("ms")
+    wide = runs.groupBy("run").pivot("method", list(methods)).agg(pick)
     return wide.select("run", *[F.col(m).alias(f"{m}_ms") for m in methods])
 
 

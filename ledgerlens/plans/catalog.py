@@ -240,7 +240,7 @@ def q_sample_rows(spark, d):
 def _event_runs(spark, d):
     ev = read_table(spark, d, "events",
                     ["event_id", "user_id", "event_type", "value", "props"])
-    return runs.parse_run_lines(logs.event_run_log(ev))
+    return runs.parse_run_lines(runs.number_lines(logs.event_run_log(ev), "line"))
 
 
 def q_runtime_pivot(spark, d):

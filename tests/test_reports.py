@@ -87,3 +87,10 @@ def test_number_lines_across_partitions(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(got) == 5000
     assert all(r.value == f"line-{r.run:05d}" for r in got)
+
+
+def test_pivot_takes_earliest_line_on_duplicates(spark):
+    lines = ["[approx] Run 1: 30 ms", "[approx] Run 1: 10 ms", "[exact] Run 1: 5 ms"]
+    df = R.number_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), "line")
+    got = R.runtime_pivot(R.parse_run_lines(df), ("approx", "exact")).collect()
+    assert [tuple(r) for r in got] == [(1, 30, 5)]
