@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, packing
+from ledgerlens.llm import bpe, line_frequency, oracle, packing
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources.tables import read_table
 
@@ -37,9 +37,19 @@ def op3_pack(spark, sf_dir):
     return pack_documents(spark, read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op8_line_frequency(spark, sf_dir):
+    """Base counts and verdict of the quality rules for every document."""
+    return (line_frequency.judge(read_table(spark, sf_dir, "documents",
+                                            ["doc_id", "text", "source"]))
+            .drop("n_removed_words"))
+
+
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_pack": op3_pack,
+    "op8_line_frequency": op8_line_frequency,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op8_line_frequency": oracle.OP8,
+}
