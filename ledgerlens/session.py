@@ -66,3 +66,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def expose_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    On a cluster it is shipped with ``--py-files`` or installed; this covers local
+    and shared-folder runs started from another working directory."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
