@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, line_frequency, oracle, packing
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.llm import bpe, line_frequency, oracle, ordinal, packing, winnow
+from ledgerlens.session import checkpoint_dir, expose_library
 from ledgerlens.sources.tables import read_table
 
 ENCODE_WITH = public_tokenizers.path("word_bpe_49k.json")
 PACK_WITH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def registered(query):
+    """A query that first makes the session ready: shared folder, library path."""
+    @wraps(query)
+    def run(spark, sf_dir):
+        checkpoint_dir(spark)
+        expose_library(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def op1_bpe(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
     spec = bpe.read_spec(ENCODE_WITH)
@@ -26,7 +38,6 @@ def op1_bpe(spark, sf_dir):
 
 def pack_documents(spark, docs):
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) per piece."""
-    checkpoint_dir(spark)
     parts = (packing.pieces(docs, bpe.read_spec(PACK_WITH))
              .select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
              .checkpoint())
@@ -44,11 +55,31 @@ def op8_line_frequency(spark, sf_dir):
             .drop("n_removed_words"))
 
 
-LLM_QUERIES = {
-    "op1_bpe": op1_bpe,
-    "op3_pack": op3_pack,
-    "op8_line_frequency": op8_line_frequency,
-}
+def graded(labels):
+    """(doc_id, grade): 0 toxic, 1 of low quality, 2 good."""
+    return (labels.filter("quality IS NOT NULL AND toxic IS NOT NULL")
+            .select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1)
+                    .otherwise(2).alias("grade")))
+
+
+def op7_ordinal(spark, sf_dir):
+    """Score, expected grade, P(good) and verdict for every document."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    ratings = graded(read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
+    return ordinal.score(docs, ordinal.train(docs, ratings))
+
+
+def op9_winnow(spark, sf_dir):
+    """Every document's text without later repeated runs, as a digest, and what went."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return winnow.dedup(docs).select(
+        "row.doc_id", F.sha2(F.col("row.text").cast("binary"), 256).alias("text_sha256"),
+        F.length("row.text").cast("long").alias("n_chars"),
+        "removed.n_runs", "removed.n_units", "removed.n_words")
+
+
+LLM_QUERIES = {q.__name__: registered(q) for q in (
+    op1_bpe, op3_pack, op7_ordinal, op8_line_frequency, op9_winnow)}
 
 LLM_ORACLE: dict[str, str] = {
     "op8_line_frequency": oracle.OP8,
