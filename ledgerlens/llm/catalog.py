@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, line_frequency, oracle, ordinal, packing, winnow
+from ledgerlens.llm import bpe, line_frequency, near_dup, oracle, ordinal, packing, winnow
 from ledgerlens.session import checkpoint_dir, expose_library
 from ledgerlens.sources.tables import read_table
 
@@ -55,6 +55,11 @@ def op8_line_frequency(spark, sf_dir):
             .drop("n_removed_words"))
 
 
+def op6_minhash(spark, sf_dir):
+    """Component of every document by 2-word shingles and Jaccard similarity >= 0.8."""
+    return near_dup.find(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), size=2)
+
+
 def graded(labels):
     """(doc_id, grade): 0 toxic, 1 of low quality, 2 good."""
     return (labels.filter("quality IS NOT NULL AND toxic IS NOT NULL")
@@ -79,7 +84,7 @@ def op9_winnow(spark, sf_dir):
 
 
 LLM_QUERIES = {q.__name__: registered(q) for q in (
-    op1_bpe, op3_pack, op7_ordinal, op8_line_frequency, op9_winnow)}
+    op1_bpe, op3_pack, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow)}
 
 LLM_ORACLE: dict[str, str] = {
     "op8_line_frequency": oracle.OP8,
