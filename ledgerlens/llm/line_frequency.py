@@ -158,21 +158,21 @@ def clean(df: DataFrame, text: str = "text", host: str = "source",
     frequent = stored(frequent_lines(df, text, host), "frequent-lines")
     # the whole row rides along as one struct, so no column name can clash
     rows = _hits(df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"),
-                           F.col(text).alias("__text"), F.col(host).alias("__source")),
+                           F.col(text).alias("__body"), F.col(host).alias("__source")),
                  frequent, "__source")
-    rows = base_counts(rows, "__text", ["__row", "__text", "__frequent"])
-    lines = F.transform(_lines(F.col("__text")), lambda x: F.struct(
+    rows = base_counts(rows, "__body", ["__row", "__body", "__frequent"])
+    lines = F.transform(_lines(F.col("__body")), lambda x: F.struct(
         x.alias("line"), _line_hash(x).alias("hash")))
-    rows = (rows.filter(~F.col("base_failed"))
-            .select("__row", "n_words", "__frequent",
-                    F.when(F.col("__frequent").isNotNull(), lines).alias("__lines")))
+    rows = rows.select("__row", "n_words", "base_failed", "__frequent",
+                       F.when(F.col("__frequent").isNotNull(), lines).alias("__lines"))
     rows = rows.withColumn("__hit", F.array_intersect(F.col("__lines")["hash"], "__frequent"))
     rows = rows.withColumn("__left", F.when(F.size("__hit") > 0, F.concat_ws("\n", F.transform(
         F.filter("__lines", lambda x: x["hash"].isNull()
                  | ~F.array_contains("__hit", x["hash"])), lambda x: x["line"]))))
     lost = F.col("n_words") - F.size(_words(F.col("__left")))
-    rows = rows.filter(F.col("__left").isNull()
-                       | (100 * lost <= depleted_percent * F.col("n_words")))
-    rows = rows.withColumn("__row", F.col("__row").withField(
-        text, F.coalesce("__left", F.col("__row")[text])))
-    return rows.select("__row.*")
+    kept = ~F.col("base_failed") & (
+        F.col("__left").isNull() | (100 * lost <= depleted_percent * F.col("n_words")))
+    new = F.col("__row").withField(text, F.coalesce("__left", F.col("__row")[text]))
+    # An explode of nothing or one row, not a filter: a filter would be pushed below the
+    # projections that count, and each of them be evaluated there many times over.
+    return rows.select(F.explode(F.when(kept, F.array(new))).alias("__row")).select("__row.*")

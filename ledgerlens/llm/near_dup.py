@@ -282,7 +282,8 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles long, component_id, kept boolean) per row."""
+    """(doc_id, whole long, n_shingles long, component_id, kept boolean) per row; whole is
+    xxhash64 of the text, to tell rows with one id apart."""
     rows = stored(signatures(df, size, doc_id, text), "signatures")
     nodes = stored(rows.filter("node IS NOT NULL AND doc IS NOT NULL")
                    .groupBy("node").agg(F.min(F.struct("doc", "whole")).alias("place"),
@@ -328,12 +329,24 @@ def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "do
     # of the joins below, both sides are one row per node or component
     of_node = named.join(heads, "label").select("node", "component_id")
     own = F.coalesce("component_id", "doc")
-    return (rows.select("doc", "node", "n").join(of_node, "node", "left")
-            .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+    return (rows.select("doc", "whole", "node", "n").join(of_node, "node", "left")
+            .select(F.col("doc").alias("doc_id"), "whole", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc").isNotNull(), own).alias("component_id"),
                     (F.col("doc").isNull() | (own == F.col("doc"))).alias("kept")))
 
 
+def survivors(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "doc_id",
+              text: str = "text") -> DataFrame:
+    """The rows of ``df`` that are kept, one for each group of near-duplicates."""
+    kept = (find(df, size, percent, doc_id, text).filter("kept")
+            .select(F.col("doc_id").alias("__doc"), F.col("whole").alias("__whole")))
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"),
+                     F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__text"))
+    return (rows.join(kept, F.col("__id").eqNullSafe(F.col("__doc"))
+                      & (F.col("__text") == F.col("__whole")), "left_semi")
+            .dropDuplicates(["__id", "__text"]).select("__row.*"))
+
+
 def _texts(df: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, text) of the wanted (node, doc, whole): one text of each node."""
     found = (df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("whole"),

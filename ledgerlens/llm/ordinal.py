@@ -36,8 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerlens.llm.bpe import in_batches
-
 BITS = 18
 SAMPLE_ROWS = 16_000
 EPOCHS = 8
@@ -201,26 +199,20 @@ def score(docs: DataFrame, model: Model | None, target: int = 2, text: str = "te
                              F.lit(True).alias("kept"))
     shared = source.sparkSession.sparkContext.broadcast(
         (model.weights.astype(np.float32), model.thresholds, model.bits))
-    names = [*keep, "score", "expected_grade", "tail_prob", "kept"]
-    kinds = [*(to_arrow_type(source.schema[c].dataType) for c in keep),
-             pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
     schema = T.StructType([*(source.schema[c] for c in keep),
-                           *(T.StructField(c, T.DoubleType()) for c in names[-4:-1]),
+                           *(T.StructField(c, T.DoubleType())
+                             for c in ("score", "expected_grade", "tail_prob")),
                            T.StructField("kept", T.BooleanType())])
 
     def run(batches):
         weights, thresholds, bits = shared.value
         m, features = Model(weights, thresholds, bits), Features(bits)
-
-        def rows():
-            for b in batches:
-                kept = [c.to_pylist() for c in b.columns[:-1]]
-                for i, value in enumerate(b.columns[-1]):
-                    at = np.sort(features.of(value.as_py()))
-                    s = float(weights[at].sum(dtype=np.float64))
-                    upward = m.at_least(s)
-                    tail = float(upward[target - 1]) if target <= len(upward) else 0.0
-                    yield (*(c[i] for c in kept), s, float(upward.sum()), tail, tail >= least)
-        return in_batches(rows(), names, kinds, lambda r: sum(len(x) for x in r
-                                                              if isinstance(x, str)))
+        for b in batches:
+            s = np.array([weights[np.sort(features.of(v.as_py()))].sum(dtype=np.float64)
+                          for v in b.columns[-1]], np.float64)
+            upward = 1 - logistic(m.thresholds[None, :] - s[:, None])
+            tail = upward[:, target - 1] if target <= upward.shape[1] else np.zeros(len(s))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(s), pa.array(upward.sum(axis=1)), pa.array(tail),
+                 pa.array(tail >= least)], names=schema.names)
     return source.mapInArrow(run, schema)
