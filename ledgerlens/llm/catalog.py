@@ -7,7 +7,17 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, line_frequency, near_dup, oracle, ordinal, packing, winnow
+from ledgerlens.llm import (
+    bpe,
+    html_main,
+    line_frequency,
+    near_dup,
+    oracle,
+    ordinal,
+    packing,
+    url_reputation,
+    winnow,
+)
 from ledgerlens.session import checkpoint_dir, expose_library
 from ledgerlens.sources.tables import read_table
 
@@ -15,6 +25,11 @@ ENCODE_WITH = public_tokenizers.path("word_bpe_49k.json")
 PACK_WITH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+# The rules of the URL filter.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/"))
+
+
 def registered(query):
     """A query that first makes the session ready: shared folder, library path."""
     @wraps(query)
@@ -55,6 +70,25 @@ def op8_line_frequency(spark, sf_dir):
             .drop("n_removed_words"))
 
 
+def op4_html(spark, sf_dir):
+    """Main text of every page."""
+    return html_main.extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+def op5_url_reputation(spark, sf_dir):
+    """Verdict on every page's url; a page's outcome is the label of the document that
+    the number in its path names."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    labels = (read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+              .filter("quality IS NOT NULL AND toxic IS NOT NULL")
+              .select("doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")))
+    host, path = url_reputation.parts(F.col("url"))
+    outcomes = (pages.select(host.alias("host"), F.regexp_extract(path, r"/(\d{1,18})(?!\d)", 1)
+                             .try_cast("bigint").alias("doc_id"))
+                .join(labels, "doc_id", "left").select("host", "good"))
+    return url_reputation.judge(pages, outcomes, URL_RULES)
+
+
 def op6_minhash(spark, sf_dir):
     """Component of every document by 2-word shingles and Jaccard similarity >= 0.8."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -85,8 +119,9 @@ def op9_winnow(spark, sf_dir):
 
 
 LLM_QUERIES = {q.__name__: registered(q) for q in (
-    op1_bpe, op3_pack, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow)}
+    op1_bpe, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow)}
 
 LLM_ORACLE: dict[str, str] = {
+    "op5_url_reputation": oracle.OP5,
     "op8_line_frequency": oracle.OP8,
 }

@@ -40,3 +40,68 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 100 * n_removed <= 80 * n_words AS kept
 FROM judged
 """
+
+OP5 = r"""
+WITH split AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+outcome AS (
+  SELECT host, CASE WHEN quality IS NULL OR toxic IS NULL THEN NULL
+                    ELSE quality = 1 AND toxic = 0 END AS good
+  FROM split LEFT JOIN labels
+    ON doc_id = try_cast(regexp_extract(path, '/([0-9]{1,18})([^0-9]|$)', 1) AS BIGINT)),
+counted AS (
+  SELECT host, count(good) AS n, count(*) FILTER (WHERE good) AS k FROM outcome GROUP BY host),
+cut AS (
+  SELECT *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS p FROM counted),
+hosts AS (
+  SELECT host, n, k,
+         CASE WHEN array_to_string(p[-2:], '.') IN ('ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'co.jp',
+                                                    'com.au', 'com.br', 'co.nz')
+              THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix,
+         CASE WHEN array_to_string(p[-2:], '.') IN ('ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'co.jp',
+                                                    'com.au', 'com.br', 'co.nz')
+              THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain
+  FROM cut),
+top AS (SELECT (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM hosts),
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix),
+s1 AS (SELECT s0.*, mean AS prior FROM s0, top),
+sm AS (SELECT (1 - rho) / rho AS m FROM (SELECT least(greatest(coalesce(
+  (sum(pow(k / n - prior, 2) * n / (prior * (1 - prior))) FILTER (WHERE n > 0)
+   - count(*) FILTER (WHERE n > 0)) / sum(n - 1) FILTER (WHERE n > 1), 0), 1e-3), 0.5) AS rho
+  FROM s1)),
+s2 AS (SELECT suffix, (k + m * prior) / (n + m) AS mean FROM s1, sm),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
+d1 AS (SELECT d0.*, mean AS prior FROM d0 JOIN s2 USING (suffix)),
+dm AS (SELECT (1 - rho) / rho AS m FROM (SELECT least(greatest(coalesce(
+  (sum(pow(k / n - prior, 2) * n / (prior * (1 - prior))) FILTER (WHERE n > 0)
+   - count(*) FILTER (WHERE n > 0)) / sum(n - 1) FILTER (WHERE n > 1), 0), 1e-3), 0.5) AS rho
+  FROM d1)),
+d2 AS (SELECT domain, (k + m * prior) / (n + m) AS mean FROM d1, dm),
+h1 AS (SELECT hosts.*, mean AS prior FROM hosts JOIN d2 USING (domain)),
+hm AS (SELECT (1 - rho) / rho AS m FROM (SELECT least(greatest(coalesce(
+  (sum(pow(k / n - prior, 2) * n / (prior * (1 - prior))) FILTER (WHERE n > 0)
+   - count(*) FILTER (WHERE n > 0)) / sum(n - 1) FILTER (WHERE n > 1), 0), 1e-3), 0.5) AS rho
+  FROM h1)),
+h2 AS (SELECT host, n, k, (k + m * prior) / (n + m) AS mean, k + m * prior AS a,
+              n - k + m * (1 - prior) AS b FROM h1, hm),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1')
+      THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/')
+      THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/'
+  END AS rule FROM split)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN mean + 2.0 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) < 0.5 THEN 'block'
+            ELSE 'allow' END AS verdict,
+       CAST(n AS BIGINT) AS labelled, CAST(k AS BIGINT) AS good
+FROM ruled JOIN h2 USING (host)
+"""
