@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import (
     bpe,
     html_main,
+    label_shards,
     line_frequency,
     near_dup,
     oracle,
@@ -118,8 +119,16 @@ def op9_winnow(spark, sf_dir):
         "removed.n_runs", "removed.n_units", "removed.n_words")
 
 
+def op10_label_shards(spark, sf_dir):
+    """Shard and slot of every document: sizes near equal, equal texts together."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return label_shards.assign(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 LLM_QUERIES = {q.__name__: registered(q) for q in (
-    op1_bpe, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow)}
+    op1_bpe, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow, op10_label_shards)}
 
 LLM_ORACLE: dict[str, str] = {
     "op5_url_reputation": oracle.OP5,
