@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    ann,
     bpe,
     html_main,
     label_shards,
@@ -52,6 +53,12 @@ def op1_bpe(spark, sf_dir):
                     F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")))
 
 
+def op2_ann(spark, sf_dir):
+    """The 10 nearest vectors of every hundredth one."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]),
+                       lambda vec_id: vec_id % 100 == 0)
+
+
 def pack_documents(spark, docs):
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) per piece."""
     parts = (packing.pieces(docs, bpe.read_spec(PACK_WITH))
@@ -128,7 +135,7 @@ def op10_label_shards(spark, sf_dir):
 
 
 LLM_QUERIES = {q.__name__: registered(q) for q in (
-    op1_bpe, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow, op10_label_shards)}
+    op1_bpe, op2_ann, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow, op10_label_shards)}
 
 LLM_ORACLE: dict[str, str] = {
     "op5_url_reputation": oracle.OP5,
