@@ -21,7 +21,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import struct
 import unicodedata
 from collections.abc import Iterable, Sequence
 
@@ -40,10 +39,12 @@ NOT_SPACE = r"\x1c-\x1f"
 
 ID_BITS = 24               # a merge is kept as rank << ID_BITS | new id
 ID_MASK = (1 << ID_BITS) - 1
-NEVER = 1 << 62            # rank of a pair that does not merge
+NEVER = (1 << 63) - 1      # value of a pair that does not merge
+SLOTS = 20                 # bits of the pair table's size
 MEMO_WORDS = 300_000      # words remembered by a worker, twice (new and old half)
 MEMO_WORD_CHARS = 64      # longer words are encoded each time
-SHORT_FRAGMENT = 24       # symbols up to which a plain scan beats a heap
+WIDTHS = (2, 4, 8, 12, 16, 24)   # fragments up to these lengths are merged side by side
+GROUP_CHARS = 1 << 20     # text characters whose new words are encoded together
 BATCH_BYTES = 8 << 20     # ids gathered before a batch goes back to Spark
 
 
@@ -83,25 +84,32 @@ def _unicode_space(pattern: str) -> str:
     return "".join(out)
 
 
-class _Memo(dict):
-    """word -> ids as bytes.  When the new half is full it becomes the old half,
-    so frequent words survive and memory stays bounded."""
-
-    def __init__(self, encode):
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, word):
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word)
-        if len(word) <= MEMO_WORD_CHARS:
-            self[word] = ids
-        return ids
-
-    def turn(self):
-        if len(self) > MEMO_WORDS:
-            self.old = dict(self)
-            self.clear()
+class _Pairs:
+    """Merge values of many symbol pairs at once: a hash table in arrays."""
+
+    def __init__(self, merge: dict[tuple[int, int], int]):
+        size = 1 << SLOTS
+        self.keys, self.values = np.full(size, -1, np.int64), np.full(size, NEVER, np.int64)
+        self.probes = 1
+        for (a, b), value in merge.items():
+            key = a << ID_BITS | b
+            slot = key * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - SLOTS)
+            step = 0
+            while self.keys[(slot + step) % size] >= 0:
+                step += 1
+            self.probes = max(self.probes, step + 1)
+            self.keys[(slot + step) % size], self.values[(slot + step) % size] = key, value
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << ID_BITS | b
+        slot = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                >> np.uint64(64 - SLOTS)).view(np.int64)
+        out = np.where(self.keys[slot] == key, self.values[slot], NEVER)
+        for step in range(1, self.probes):
+            at = (slot + step) & ((1 << SLOTS) - 1)
+            hit = self.keys[at] == key
+            out[hit] = self.values[at[hit]]
+        return out
 
 
 class Vocabulary:
@@ -115,17 +123,19 @@ class Vocabulary:
             raise ValueError("only plain byte-level BPE vocabularies are supported")
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         chars = _byte_chars()
-        self.first = [vocab[c] for c in chars]             # symbol of a byte inside a word
-        self.last = [vocab[c + suffix] for c in chars]     # symbol of a word's last byte
+        # symbol of a byte inside a word, and of a word's last byte
+        self.first = np.array([vocab[c] for c in chars], np.int64)
+        self.last = np.array([vocab[c + suffix] for c in chars], np.int64)
         self.merge = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merge[vocab[a], vocab[b]] = rank << ID_BITS | vocab[a + b]
         byte_of = {c: b for b, c in enumerate(chars)}
-        self.inside = bytearray(1 << 16)                    # byte pairs that some token holds
+        self.pairs = _Pairs(self.merge)
+        self.inside = np.zeros(1 << 16, bool)               # byte pairs that some token holds
         for token in vocab:
             for a, b in zip(token, token[1:]):
-                self.inside[byte_of[a] << 8 | byte_of[b]] = 1
+                self.inside[byte_of[a] << 8 | byte_of[b]] = True
         added = {t["content"]: t["id"] for t in j.get("added_tokens") or ()}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
                for t in j.get("added_tokens") or ()):
@@ -139,7 +149,7 @@ class Vocabulary:
         self.token = [""] * (1 + max([*vocab.values(), *added.values()]))
         for k, v in (vocab | added).items():
             self.token[v] = k
-        self.memo = _Memo(self._encode_chunk)
+        self.memo, self.old = {}, {}
 
     def _read_normalizer(self, n):
         parts = [] if n is None else n["normalizers"] if n["type"] == "Sequence" else [n]
@@ -171,34 +181,96 @@ class Vocabulary:
 
     # ---- encoding ----
 
-    def _encode_chunk(self, chunk: str) -> bytes:
-        out = []
-        # a word of letters, with the space that byte-level patterns keep, is one piece
-        whole = chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha()
-        for piece in (chunk,) if whole else self.pieces(chunk):
-            data, start = piece.encode("utf-8"), 0
-            for i in range(1, len(data)):
-                if not self.inside[data[i - 1] << 8 | data[i]]:
-                    out += self._merge([self.first[b] for b in data[start:i]])
-                    start = i
-            out += self._merge([*(self.first[b] for b in data[start:-1]), self.last[data[-1]]])
-        return struct.pack(f"<{len(out)}I", *out)
-
-    def _merge(self, ids: list[int]) -> list[int]:
-        """Join the neighbours of lowest rank, leftmost first, until none is left."""
-        if len(ids) > SHORT_FRAGMENT:
-            return self._merge_long(ids)
-        get = self.merge.get
-        ranks = [get(p, NEVER) for p in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) < NEVER:
-            i = ranks.index(best)
-            ids[i:i + 2] = [best & ID_MASK]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = get((ids[i - 1], ids[i]), NEVER)
-            if i < len(ranks):
-                ranks[i] = get((ids[i], ids[i + 1]), NEVER)
-        return ids
+    def _encode_new(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk.  All bytes stand in one array; pieces end, and forced
+        boundaries cut, the fragments, which are then merged side by side."""
+        data, sizes, per_chunk = [], [], []
+        for c in chunks:
+            # a word of letters, with the space that byte-level patterns keep, is one piece
+            whole = c.isalpha() or c[0] == " " and c[1:].isalpha()
+            pieces = (c,) if whole else self.pieces(c)
+            raw = [p.encode("utf-8") for p in pieces]
+            data += raw
+            sizes += map(len, raw)
+            per_chunk.append(len(raw))
+        sizes = np.array(sizes, np.int64)
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        if not len(flat):
+            return [b""] * len(chunks)
+        ends = np.cumsum(sizes) - 1
+        symbols = self.first[flat]
+        symbols[ends] = self.last[flat[ends]]
+        cut = np.ones(len(flat), bool)
+        wide = flat.astype(np.int64)
+        cut[1:] = ~self.inside[wide[:-1] << 8 | wide[1:]]
+        cut[ends[:-1] + 1] = True
+        start = np.flatnonzero(cut)
+        length = np.diff(np.append(start, len(flat)))
+        merged = self._merge_all(symbols, start, length)
+        left = np.zeros(len(flat) + 1, np.int64)
+        left[1:] = np.cumsum(merged >= 0)
+        out = merged[merged >= 0].astype("<u4").tobytes()
+        stops = np.cumsum(per_chunk)
+        edges = np.concatenate([[0], ends + 1])[np.concatenate([[0], stops])]
+        at = (4 * left[edges]).tolist()
+        return [out[i:j] for i, j in zip(at, at[1:])]
+
+    def _merge_all(self, symbols, start, length) -> np.ndarray:
+        """The symbols after merging, each fragment's at its front, -1 for the rest."""
+        out = symbols.copy()
+        low = 1
+        for width in WIDTHS:
+            rows = np.flatnonzero((length > low) & (length <= width))
+            low = width
+            if len(rows):
+                place = start[rows][:, None] + np.arange(width)
+                real = np.arange(width) < length[rows][:, None]
+                s = np.where(real, symbols[np.minimum(place, len(symbols) - 1)], -1)
+                s = self._merge_rows(s)
+                out[place[real]] = s[real]
+        for row in np.flatnonzero(length > low):
+            i, n = int(start[row]), int(length[row])
+            ids = self._merge_long(symbols[i:i + n].tolist())
+            out[i:i + n] = -1
+            out[i:i + len(ids)] = ids
+        return out
+
+    def _merge_rows(self, s: np.ndarray) -> np.ndarray:
+        """Join the pair of lowest rank in each row, leftmost first, until none is left."""
+        n, width = s.shape
+        done = np.full_like(s, -1)
+        who = np.arange(n)
+        value = self.pairs.of(s[:, :-1], s[:, 1:])
+        value[s[:, 1:] < 0] = NEVER
+        while len(who):
+            at = value.argmin(axis=1)
+            row = np.arange(len(who))
+            best = value[row, at]
+            go = best < NEVER
+            if not go.all():
+                done[who[~go]] = s[~go]
+                s, value, who, at, best = s[go], value[go], who[go], at[go], best[go]
+                row = np.arange(len(who))
+            if not len(who):
+                break
+            s[row, at] = best & ID_MASK
+            # close the gap behind the merged symbol
+            column = np.arange(width - 1)
+            move = column[None, :] + (column[None, :] > at[:, None])
+            s = np.concatenate([np.take_along_axis(s, move, 1),
+                                np.full((len(who), 1), -1)], axis=1)
+            pair = np.arange(width - 2)
+            value = np.concatenate([np.take_along_axis(
+                value, pair[None, :] + (pair[None, :] >= at[:, None]), 1),
+                np.full((len(who), 1), NEVER)], axis=1)
+            has = np.flatnonzero(at > 0)
+            value[has, at[has] - 1] = self.pairs.of(s[has, at[has] - 1], s[has, at[has]])
+            after = s[row, np.minimum(at + 1, width - 1)]
+            has = np.flatnonzero((at + 1 < width) & (after >= 0))
+            value[has, at[has]] = self.pairs.of(s[has, at[has]], after[has])
+            none = np.flatnonzero((at < width - 1) & ~((at + 1 < width) & (after >= 0)))
+            value[none, at[none]] = NEVER
+        return done
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         get, n = self.merge.get, len(ids)
@@ -220,23 +292,46 @@ class Vocabulary:
                     heapq.heappush(heap, (m, a, (ids[a], ids[b])))
         return [x for x, keep in zip(ids, alive) if keep]
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the whole text as little-endian unsigned 32-bit integers."""
-        self.memo.turn()
+    def _chunks(self, text: str | None) -> list[str]:
         if not text:
-            return b""
-        if self.cut_added and (parts := self.cut_added.split(text)) and len(parts) > 1:
-            return b"".join(self.added[p] if i % 2 else self._encode_plain(p)
-                            for i, p in enumerate(parts))
-        return self._encode_plain(text)
-
-    def _encode_plain(self, text: str) -> bytes:
+            return []
+        if self.cut_added and len(parts := self.cut_added.split(text)) > 1:
+            # every second part is an added token, which stands for itself
+            return [c for i, p in enumerate(parts)
+                    for c in ((p,) if i % 2 else self._plain_chunks(p))]
+        return self._plain_chunks(text)
+
+    def _plain_chunks(self, text: str) -> list[str]:
         if self.normalize:
             if not text.isascii():
                 # final sigma is not treated apart by the vocabulary's lower-casing
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
             text = text.lower()
-        return b"".join(map(self.memo.__getitem__, self.chunks(text)))
+        return self.chunks(text)
+
+    def encode_group(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.memo) > MEMO_WORDS:        # the new half becomes the old one
+            self.old, self.memo = self.memo, {}
+        memo, old = self.memo, self.old
+        cut = [self._chunks(t) for t in texts]
+        unseen = set().union(*cut).difference(memo)
+        fresh = []
+        for c in unseen:
+            ids = old.get(c) or self.added.get(c)
+            if ids is None:
+                fresh.append(c)
+            else:
+                memo[c] = ids
+        memo.update(zip(fresh, self._encode_new(fresh)))
+        out = [b"".join(map(memo.__getitem__, c)) for c in cut]
+        for c in fresh:
+            if len(c) > MEMO_WORD_CHARS:
+                del memo[c]
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_group([text])[0]
 
     # ---- decoding ----
 
@@ -288,7 +383,7 @@ def _schema(df: DataFrame, keep: Sequence[str], *fields: tuple[str, T.DataType])
 
 def _map_rows(df: DataFrame, keep: Sequence[str], column: str, spec: str,
               fields: Sequence[tuple[str, T.DataType, pa.DataType]], work, weigh) -> DataFrame:
-    """keep + fields, where ``work(vocabulary, value)`` yields the field tuples of a row."""
+    """keep + fields, where ``work(vocabulary, column)`` yields (row number, field tuple)."""
     shared = df.sparkSession.sparkContext.broadcast(spec)
     names = [*keep, *(f[0] for f in fields)]
     from pyspark.sql.pandas.types import to_arrow_type
@@ -300,21 +395,32 @@ def _map_rows(df: DataFrame, keep: Sequence[str], column: str, spec: str,
         def rows():
             for b in batches:
                 kept = [c.to_pylist() for c in b.columns[:-1]]
-                for i, value in enumerate(b.columns[-1]):
-                    for out in work(v, value.as_py()):
-                        yield (*(c[i] for c in kept), *out)
+                for i, out in work(v, b.columns[-1]):
+                    yield (*(c[i] for c in kept), *out)
         return in_batches(rows(), names, kinds, weigh)
 
     source = df.select(*keep, F.col(column).alias("__value"))
     return source.mapInArrow(run, _schema(df, keep, *((f[0], f[1]) for f in fields)))
 
 
+def encoded(v: Vocabulary, column: pa.Array) -> Iterable[tuple[int, bytes]]:
+    """(row number, ids) of a text column, in groups of about GROUP_CHARS characters."""
+    held, size, first = [], 0, 0
+    for value in column:
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= GROUP_CHARS:
+            yield from enumerate(v.encode_group(held), first)
+            first, held, size = first + len(held), [], 0
+    yield from enumerate(v.encode_group(held), first)
+
+
 def encode(df: DataFrame, spec: str, text: str = "text", keep: Sequence[str] = ("doc_id",)
            ) -> DataFrame:
     """keep columns, n_tokens long, ids binary (little-endian unsigned 32-bit)."""
-    def work(v, value):
-        ids = v.encode(value)
-        yield len(ids) // 4, ids
+    def work(v, column):
+        for i, ids in encoded(v, column):
+            yield i, (len(ids) // 4, ids)
     return _map_rows(df, keep, text, spec,
                      [("n_tokens", T.LongType(), pa.int64()), ("ids", T.BinaryType(), pa.binary())],
                      work, lambda r: len(r[-1]))
@@ -323,7 +429,8 @@ def encode(df: DataFrame, spec: str, text: str = "text", keep: Sequence[str] = (
 def decode(df: DataFrame, spec: str, ids: str = "ids", keep: Sequence[str] = ("doc_id",)
            ) -> DataFrame:
     """keep columns and decoded string, from packed ids."""
-    def work(v, value):
-        yield (v.decode(value),)
+    def work(v, column):
+        for i, value in enumerate(column):
+            yield i, (v.decode(value.as_py()),)
     return _map_rows(df, keep, ids, spec, [("decoded", T.StringType(), pa.string())],
                      work, lambda r: len(r[-1]))

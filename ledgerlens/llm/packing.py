@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.bpe import _map_rows
+from ledgerlens.llm.bpe import _map_rows, encoded
 
 CAPACITY = 2048
 END_ID = 0
@@ -45,10 +45,11 @@ def pieces(df: DataFrame, spec: str, capacity: int = CAPACITY, end_id: int = END
     """keep columns, piece int, start long, length long, ids binary per piece."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def work(v, value):
-        ids = v.encode(value) + end
-        for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-            yield k, start, length, ids[4 * start:4 * (start + length)]
+    def work(v, column):
+        for i, ids in encoded(v, column):
+            ids += end
+            for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
+                yield i, (k, start, length, ids[4 * start:4 * (start + length)])
     return _map_rows(df, keep, text, spec,
                      [("piece", T.IntegerType(), pa.int32()), ("start", T.LongType(), pa.int64()),
                       ("length", T.LongType(), pa.int64()), ("ids", T.BinaryType(), pa.binary())],
