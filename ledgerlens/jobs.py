@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import percentiles, promotions, trailing, variety
+from ledgerlens.session import SESSION_DEFAULTS
 from ledgerlens.sources import sinks
 from ledgerlens.sources.sales import sales_from_csv, sales_from_tables
 
@@ -82,7 +83,11 @@ def main(argv=None, spark: SparkSession | None = None) -> str:
     ap.add_argument("--tables", action="store_true",
                     help="INPUT is a folder of the star-schema Parquet tables")
     a = ap.parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"ledgerlens-{a.job}").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName(f"ledgerlens-{a.job}")
+        for key, value in SESSION_DEFAULTS.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
     return JOBS[a.job](spark, a.input, a.output, a.tables)
 
 

@@ -6,6 +6,9 @@ their size follows the number of groups, never the number of lines.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,10 @@ def threshold_diff(approx: DataFrame, exact: DataFrame, keys=GROUP_KEYS,
     """keys, <level>_approx, <level>_exact, <level>_diff (approx - exact)."""
     keys = list(keys)
     a = approx.select(*keys, *[F.col(l).alias(f"{l}_approx") for l in levels])
-    e = exact.select(*keys, *[F.col(l).alias(f"{l}_exact") for l in levels])
-    j = a.join(e, keys)
+    e = exact.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     *[F.col(l).alias(f"{l}_exact") for l in levels])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    j = a.join(e, same)                     # null keys are groups like any other
     return j.select(*keys, *[c for l in levels for c in (
         F.col(f"{l}_approx"), F.col(f"{l}_exact"),
         (F.col(f"{l}_approx") - F.col(f"{l}_exact")).alias(f"{l}_diff"))])
@@ -37,14 +42,14 @@ def top_threshold_mismatches(diff: DataFrame, level: str, k: int = 20,
 
 
 def _long_by_level(wide: DataFrame, levels, cols_for, keys=GROUP_KEYS) -> DataFrame:
-    """Unpivot the wide result into one row per (group, level)."""
-    parts = [wide.select(F.lit(l.upper()).alias("percentile"), *keys,
-                         *[F.col(src).alias(dst) for dst, src in cols_for(l)])
-             for l in levels]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Unpivot the wide result into one row per (group, level); the result is computed
+    once, not once per level."""
+    names = [dst for dst, _ in cols_for(levels[0])]
+    rows = ", ".join(f"'{l.upper()}', " + ", ".join(f"`{src}`" for _, src in cols_for(l))
+                     for l in levels)
+    return wide.select(*keys, F.expr(f"stack({len(levels)}, {rows}) "
+                                     f"AS (percentile, {', '.join(names)})")).select(
+        "percentile", *keys, *names)
 
 
 def threshold_accuracy(wide: DataFrame, levels=LEVEL_NAMES) -> DataFrame:
@@ -63,20 +68,21 @@ def threshold_accuracy(wide: DataFrame, levels=LEVEL_NAMES) -> DataFrame:
         F.max(d).alias("max_signed_diff")))
 
 
-def mismatch_union(wide: DataFrame, levels=LEVEL_NAMES, k: int = 20,
+def mismatch_union(wide: DataFrame, levels=LEVEL_NAMES, k: int | None = None,
                    keys=GROUP_KEYS) -> DataFrame:
-    """P80 and P90 threshold mismatches in one list (UNION ALL), ordered by
-    percentile ascending then absolute difference descending; first k."""
+    """P80 and P90 threshold mismatches in one list: all of them, or for a display
+    the first k by percentile and descending absolute difference."""
     long = _long_by_level(wide, levels, lambda l: [
         ("total_orders", "total_orders"),
         ("threshold_approx", f"threshold_{l}_approx"),
         ("threshold_exact", f"threshold_{l}_exact")])
-    return (long.filter(F.col("threshold_approx") != F.col("threshold_exact"))
+    rows = (long.filter(F.col("threshold_approx") != F.col("threshold_exact"))
             .withColumn("abs_threshold_diff",
-                        F.abs(F.col("threshold_approx") - F.col("threshold_exact")))
-            .orderBy(F.asc("percentile"), F.desc("abs_threshold_diff"),
-                     *[F.asc(c) for c in keys])
-            .limit(k))
+                        F.abs(F.col("threshold_approx") - F.col("threshold_exact"))))
+    if k is None:
+        return rows
+    return rows.orderBy(F.asc("percentile"), F.desc("abs_threshold_diff"),
+                        *[F.asc(c) for c in keys]).limit(k)
 
 
 def result_drift(wide: DataFrame, levels=LEVEL_NAMES, digits: int = 6) -> DataFrame:

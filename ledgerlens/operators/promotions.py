@@ -11,14 +11,13 @@
 6. Per city: qualified / base lines as a percentage, rounded to 2 places; 0
    when none qualify (cities are kept).
 
-Plan: the promotion list is exploded once per use; validity is a
-min/max aggregation with map-side combine.  Tokens are reduced to distinct
-(order, promotion) pairs before the left-semi join against the valid set, and
+Plan: the promotion list is exploded once and reduced to (order, promotion)
+pairs with their first and last date; validity is an aggregation of these
+pairs, the left-semi join against the valid set reads the same exchange, and
 base lines meet the qualifying orders before the per-state averages.  Both
 small sides (valid promotions, state averages) are aggregates whose size is
-only known at run time, and both are joined to a stage that cannot start
-before they finish, so AQE measures them and broadcasts them only when they
-are under its threshold; otherwise the join stays sort-merge with skewed
+only known at run time; if AQE has measured them before their join starts, it
+broadcasts them when they are under its threshold; otherwise the join stays sort-merge with skewed
 partitions split.  Numerator and denominator come out of one aggregation per
 city.
 """
@@ -48,10 +47,21 @@ def promotion_tokens(sales: DataFrame) -> DataFrame:
 def valid_promotions(sales: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
     """(promotion_id, first_seen, last_seen, active_days) with
     active_days >= min_days."""
-    toks = promotion_tokens(sales).filter(F.col("promotion_id") != "")
-    return (toks.groupBy("promotion_id")
+    return _valid(order_promotions(sales), min_days)
+
+
+def order_promotions(sales: DataFrame) -> DataFrame:
+    """(order_id, promotion_id, first_seen, last_seen) per order and promotion."""
+    return (promotion_tokens(sales).filter(F.col("promotion_id") != "")
+            .groupBy("order_id", "promotion_id")
             .agg(F.min("order_date").alias("first_seen"),
-                 F.max("order_date").alias("last_seen"))
+                 F.max("order_date").alias("last_seen")))
+
+
+def _valid(pairs: DataFrame, min_days: int) -> DataFrame:
+    return (pairs.groupBy("promotion_id")
+            .agg(F.min("first_seen").alias("first_seen"),
+                 F.max("last_seen").alias("last_seen"))
             .withColumn("active_days", F.datediff("last_seen", "first_seen"))
             .filter(F.col("active_days") >= min_days))
 
@@ -60,13 +70,13 @@ def orders_with_valid_promos(sales: DataFrame, min_promos: int = MIN_VALID_PROMO
                              min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
     """(order_id, valid_promo_count) for orders with >= min_promos distinct
     valid promotions across all their lines."""
-    valid = valid_promotions(sales, min_days).select("promotion_id")
-    # distinct (order, promotion) pairs first: the semi-join then meets a
-    # finished stage, so AQE can broadcast the valid set when it measures
-    # small; counting the surviving pairs per order is the distinct count.
-    pairs = (promotion_tokens(sales).filter(F.col("promotion_id") != "")
-             .select("order_id", "promotion_id").distinct())
-    return (pairs.join(valid, "promotion_id", "left_semi")
+    pairs = order_promotions(sales)
+    valid = _valid(pairs, min_days).select("promotion_id")
+    # Counting the surviving pairs per order is the distinct count.  A pair without
+    # any date cannot be valid; asking for one also keeps both uses of the pairs
+    # alike, so that their one exchange is shared.
+    dated = pairs.filter(F.col("first_seen") <= F.col("last_seen"))
+    return (dated.join(valid, "promotion_id", "left_semi")
             .groupBy("order_id")
             .agg(F.count(F.lit(1)).alias("valid_promo_count"))
             .filter(F.col("valid_promo_count") >= min_promos))
@@ -106,9 +116,9 @@ def qualification_rate(sales: DataFrame, min_promos: int = MIN_VALID_PROMOS,
     avgs = state_avg_amount(sales)
     good = (orders_with_valid_promos(sales, min_promos, min_days)
             .select("order_id", F.lit(True).alias("promo_ok")))
-    # order_id first (that shuffle is needed anyway); the one-row-per-state
-    # averages are then joined to a non-leaf stage, which AQE turns into a
-    # broadcast once it has measured them -- no shuffle of lines by state.
+    # order_id first (that shuffle is needed anyway); the averages, one row per
+    # state, are then usually measured and broadcast.  Where they are not ready in
+    # time the join shuffles by state, and AQE splits the hot states.
     flagged = (base.join(good, "order_id", "left")
                .join(avgs, "state", "left"))
     qualified = (F.col("amount") < F.col("avg_amount")) & F.col("promo_ok")

@@ -1,31 +1,25 @@
 """Result validation and input profiling reports.
 
-Each report is one aggregation (or one aggregation per small breakdown) over
-the frame it checks; multi-valued results are unpivoted with ``stack`` rather
-than collected.  Nothing is brought to the driver except through the final
+Each report is one aggregation over the frame it checks; several results of one
+row, or several levels of one group, are unpivoted with ``stack``.  Nothing is brought to the driver except through the final
 action the caller runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.clean import promo_count_profile
+from ledgerlens.functions.clean import SALES_DATE_FORMAT, promo_count_profile
 from ledgerlens.operators.percentiles import GROUP_KEYS
+from ledgerlens.operators.percentiles import LEVELS as PERCENTILE_LEVELS
 
 METHODS = ("approx", "exact")
-LEVELS = ("p80", "p90")
-# Columns the wide percentile result must carry, in the reference's order.
-REQUIRED_COLUMNS = (
-    "sku", "month", "total_orders",
-    "threshold_p80_approx", "threshold_p90_approx",
-    "orders_p80_approx", "orders_p90_approx",
-    "stddev_p80_approx", "stddev_p90_approx",
-    "threshold_p80_exact", "threshold_p90_exact",
-    "orders_p80_exact", "orders_p90_exact",
-    "stddev_p80_exact", "stddev_p90_exact",
-)
+LEVELS = tuple(name for name, _ in PERCENTILE_LEVELS)
+# Columns the wide percentile result must carry.
+REQUIRED_COLUMNS = (*GROUP_KEYS, "total_orders", *(
+    f"{what}_{level}_{method}" for method in METHODS
+    for what in ("threshold", "orders", "stddev") for level in LEVELS))
 ZERO_TOL = 1e-12
 
 
@@ -45,6 +39,11 @@ def heavy_groups(orders: DataFrame, keys=GROUP_KEYS, min_rows: int = 1000) -> Da
             .orderBy(F.desc("total_orders"), *[F.asc(k) for k in keys]))
 
 
+def group_counts(orders: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """(keys..., total_orders): all that overview and the group-size histogram need."""
+    return orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_orders"))
+
+
 def top_groups(orders: DataFrame, keys=GROUP_KEYS, k: int = 10) -> DataFrame:
     """The k largest groups (ties broken by the keys)."""
     keys = list(keys)
@@ -67,46 +66,49 @@ def largest_groups(wide: DataFrame, k: int = 10, keys=GROUP_KEYS) -> DataFrame:
 
 def validate_result(wide: DataFrame, keys=GROUP_KEYS) -> DataFrame:
     """(check, violations): missing required columns, duplicate keys and the
-    12 consistency invariants of the wide percentile result."""
+    12 consistency invariants of the wide percentile result.  Invariants on a
+    missing column are not evaluated: their violations are null."""
     missing = [c for c in REQUIRED_COLUMNS if c not in wide.columns]
     keys = list(keys)
-    checks = {
-        "missing_required_columns": F.lit(len(missing)).cast("bigint"),
-        "duplicate_keys": (F.count(F.lit(1))
-                           - F.count_distinct(F.struct(*keys))).cast("bigint"),
-    }
+    checks = {"missing_required_columns": (F.lit(len(missing)).cast("bigint"), []),
+              "duplicate_keys": ((F.count(F.lit(1)) - F.count_distinct(F.struct(*keys)))
+                                 .cast("bigint"), keys)}
+
+    def broken(name, condition, *columns):
+        checks[name] = (condition, columns)
     for m in METHODS:
-        checks[f"threshold_p90_{m} >= threshold_p80_{m}"] = F.count_if(
-            F.col(f"threshold_p90_{m}") < F.col(f"threshold_p80_{m}"))
-        checks[f"orders_p90_{m} <= orders_p80_{m}"] = F.count_if(
-            F.col(f"orders_p90_{m}") > F.col(f"orders_p80_{m}"))
+        t80, t90, o80, o90 = (f"{w}_{l}_{m}" for w in ("threshold", "orders") for l in LEVELS)
+        broken(f"{t90} >= {t80}", lambda a=t80, b=t90: F.col(b) < F.col(a), t80, t90)
+        broken(f"{o90} <= {o80}", lambda a=o80, b=o90: F.col(b) > F.col(a), o80, o90)
         for l in LEVELS:
-            checks[f"orders_{l}_{m} <= total_orders"] = F.count_if(
-                F.col(f"orders_{l}_{m}") > F.col("total_orders"))
-            checks[f"stddev_{l}_{m} == 0 when orders_{l}_{m} < 2"] = F.count_if(
-                (F.col(f"orders_{l}_{m}") < 2)
-                & (F.abs(F.col(f"stddev_{l}_{m}")) > ZERO_TOL))
-    agg = wide.agg(*[v.alias(k) for k, v in checks.items()])
-    return _unpivot_one_row(agg, "check", "violations")
+            o, sd = f"orders_{l}_{m}", f"stddev_{l}_{m}"
+            broken(f"{o} <= total_orders", lambda o=o: F.col(o) > F.col("total_orders"),
+                   o, "total_orders")
+            broken(f"{sd} == 0 when {o} < 2",
+                   lambda o=o, sd=sd: (F.col(o) < 2) & (F.abs(F.col(sd)) > ZERO_TOL), o, sd)
+    found = []
+    for name, (check, columns) in checks.items():
+        if set(columns) & set(missing):
+            check = F.max(F.lit(None).cast("bigint"))
+        elif callable(check) and not isinstance(check, Column):
+            check = F.count_if(check())
+        found.append(check.alias(name))
+    return _unpivot_one_row(wide.agg(*found), "check", "violations")
 
 
 def zero_breakdown(wide: DataFrame) -> DataFrame:
     """Per method x level: groups with zero stddev, zero because fewer than 2
     qualify, zero with >= 2 qualifying, non-zero."""
-    parts = []
-    for m in METHODS:
-        for l in LEVELS:
-            o, s = F.col(f"orders_{l}_{m}"), F.col(f"stddev_{l}_{m}")
-            parts.append(wide.agg(
-                F.count_if(s == 0).alias("zero_stddev_groups"),
-                F.count_if((o < 2) & (s == 0)).alias("zero_due_to_lt2_qualifying_orders"),
-                F.count_if((o >= 2) & (s == 0)).alias("zero_with_at_least_2_qualifying_orders"),
-                F.count_if(s != 0).alias("nonzero_stddev_groups"))
-                .select(F.lit(m).alias("method"), F.lit(l.upper()).alias("percentile"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = ", ".join(f"'{m}', '{l.upper()}', `orders_{l}_{m}`, `stddev_{l}_{m}`"
+                     for m in METHODS for l in LEVELS)
+    long = wide.select(F.expr(f"stack({len(METHODS) * len(LEVELS)}, {rows}) "
+                              "AS (method, percentile, o, s)"))
+    o, s = F.col("o"), F.col("s")
+    return long.groupBy("method", "percentile").agg(
+        F.count_if(s == 0).alias("zero_stddev_groups"),
+        F.count_if((o < 2) & (s == 0)).alias("zero_due_to_lt2_qualifying_orders"),
+        F.count_if((o >= 2) & (s == 0)).alias("zero_with_at_least_2_qualifying_orders"),
+        F.count_if(s != 0).alias("nonzero_stddev_groups"))
 
 
 def overview(wide: DataFrame) -> DataFrame:
@@ -126,10 +128,10 @@ def overview(wide: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """(bin, bin_lower, bin_upper, count) over ``bins`` equal-width bins
     between the column's min and max; the last bin is closed on the right.
-    min and max are scalar subqueries -- evaluated once, no join."""
-    stats = df.agg(F.min(col).cast("double").alias("mn"), F.max(col).cast("double").alias("mx"))
-    mn = stats.select("mn").scalar()
-    mx = stats.select("mx").scalar()
+    both ends are one scalar subquery: no join, and it shares the exchange below ``df``."""
+    ends = df.agg(F.struct(F.min(col).cast("double").alias("mn"),
+                           F.max(col).cast("double").alias("mx"))).scalar()
+    mn, mx = ends["mn"], ends["mx"]
     x = F.col(col).cast("double")
     width = mx - mn
     b = F.when(width == 0, F.lit(1)).otherwise(
@@ -165,6 +167,29 @@ def profile_summary(sales: DataFrame) -> DataFrame:
         F.count_if(F.col("order_date").isNull()).alias("date_parse_errors"))
 
 
+def profile_raw(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row describing the report as text, before any typing: rows, columns, blank and
+    zero-text amounts, amounts that are no number, blank SKUs, promotions, unparseable
+    dates and quantities.  ``columns`` maps amount, sku, order_date, qty and
+    promotion_ids to the names they have in ``raw``."""
+    text = {k: F.trim(F.coalesce(F.col(f"`{v}`"), F.lit(""))) for k, v in columns.items()}
+    amount, day, qty = text["amount"], text["order_date"], text["qty"]
+    promo = F.coalesce(F.col(f"`{columns['promotion_ids']}`"), F.lit(""))
+    parsed = F.try_to_date(day, SALES_DATE_FORMAT)
+    return raw.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.lit(len(raw.columns)).alias("num_columns"),
+        F.count_if(amount == "").alias("empty_amount_rows"),
+        F.count_if(amount.isin("0", "0.0", "0.00")).alias("zero_amount_rows"),
+        F.count_if((amount != "") & amount.try_cast("double").isNull()).alias("bad_amount_rows"),
+        F.count_if(text["sku"] == "").alias("empty_sku_rows"),
+        F.count_if(F.trim(promo) != "").alias("rows_with_promotions"),
+        F.count_if(promo.rlike(r"^\s|\s$") & (F.trim(promo) != ""))
+         .alias("promotions_with_outer_whitespace"),
+        F.count_if(parsed.isNull()).alias("date_parse_errors"),
+        F.count_if(qty.try_cast("int").isNull()).alias("bad_qty_rows"))
+
+
 def promo_distribution(sales: DataFrame) -> DataFrame:
     """(promo_count, rows) with the profile's counting rule (blank tokens
     dropped, repeats kept)."""

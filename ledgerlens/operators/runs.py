@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: shape of a timing line, e.g. "[approx] Run 3: 1066 ms".
-RUN_LINE_PATTERN = r"(?i)\[(approx|exact|[a-z_]+)\]\s+Run\s+(\d+)\s*:\s*(\d+)\s*ms"
+RUN_LINE_PATTERN = r"(?i)\[([a-z_]+)\]\s+Run\s+(\d+)\s*:\s*(\d+)\s*ms"
 
 
 def parse_run_lines(lines: DataFrame, text_col: str = "value",
                     pattern: str = RUN_LINE_PATTERN) -> DataFrame:
     """(method, run, ms) for every matching line; other lines are ignored.
-    A ``line`` column (see ``number_lines``) is carried along if present."""
+    A ``line`` column (the order of the log) is carried along if present."""
     t = F.col(text_col)
     keep = [F.col("line")] if "line" in lines.columns else []
     return (lines.filter(t.rlike(pattern))
@@ -68,22 +68,18 @@ def run_stats(runs: DataFrame, group: str = "method", value: str = "seconds",
         F.round(F.max(v), digits).alias("max_seconds"))
 
 
-def number_lines(lines: DataFrame, name: str = "run") -> DataFrame:
-    """Add a 1-based, gap-free line number in input order (file order for a
-    text or Parquet scan) without moving the lines into one task.
+def number_lines(lines: DataFrame, groups: list, order: list, name: str = "run") -> DataFrame:
+    """Add a 1-based, gap-free number in the order of ``groups``, then ``order``.
 
-    Each line's position inside its partition comes from
-    ``monotonically_increasing_id`` (partition id in the upper bits); the
-    partitions' line counts are summed into offsets over a table with one
-    row per partition -- bounded by the partition count, so it is
-    broadcast -- and the offset is added back.  Must be applied directly on
-    the scan, before any shuffle, so that partition order is input order."""
-    pid = F.spark_partition_id().cast("bigint")
-    pos = lines.withColumn("_pid", pid).withColumn(
-        "_idx", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), 33))
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (pos.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_idx") + 1)
-            .drop("_pid", "_idx", "_off"))
+    ``groups`` are expressions that cut the lines, in order, into pieces a task can
+    sort: the file and block of a text line, or ranges of a numeric key.  Lines are
+    numbered inside their group and shifted by the size of all groups before, from
+    a table with one row per group; no task sees all lines."""
+    names = [f"_g{i}" for i in range(len(groups))]
+    cut = lines.select("*", *[g.alias(n) for g, n in zip(groups, names)])
+    sizes = cut.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    return (cut.withColumn("_i", inside).join(offsets, names)
+            .withColumn(name, F.col("_off") + F.col("_i")).drop(*names, "_i", "_off"))

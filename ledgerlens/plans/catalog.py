@@ -15,9 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.clean import int_or_zero, norm_state, parse_sales_date
 from ledgerlens.operators import compare, percentiles, promotions, quality, runs, trailing, variety
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import logs, sinks
+from ledgerlens.sources import sales as sales_csv
 from ledgerlens.sources.sales import SALES_COLUMNS, sales_from_tables
 from ledgerlens.sources.tables import read_table
 
@@ -141,40 +143,62 @@ def q_percentile_stddev(spark, d):
 
 # ---- comparison reports ------------------------------------------------------
 
+# On these tables the sketch is exact, so that every comparison would be empty.  The
+# reports therefore compare against thresholds that are off by one in stated groups
+# (p80 up where the SKU is a multiple of 7, p90 down where it is one of 5); the oracle
+# states the same shift in SQL.
+
+def _drifted(o):
+    sku = F.col("sku").cast("bigint")
+    thr = percentiles.threshold_approx(o)
+    return thr.select("sku", "month",
+                      (F.col("p80") + F.when(sku % 7 == 0, 1).otherwise(0)).alias("p80"),
+                      (F.col("p90") - F.when(sku % 5 == 0, 1).otherwise(0)).alias("p90"))
+
+
+def _wide_drifted(spark, d):
+    o = _orders(spark, d)
+    return percentiles.percentile_stddev(o, approx=_drifted(o))
+
+
 def q_threshold_diff(spark, d):
     o = _orders(spark, d)
-    return compare.threshold_diff(percentiles.threshold_approx(o),
-                                  percentiles.threshold_exact(o))
+    return compare.threshold_diff(_drifted(o), percentiles.threshold_exact(o))
 
 
 def q_threshold_mismatch_top(spark, d):
-    o = _orders(spark, d)
-    diff = compare.threshold_diff(percentiles.threshold_approx(o),
-                                  percentiles.threshold_exact(o))
-    return compare.top_threshold_mismatches(diff, "p80", 20)
+    return compare.top_threshold_mismatches(q_threshold_diff(spark, d), "p80", 20)
+
+
+def q_threshold_mismatch_top_p90(spark, d):
+    return compare.top_threshold_mismatches(q_threshold_diff(spark, d), "p90", 20)
 
 
 def q_threshold_accuracy(spark, d):
-    return round_cols(compare.threshold_accuracy(_wide(spark, d)),
+    return round_cols(compare.threshold_accuracy(_wide_drifted(spark, d)),
                       "mismatch_rate_percent", "mean_abs_threshold_diff")
 
 
 def q_mismatch_union(spark, d):
-    return compare.mismatch_union(_wide(spark, d))
+    return compare.mismatch_union(_wide_drifted(spark, d))
+
+
+def q_mismatch_union_top(spark, d):
+    return compare.mismatch_union(_wide_drifted(spark, d), k=20)
 
 
 def q_result_drift(spark, d):
-    df = compare.result_drift(_wide(spark, d))
+    df = compare.result_drift(_wide_drifted(spark, d))
     return round_cols(df, "stddev_approx", "stddev_exact")
 
 
 def q_diff_groups(spark, d):
-    df = compare.diff_groups(_wide(spark, d))
+    df = compare.diff_groups(_wide_drifted(spark, d))
     return round_cols(df, "stddev_approx", "stddev_exact", "stddev_diff")
 
 
 def q_qualifying_diff_summary(spark, d):
-    return round_cols(compare.qualifying_diff_summary(_wide(spark, d)),
+    return round_cols(compare.qualifying_diff_summary(_wide_drifted(spark, d)),
                       "mean_abs_qualifying_count_diff", "mean_abs_stddev_diff",
                       "max_abs_stddev_diff")
 
@@ -182,7 +206,7 @@ def q_qualifying_diff_summary(spark, d):
 # ---- validation and profile reports ------------------------------------------------
 
 def q_heavy_groups(spark, d):
-    return quality.heavy_groups(_orders(spark, d), ("sku", "month"), 1000)
+    return quality.heavy_groups(_orders(spark, d), ("sku", "month"), 5)
 
 
 def q_heavy_months(spark, d):
@@ -194,7 +218,8 @@ def q_top_groups(spark, d):
 
 
 def q_largest_groups(spark, d):
-    df = quality.largest_groups(_wide(spark, d), 10)
+    wide = percentiles.percentile_stddev(_orders(spark, d), methods=("exact",))
+    df = quality.largest_groups(wide, 10)
     return round_cols(df, "stddev_p80_exact", "stddev_p90_exact")
 
 
@@ -202,21 +227,82 @@ def q_validate_result(spark, d):
     return quality.validate_result(_wide(spark, d))
 
 
+def q_validate_damaged(spark, d):
+    """The checks on a result with stated damage: other thresholds, counts above the total,
+    stddevs without lines, repeated groups, a missing column."""
+    sku = F.col("sku").cast("bigint")
+    wide = _wide_drifted(spark, d)
+    wide = wide.withColumns({
+        "orders_p90_exact": F.when(sku % 11 == 0, F.col("total_orders") + 1)
+                             .otherwise(F.col("orders_p90_exact")),
+        "stddev_p90_approx": F.when(F.col("orders_p90_approx") < 2, 1.0)
+                              .otherwise(F.col("stddev_p90_approx"))}).drop("stddev_p80_exact")
+    return quality.validate_result(wide.unionByName(wide.filter(sku % 97 == 0)))
+
+
 def q_zero_breakdown(spark, d):
     return quality.zero_breakdown(_wide(spark, d))
 
 
 def q_overview(spark, d):
-    return round_cols(quality.overview(_wide(spark, d)), "mean_orders_per_group")
+    return round_cols(quality.overview(quality.group_counts(_orders(spark, d))),
+                      "mean_orders_per_group")
 
 
 def q_histogram(spark, d):
-    return round_cols(quality.histogram(_wide(spark, d), "total_orders", 50),
+    return round_cols(quality.histogram(quality.group_counts(_orders(spark, d)),
+                                        "total_orders", 50), "bin_lower", "bin_upper")
+
+
+def _stddev_histogram(spark, d, column):
+    wide = percentiles.percentile_stddev(_orders(spark, d), methods=("exact",))
+    return round_cols(quality.histogram(round_cols(wide.select(column), column), column, 50),
                       "bin_lower", "bin_upper")
 
 
+def q_histogram_stddev_p80(spark, d):
+    return _stddev_histogram(spark, d, "stddev_p80_exact")
+
+
+def q_histogram_stddev_p90(spark, d):
+    return _stddev_histogram(spark, d, "stddev_p90_exact")
+
+
 def q_profile_summary(spark, d):
-    return quality.profile_summary(_sales(spark, d))
+    # only the profiled columns: no join for the others
+    sales = _sales(spark, d, "amount", "sku", "promotion_ids", "order_date")
+    return quality.profile_summary(sales).withColumn("num_columns", F.lit(len(SALES_COLUMNS)))
+
+
+# ---- the report as CSV text ------------------------------------------------------
+
+def _sales_csv(spark, d):
+    """A sales CSV with damaged rows, as large as the tables, in the shared folder."""
+    return sales_csv.write_sales_csv(_sales(spark, d), scratch_path(spark, "sales-csv"))
+
+
+def q_csv_by_name(spark, d):
+    return sales_csv.sales_from_csv(spark, _sales_csv(spark, d))
+
+
+def q_csv_by_position(spark, d):
+    raw = sales_csv.read_sales_csv_positional(spark, _sales_csv(spark, d), 12)
+    at = {c: f"_c{i}" for i, (_, c) in enumerate(sales_csv.CSV_HEADER_TO_COLUMN)}
+    day = parse_sales_date(at["order_date"])
+    return (raw.filter(day.isNotNull() & (int_or_zero(at["qty"]) > 0))
+            .groupBy(norm_state(at["state"]).alias("state"), day.alias("day"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum(int_or_zero(at["qty"])).alias("qty")))
+
+
+def q_profile_raw(spark, d):
+    raw = sales_csv.read_sales_csv_raw(spark, _sales_csv(spark, d))
+    names = {c: h for h, c in sales_csv.CSV_HEADER_TO_COLUMN}
+    return quality.profile_raw(raw, {c: names[c] for c in (
+        "amount", "sku", "order_date", "qty", "promotion_ids")})
+
+
+def q_key_integrity(spark, d):
+    return sales_csv.key_integrity(spark, d)
 
 
 def q_promo_distribution(spark, d):
@@ -224,9 +310,8 @@ def q_promo_distribution(spark, d):
 
 
 def q_date_format_classes(spark, d):
-    s = _sales(spark, d, "order_date")
-    text = s.select(F.date_format("order_date", "MM-dd-yy").alias("date_text"))
-    return quality.date_format_classes(text, "date_text")
+    raw = sales_csv.read_sales_csv_raw(spark, _sales_csv(spark, d))
+    return quality.date_format_classes(raw, "Date")
 
 
 def q_sample_rows(spark, d):
@@ -240,7 +325,18 @@ def q_sample_rows(spark, d):
 def _event_runs(spark, d):
     ev = read_table(spark, d, "events",
                     ["event_id", "user_id", "event_type", "value", "props"])
-    return runs.parse_run_lines(runs.number_lines(logs.event_run_log(ev), "line"))
+    return runs.parse_run_lines(logs.event_run_log(ev))
+
+
+def q_runtime_from_text(spark, d):
+    """The summary from log text: lines written to files, read back, numbered, parsed."""
+    ev = read_table(spark, d, "events",
+                    ["event_id", "user_id", "event_type", "value", "props"])
+    path = scratch_path(spark, "run-log")
+    logs.event_run_log(ev).select("value").write.text(path)
+    lines = runs.number_lines(logs.read_log_text(spark, path), [F.col("file"), F.col("block")],
+                              ["pos"], "line").select("line", "value")
+    return runs.runtime_summary(runs.parse_run_lines(lines), "click")
 
 
 def q_runtime_pivot(spark, d):
@@ -252,8 +348,9 @@ def q_runtime_summary(spark, d):
 
 
 def q_run_numbers(spark, d):
-    ev = read_table(spark, d, "events", ["value"])
-    numbered = runs.number_lines(logs.event_runtime_lines(ev), "run")
+    ev = read_table(spark, d, "events", ["event_id", "value"])
+    numbered = runs.number_lines(logs.event_runtime_lines(ev),
+                                 [F.floor(F.col("event_id") / 100_000)], ["event_id"], "run")
     return numbered.select("run", F.col("value").cast("double").alias("runtime_seconds"))
 
 
@@ -281,8 +378,8 @@ def q_percentile_stddev_parquet(spark, d):
     # one row per group: at scale that is large, so the output is written
     # with its natural partitioning, not squeezed into one file by one task
     path = scratch_path(spark, "percentile-stddev")
-    sinks.write_partitioned(q_percentile_stddev(spark, d), path)
-    return sinks.read_back(spark, path, "parquet")
+    sinks.write_partitioned(_wide(spark, d), path)      # full doubles in the file
+    return _round_wide(sinks.read_back(spark, path, "parquet"))
 
 
 def q_trailing_mode_csv(spark, d):
@@ -303,7 +400,28 @@ def q_json_roundtrip(spark, d):
         "stddev_seconds double, min_seconds double, max_seconds double")
 
 
+def q_json_run_log(spark, d):
+    """The runs themselves, one JSON record each, with the name of the task."""
+    path = scratch_path(spark, "run-log-json")
+    r = _event_runs(spark, d).select(F.lit("events").alias("task"), "method", "run",
+                                     (F.col("ms") / 1000).alias("runtime_seconds"))
+    sinks.write_partitioned(r, path, "json")
+    return sinks.read_back(spark, path, "json",
+                           "task string, method string, run bigint, runtime_seconds double")
+
+
 QUERIES: dict[str, Query] = {
+    "threshold_mismatch_top_p90": q_threshold_mismatch_top_p90,
+    "mismatch_union_top": q_mismatch_union_top,
+    "validate_damaged": q_validate_damaged,
+    "histogram_stddev_p80": q_histogram_stddev_p80,
+    "histogram_stddev_p90": q_histogram_stddev_p90,
+    "csv_by_name": q_csv_by_name,
+    "csv_by_position": q_csv_by_position,
+    "profile_raw": q_profile_raw,
+    "key_integrity": q_key_integrity,
+    "runtime_from_text": q_runtime_from_text,
+    "json_run_log": q_json_run_log,
     "clean_sales": q_clean_sales,
     "trailing_mode": q_trailing_mode,
     "trailing_mode_window_fn": q_trailing_mode_window_fn,

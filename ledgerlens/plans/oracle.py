@@ -182,6 +182,70 @@ wide AS (
 )"""
 
 
+# Thresholds that are off in stated groups, for the comparison reports: p80 is one more
+# where the SKU is a multiple of 7, p90 one less where it is one of 5.
+DRIFT_CTES = PCT_CTES + """,
+thr_d AS (
+  SELECT sku, month, total_orders, p80, p90,
+         p80 + CASE WHEN CAST(sku AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS a80,
+         p90 - CASE WHEN CAST(sku AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END AS a90
+  FROM thr
+),
+res_d AS (
+  SELECT t.sku, t.month, t.total_orders, t.p80, t.p90, t.a80, t.a90,
+    count(*) FILTER (WHERE o.promo_count >= t.p80) AS o80,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.p80) AS s80,
+    count(*) FILTER (WHERE o.promo_count >= t.p90) AS o90,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.p90) AS s90,
+    count(*) FILTER (WHERE o.promo_count >= t.a80) AS oa80,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.a80) AS sa80,
+    count(*) FILTER (WHERE o.promo_count >= t.a90) AS oa90,
+    stddev_pop(o.amount) FILTER (WHERE o.promo_count >= t.a90) AS sa90
+  FROM thr_d t JOIN po o ON o.sku = t.sku AND o.month = t.month
+  GROUP BY ALL
+),
+wide_d AS (
+  SELECT sku, month, total_orders,
+    a80 AS threshold_p80_approx, oa80 AS orders_p80_approx,
+    CASE WHEN oa80 < 2 THEN 0.0 ELSE sa80 END AS stddev_p80_approx,
+    a90 AS threshold_p90_approx, oa90 AS orders_p90_approx,
+    CASE WHEN oa90 < 2 THEN 0.0 ELSE sa90 END AS stddev_p90_approx,
+    p80 AS threshold_p80_exact, o80 AS orders_p80_exact,
+    CASE WHEN o80 < 2 THEN 0.0 ELSE s80 END AS stddev_p80_exact,
+    p90 AS threshold_p90_exact, o90 AS orders_p90_exact,
+    CASE WHEN o90 < 2 THEN 0.0 ELSE s90 END AS stddev_p90_exact
+  FROM res_d
+)"""
+
+
+def _validate_damaged_sql() -> str:
+    ctes = DRIFT_CTES + """,
+damaged AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(sku AS BIGINT) % 11 = 0 THEN total_orders + 1 ELSE orders_p90_exact END
+      AS orders_p90_exact,
+    CASE WHEN orders_p90_approx < 2 THEN 1.0 ELSE stddev_p90_approx END AS stddev_p90_approx)
+  FROM wide_d),
+bad AS (
+  SELECT * FROM damaged
+  UNION ALL SELECT * FROM damaged WHERE CAST(sku AS BIGINT) % 97 = 0)"""
+    parts = ["SELECT 'missing_required_columns' AS \"check\", CAST(1 AS BIGINT) AS violations",
+             "SELECT 'duplicate_keys', count(*) - count(DISTINCT (sku, month)) FROM bad"]
+    for m in ("approx", "exact"):
+        parts.append(f"SELECT 'threshold_p90_{m} >= threshold_p80_{m}', "
+                     f"count_if(threshold_p90_{m} < threshold_p80_{m}) FROM bad")
+        parts.append(f"SELECT 'orders_p90_{m} <= orders_p80_{m}', "
+                     f"count_if(orders_p90_{m} > orders_p80_{m}) FROM bad")
+        for l in ("p80", "p90"):
+            parts.append(f"SELECT 'orders_{l}_{m} <= total_orders', "
+                         f"count_if(orders_{l}_{m} > total_orders) FROM bad")
+            count = ("NULL" if (l, m) == ("p80", "exact") else
+                     f"count_if(orders_{l}_{m} < 2 AND abs(stddev_{l}_{m}) > 1e-12)")
+            parts.append(f"SELECT 'stddev_{l}_{m} == 0 when orders_{l}_{m} < 2', {count} FROM bad"
+                         + (" LIMIT 1" if count == "NULL" else ""))
+    return _q(ctes + "\n" + "\nUNION ALL\n".join(f"({x})" for x in parts))
+
+
 def _validate_sql() -> str:
     parts = ["SELECT 'missing_required_columns' AS \"check\", CAST(0 AS BIGINT) AS violations",
              "SELECT 'duplicate_keys', CAST(count(*) - (SELECT count(*) FROM "
@@ -219,9 +283,9 @@ def _by_level(select_for) -> str:
 
 DIFF_CTE = """,
 diff AS (
-  SELECT sku, month, p80 AS p80_approx, p80 AS p80_exact, CAST(p80 - p80 AS INTEGER) AS p80_diff,
-         p90 AS p90_approx, p90 AS p90_exact, CAST(p90 - p90 AS INTEGER) AS p90_diff
-  FROM thr
+  SELECT sku, month, a80 AS p80_approx, p80 AS p80_exact, CAST(a80 - p80 AS INTEGER) AS p80_diff,
+         a90 AS p90_approx, p90 AS p90_exact, CAST(a90 - p90 AS INTEGER) AS p90_diff
+  FROM thr_d
 )"""
 
 EVENT_CTES = """
@@ -258,6 +322,38 @@ SELECT d.city, d.base_count, coalesce(n.qualified_count, 0) AS qualified_count,
        round(coalesce(n.qualified_count, 0) / d.base_count * 100, 2) AS pct_qualified
 FROM denom d LEFT JOIN numer n ON d.city = n.city""")
 
+MISMATCH_CTE = DRIFT_CTES + """,
+u AS (""" + _by_level(lambda l: f"""
+  SELECT '{l.upper()}' AS percentile, sku, month, total_orders,
+         threshold_{l}_approx AS threshold_approx, threshold_{l}_exact AS threshold_exact
+  FROM wide_d WHERE threshold_{l}_approx <> threshold_{l}_exact""") + """)
+"""
+
+
+def _stddev_histogram_sql(column: str) -> str:
+    return _q(PCT_CTES + f""",
+v AS (SELECT round({column}, 4) AS x FROM wide_raw),
+mm AS (SELECT min(x) AS mn, max(x) AS mx FROM v),
+hb AS (
+  SELECT CASE WHEN mx - mn = 0 THEN 1
+              ELSE least(CAST(floor((x - mn) * 50 / (mx - mn)) AS INTEGER) + 1, 50) END AS bin, mn, mx
+  FROM v, mm WHERE x IS NOT NULL
+)
+SELECT bin, round(mn + (bin - 1) * (mx - mn) / 50, 4) AS bin_lower,
+       round(mn + bin * (mx - mn) / 50, 4) AS bin_upper, count(*) AS count
+FROM hb GROUP BY bin, mn, mx""")
+
+
+# The CSV report: its two-digit years mean 2000 to 2099; stated orders have a date, quantity or amount that does not parse.
+CSV_CTE = """
+report AS (
+  SELECT * REPLACE (
+    CASE WHEN order_id % 50 >= 2 THEN CAST(strftime(order_date, '20%y-%m-%d') AS DATE) END
+      AS order_date,
+    CASE WHEN order_id % 70 <> 0 THEN qty END AS qty,
+    CASE WHEN order_id % 90 <> 0 THEN amount END AS amount)
+  FROM sales)"""
+
 ORACLE: dict[str, str] = {
     "style_variety": _q(VARIETY_CTES + "\nSELECT month, state, style, variety FROM sv"),
     "median_variety": MEDIAN_SQL,
@@ -282,11 +378,11 @@ FROM (SELECT sku, month, promo_count, count(*) AS freq FROM po GROUP BY sku, mon
     "threshold_disc": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
     "threshold_approx": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
     "percentile_stddev": _q(PCT_CTES + "\nSELECT * FROM wide"),
-    "threshold_diff": _q(PCT_CTES + DIFF_CTE + "\nSELECT * FROM diff"),
-    "threshold_mismatch_top": _q(PCT_CTES + DIFF_CTE + """
+    "threshold_diff": _q(DRIFT_CTES + DIFF_CTE + "\nSELECT * FROM diff"),
+    "threshold_mismatch_top": _q(DRIFT_CTES + DIFF_CTE + """
 SELECT * FROM diff WHERE p80_approx <> p80_exact
 ORDER BY abs(p80_diff) DESC, sku, month LIMIT 20"""),
-    "threshold_accuracy": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+    "threshold_accuracy": _q(DRIFT_CTES + "\n" + _by_level(lambda l: f"""
 SELECT '{l.upper()}' AS percentile, count(*) AS num_groups,
        count(*) FILTER (WHERE threshold_{l}_approx - threshold_{l}_exact <> 0) AS num_threshold_mismatch,
        round(avg(CASE WHEN threshold_{l}_approx - threshold_{l}_exact <> 0
@@ -295,22 +391,62 @@ SELECT '{l.upper()}' AS percentile, count(*) AS num_groups,
        CAST(max(abs(threshold_{l}_approx - threshold_{l}_exact)) AS INTEGER) AS max_abs_threshold_diff,
        CAST(min(threshold_{l}_approx - threshold_{l}_exact) AS INTEGER) AS min_signed_diff,
        CAST(max(threshold_{l}_approx - threshold_{l}_exact) AS INTEGER) AS max_signed_diff
-FROM wide_raw""")),
-    "mismatch_union": _q(PCT_CTES + """,
-u AS (""" + _by_level(lambda l: f"""
-  SELECT '{l.upper()}' AS percentile, sku, month, total_orders,
-         threshold_{l}_approx AS threshold_approx, threshold_{l}_exact AS threshold_exact
-  FROM wide_raw WHERE threshold_{l}_approx <> threshold_{l}_exact""") + """)
+FROM wide_d""")),
+    "mismatch_union": _q(MISMATCH_CTE + "SELECT *, abs(threshold_approx - threshold_exact) "
+                         "AS abs_threshold_diff FROM u"),
+    "mismatch_union_top": _q(MISMATCH_CTE + """
 SELECT *, abs(threshold_approx - threshold_exact) AS abs_threshold_diff FROM u
 ORDER BY percentile, abs_threshold_diff DESC, sku, month LIMIT 20"""),
-    "result_drift": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+    "threshold_mismatch_top_p90": _q(DRIFT_CTES + DIFF_CTE + """
+SELECT * FROM diff WHERE p90_approx <> p90_exact
+ORDER BY abs(p90_diff) DESC, sku, month LIMIT 20"""),
+    "validate_damaged": _validate_damaged_sql(),
+    "histogram_stddev_p80": _stddev_histogram_sql("stddev_p80_exact"),
+    "histogram_stddev_p90": _stddev_histogram_sql("stddev_p90_exact"),
+    "csv_by_name": _q(CSV_CTE + """
+SELECT CAST(order_id AS VARCHAR) AS order_id, order_date, status, fulfilment, courier_status,
+       service_level, style, sku, size, qty, amount, state, city,
+       CASE WHEN promotion_ids <> '' THEN promotion_ids END AS promotion_ids
+FROM report"""),
+    "csv_by_position": _q(CSV_CTE + """
+SELECT upper(trim(state)) AS state, order_date AS day, count(*) AS lines,
+       CAST(sum(qty) AS BIGINT) AS qty
+FROM report WHERE order_date IS NOT NULL AND qty > 0 GROUP BY ALL"""),
+    "profile_raw": _q(CSV_CTE + """
+SELECT count(*) AS total_rows, 14 AS num_columns,
+       count_if(amount IS NULL AND order_id % 90 <> 0) AS empty_amount_rows,
+       count_if(amount = 0) AS zero_amount_rows, count_if(order_id % 90 = 0) AS bad_amount_rows,
+       count_if(sku IS NULL OR trim(sku) = '') AS empty_sku_rows,
+       count_if(trim(promotion_ids) <> '') AS rows_with_promotions,
+       count_if(trim(promotion_ids) <> '' AND regexp_matches(promotion_ids, '^\\s|\\s$'))
+         AS promotions_with_outer_whitespace,
+       count_if(order_date IS NULL) AS date_parse_errors, count_if(qty IS NULL) AS bad_qty_rows
+FROM report"""),
+    "key_integrity": """
+SELECT 'lineitem.l_orderkey' AS foreign_key, count(*) AS rows,
+       count_if(NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)) AS orphans
+FROM lineitem
+UNION ALL SELECT 'lineitem.l_partkey', count(*),
+       count_if(NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)) FROM lineitem
+UNION ALL SELECT 'orders.o_custkey', count(*),
+       count_if(NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)) FROM orders
+UNION ALL SELECT 'customer.c_nationkey', count(*),
+       count_if(NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey)) FROM customer""",
+    "runtime_from_text": "WITH " + EVENT_CTES.strip() + """
+SELECT method, runs, round(mean_ms, 2) AS mean_ms, round(std_ms_population, 2) AS std_ms_population,
+       min_ms, max_ms, round(mean_ms / 1000, 2) AS mean_seconds,
+       round(mean_ms / (SELECT mean_ms FROM per WHERE method = 'click'), 2) AS relative_to_baseline
+FROM per""",
+    "json_run_log": "WITH " + EVENT_CTES.strip() + """
+SELECT 'events' AS task, method, run, ms / 1000 AS runtime_seconds FROM ev""",
+    "result_drift": _q(DRIFT_CTES + "\n" + _by_level(lambda l: f"""
 SELECT '{l.upper()}' AS percentile, sku, month,
        orders_{l}_approx AS orders_approx, orders_{l}_exact AS orders_exact,
        round(stddev_{l}_approx, 4) AS stddev_approx, round(stddev_{l}_exact, 4) AS stddev_exact
-FROM wide_raw
+FROM wide_d
 WHERE orders_{l}_approx <> orders_{l}_exact
    OR round(stddev_{l}_approx, 6) <> round(stddev_{l}_exact, 6)""")),
-    "qualifying_diff_summary": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+    "qualifying_diff_summary": _q(DRIFT_CTES + "\n" + _by_level(lambda l: f"""
 SELECT '{l.upper()}' AS percentile,
        count(*) FILTER (WHERE orders_{l}_approx - orders_{l}_exact <> 0) AS groups_with_different_qualifying_count,
        round(avg(CAST(abs(orders_{l}_approx - orders_{l}_exact) AS DOUBLE)), 4) AS mean_abs_qualifying_count_diff,
@@ -318,10 +454,10 @@ SELECT '{l.upper()}' AS percentile,
        count(*) FILTER (WHERE abs(stddev_{l}_approx - stddev_{l}_exact) > 1e-9) AS groups_with_different_stddev,
        round(avg(abs(stddev_{l}_approx - stddev_{l}_exact)), 4) AS mean_abs_stddev_diff,
        round(max(abs(stddev_{l}_approx - stddev_{l}_exact)), 4) AS max_abs_stddev_diff
-FROM wide_raw""")),
+FROM wide_d""")),
     "heavy_groups": _q(PCT_CTES + """
 SELECT sku, month, count(*) AS total_orders FROM po GROUP BY sku, month
-HAVING count(*) > 1000"""),
+HAVING count(*) > 5"""),
     "heavy_months": _q(PCT_CTES + """
 SELECT month, count(*) AS total_orders FROM po GROUP BY month HAVING count(*) > 1000"""),
     "top_groups": _q(PCT_CTES + """
@@ -371,8 +507,9 @@ pd AS (
 )
 SELECT promo_count, count(*) AS rows FROM pd GROUP BY promo_count"""),
     "date_format_classes": _q("""
-dt AS (SELECT trim(strftime(order_date, '%m-%d-%y')) AS d FROM sales)
-SELECT CASE WHEN d IS NULL OR d = '' THEN 'EMPTY'
+dt AS (SELECT CASE WHEN order_id % 50 = 0 THEN 'not a date' WHEN order_id % 50 = 1 THEN ''
+                   ELSE strftime(order_date, '%m-%d-%y') END AS d FROM sales)
+SELECT CASE WHEN d = '' THEN 'EMPTY'
             WHEN length(d) = 8 AND substring(d, 3, 1) = '-' AND substring(d, 6, 1) = '-' THEN 'MM-DD-YY'
             ELSE 'OTHER:' || substring(d, 1, 10) END AS date_format,
        count(*) AS rows
@@ -397,14 +534,14 @@ SELECT sku, month, total_orders, threshold_p80_exact, orders_p80_exact,
        round(stddev_p80_exact, 4) AS stddev_p80_exact, threshold_p90_exact, orders_p90_exact,
        round(stddev_p90_exact, 4) AS stddev_p90_exact
 FROM wide_raw ORDER BY total_orders DESC, sku, month LIMIT 10"""),
-    "diff_groups": _q(PCT_CTES + "\n" + _by_level(lambda l: f"""
+    "diff_groups": _q(DRIFT_CTES + "\n" + _by_level(lambda l: f"""
 SELECT '{l.upper()}' AS percentile, sku, month, total_orders,
        threshold_{l}_approx AS threshold_approx, threshold_{l}_exact AS threshold_exact,
        orders_{l}_approx AS orders_approx, orders_{l}_exact AS orders_exact,
        round(stddev_{l}_approx, 4) AS stddev_approx, round(stddev_{l}_exact, 4) AS stddev_exact,
        orders_{l}_approx - orders_{l}_exact AS qualifying_count_diff,
        round(stddev_{l}_approx - stddev_{l}_exact, 4) AS stddev_diff
-FROM wide_raw
+FROM wide_d
 WHERE orders_{l}_approx - orders_{l}_exact <> 0
    OR abs(stddev_{l}_approx - stddev_{l}_exact) > 1e-9""")),
     "percentile_stddev_parquet": _q(PCT_CTES + "\nSELECT * FROM wide"),

@@ -47,7 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster-shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; we only invent one
-    (a fresh temporary folder) when the setting is absent, as in local tests.
+    (a fresh temporary folder) when the setting is absent in a local session, as in
+    tests; on a cluster an absent setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = spark.conf.get("spark.checkpoint.dir", None) or (
         sc.getCheckpointDir() if sc is not None else None)
+    if not current and sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors "
+                         "share; a local temporary folder would lose their files")
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

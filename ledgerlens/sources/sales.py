@@ -6,8 +6,9 @@ Two ways in:
   customer, nation, part) onto the 14 sales columns.  Only the joins needed
   for the requested columns are planned: lineitem -> orders -> customer ->
   nation and lineitem -> part are foreign keys, so an unused dimension can be
-  left out without changing any row (``tests/test_sources.py`` verifies the
-  key integrity at every scale).  Skipping a join of a fact-sized table is the
+  left out without changing any row.  That every foreign key holds is this
+  function's input contract; ``key_integrity`` (a registered query) counts the
+  rows that break it.  Skipping a join of a fact-sized table is the
   biggest saving available at scale, and Catalyst cannot do it by itself
   because Parquet carries no foreign-key constraints.
 * ``sales_from_csv`` reads the sales report CSV with an explicit all-string
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.clean import parse_sales_date
+from ledgerlens.functions.clean import SALES_DATE_FORMAT, parse_sales_date
 from ledgerlens.sources.tables import read_table
 
 SALES_COLUMNS = ("order_id", "order_date", "status", "fulfilment",
@@ -140,6 +141,42 @@ def sales_from_tables(spark: SparkSession, sf_dir: str,
     return df.select(*[exprs[c]().alias(c) for c in cols])
 
 
+# Foreign keys that sales_from_tables relies on: (table, column, parent, its column).
+FOREIGN_KEYS = (("lineitem", "l_orderkey", "orders", "o_orderkey"),
+                ("lineitem", "l_partkey", "part", "p_partkey"),
+                ("orders", "o_custkey", "customer", "c_custkey"),
+                ("customer", "c_nationkey", "nation", "n_nationkey"))
+
+
+def key_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(foreign_key, rows, orphans): per foreign key, rows and rows without a parent."""
+    out = None
+    for table, column, parent, key in FOREIGN_KEYS:
+        have = read_table(spark, sf_dir, parent, [key]).distinct()
+        rows = read_table(spark, sf_dir, table, [column])
+        one = (rows.join(have.withColumn("_found", F.lit(1)), F.col(column) == F.col(key), "left")
+               .agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.col("_found").isNull()).alias("orphans"))
+               .select(F.lit(f"{table}.{column}").alias("foreign_key"), "rows", "orphans"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def write_sales_csv(sales: DataFrame, path: str) -> str:
+    """The sales frame as a report CSV with the reference's header; every 50th order
+    (by id) has a damaged date, every 70th a quantity and every 90th an amount that is no
+    number.  It feeds the CSV readers with data that grows with the tables."""
+    n = F.col("order_id")
+    text = {"order_date": F.when(n % 50 == 0, F.lit("not a date"))
+            .when(n % 50 == 1, F.lit("")).otherwise(F.date_format("order_date", SALES_DATE_FORMAT)),
+            "qty": F.when(n % 70 == 0, F.lit("x")).otherwise(F.col("qty").cast("string")),
+            "amount": F.when(n % 90 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))}
+    columns = [text.get(c, F.col(c).cast("string")).alias(h) for h, c in CSV_HEADER_TO_COLUMN]
+    (sales.select(*columns).write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
 # Header names of the sales report CSV and the sales column each feeds.
 CSV_HEADER_TO_COLUMN = (
     ("Order ID", "order_id"), ("Date", "order_date"), ("Status", "status"),
@@ -163,7 +200,8 @@ def read_sales_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
     return (spark.read.schema(schema).option("header", True)
             .option("escape", '"').option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").csv(path))
+            # a file whose header has another order fails instead of being misread
+            .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
 
 
 def read_sales_csv_positional(spark: SparkSession, path: str,
@@ -171,9 +209,8 @@ def read_sales_csv_positional(spark: SparkSession, path: str,
     """Position-addressed CSV scan: rows with fewer than ``min_fields``
     fields are dropped; columns are named ``_c0``, ``_c1`` ...
 
-    Reads the file as text lines once to find the widest row, then lets the
-    CSV parser split each line; short rows are recognised by a null in the
-    last required position.
+    The header gives the width; short rows are recognised by the parser's
+    corrupt mark and a null in the last required position.
     """
     raw = (spark.read.option("header", True).option("escape", '"')
            .option("mode", "PERMISSIVE").csv(path))

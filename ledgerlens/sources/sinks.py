@@ -13,11 +13,10 @@ from pyspark.sql import types as T
 
 
 def _one_file(df: DataFrame, sort_by=None) -> DataFrame:
-    # Sort first, then merge to one partition: coalesce keeps the order of
-    # the range-partitioned sort output.
-    if sort_by:
-        df = df.orderBy(*sort_by)
-    return df.coalesce(1)
+    # Sorted after the rows have met in one partition, so the file's order does not
+    # depend on the order in which partitions are merged.
+    one = df.repartition(1)
+    return one.sortWithinPartitions(*sort_by) if sort_by else one
 
 
 def write_single_csv(df: DataFrame, path: str, sort_by=None, header: bool = True) -> str:

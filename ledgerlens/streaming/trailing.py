@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 
 
 def trailing_mode_stream(lines: DataFrame, keys=("state",), day="day",
-                         value="size", days: int = 7,
-                         watermark: str = "1 day") -> DataFrame:
-    """Streaming (keys..., target_date, top_<value>, <value>_count)."""
+                         value="size", days: int = 7, *, watermark: str) -> DataFrame:
+    """Streaming (keys..., target_date, top_<value>, <value>_count).
+
+    ``watermark`` has no default, as it decides which lines count: it must span the
+    disorder of the input (for files that do not come in day order, the whole range
+    of days), else late lines are lost.  Windows that the watermark has not passed at
+    the end of the input do not appear."""
     keys = list(keys)
     # event time = UTC midnight of the day, built arithmetically so that the
     # windows align to calendar days whatever the session time zone is

@@ -57,16 +57,35 @@ def test_m19_zero_stddev_classes(spark):
 
 
 def test_moment_combination_equals_direct_stddev(spark):
-    # differential: single-pass moment combination vs join-back + stddev_pop
+    # differential: moments over the frequency table against plain Python over the lines
+    import math
+    import statistics
     for sf in ("0.001", "0.01"):
-        o = _orders(spark, SF[sf])
-        a = P.percentile_stddev(o)
-        b = P.percentile_stddev_joined(o)
-        cols = a.columns
-        rnd = [F.round(c, 6).alias(c) if c.startswith("stddev") else F.col(c) for c in cols]
-        a, b = a.select(*rnd), b.select(*rnd)
-        assert a.count() == b.count()
-        assert a.exceptAll(b).count() == 0
+        groups = {}
+        for r in _orders(spark, SF[sf]).collect():
+            groups.setdefault((r.sku, r.month), []).append((r.promo_count, r.amount))
+        for r in P.percentile_stddev(_orders(spark, SF[sf])).collect():
+            rows = groups.pop((r.sku, r.month))
+            counts = sorted(c for c, _ in rows)
+            assert r.total_orders == len(rows)
+            for p, t, n, sd in ((8, r.threshold_p80_exact, r.orders_p80_exact, r.stddev_p80_exact),
+                                (9, r.threshold_p90_exact, r.orders_p90_exact, r.stddev_p90_exact)):
+                assert t == counts[-(-len(counts) * p // 10) - 1]
+                above = [a for c, a in rows if c >= t]
+                assert n == len(above)
+                want = statistics.pstdev(above) if n > 1 else 0.0
+                assert math.isclose(sd, want, rel_tol=1e-6, abs_tol=1e-6)
+        assert not groups
+
+
+def test_total_and_null_keys_do_not_depend_on_methods(spark):
+    rows = [("o1", None, 1, 5.0, 1), ("o2", None, 1, None, 2), ("o3", None, 1, 7.0, 3),
+            ("o4", "S", None, 1.0, 1)]
+    o = spark.createDataFrame(rows, "order_id string, sku string, month int, amount double, promo_count int")
+    given = P.threshold_approx(o)
+    for kw in (dict(), dict(methods=("exact",)), dict(methods=("approx",)), dict(approx=given)):
+        got = {(r.sku, r.month): r.total_orders for r in P.percentile_stddev(o, **kw).collect()}
+        assert got == {(None, 1): 3, ("S", None): 1}, kw
 
 
 def test_exact_disc_approx_agree_on_small_groups(spark):

@@ -1,8 +1,9 @@
 from conftest import SF
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import runs as R
-from ledgerlens.sources import sinks
+from ledgerlens.sources import logs, sinks
 
 
 def test_m21_only_timing_lines_parsed(spark):
@@ -74,23 +75,84 @@ def test_overview_and_validation_on_tables(spark):
     assert ov.sum_total_orders_across_groups == QUERIES["promo_count"](spark, SF["0.01"]).count()
 
 
-def test_number_lines_across_partitions(spark, tmp_path):
-    p = tmp_path / "runtimes.txt"
-    p.write_text("".join(f"line-{i:05d}\n" for i in range(1, 5001)))
+def test_number_lines_over_files_and_blocks(spark, tmp_path):
+    """Files of several sizes, read in several splits each: numbers follow file and place."""
+    want = []
+    for name, n in (("a", 10), ("b", 4000), ("c", 50)):
+        rows = [f"{name}-{i:05d}" for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text("".join(x + "\n" for x in rows))
+        want += rows
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-        df = spark.read.text(str(p))
-        assert df.rdd.getNumPartitions() > 5
-        got = R.number_lines(df, "run").collect()
+        lines = logs.read_log_text(spark, str(tmp_path))
+        assert lines.select("file", "block").distinct().count() > 5
+        got = R.number_lines(lines, [F.col("file"), F.col("block")], ["pos"]).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert len(got) == 5000
-    assert all(r.value == f"line-{r.run:05d}" for r in got)
+    assert [r.value for r in sorted(got, key=lambda r: r.run)] == want
+    assert sorted(r.run for r in got) == list(range(1, len(want) + 1))
+
+
+def test_number_lines_by_key(spark):
+    df = spark.range(0, 5000, 7).select((F.col("id") * 3).alias("k")).repartition(13)
+    got = R.number_lines(df, [F.floor(F.col("k") / 100)], ["k"]).collect()
+    assert [r.k for r in sorted(got, key=lambda r: r.run)] == sorted(r.k for r in got)
+    assert sorted(r.run for r in got) == list(range(1, len(got) + 1))
 
 
 def test_pivot_takes_earliest_line_on_duplicates(spark):
-    lines = ["[approx] Run 1: 30 ms", "[approx] Run 1: 10 ms", "[exact] Run 1: 5 ms"]
-    df = R.number_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), "line")
+    lines = [(1, "[approx] Run 1: 30 ms"), (2, "[approx] Run 1: 10 ms"), (3, "[exact] Run 1: 5 ms")]
+    df = spark.createDataFrame(lines, "line long, value string")
     got = R.runtime_pivot(R.parse_run_lines(df), ("approx", "exact")).collect()
     assert [tuple(r) for r in got] == [(1, 30, 5)]
+
+
+def test_single_file_is_sorted(spark, tmp_path):
+    df = spark.range(3000).select(F.format_string("k%05d", (F.col("id") * 7919) % 3000).alias("k"))
+    path = str(tmp_path / "out")
+    sinks.write_single_csv(df.repartition(9), path, sort_by=["k"])
+    part, = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    lines = part.read_text().split()
+    assert lines[0] == "k" and lines[1:] == sorted(lines[1:]) and len(lines) == 3001
+
+
+def test_validation_reports_missing_columns_and_damage(spark):
+    from ledgerlens.plans.catalog import QUERIES
+    wide = QUERIES["percentile_stddev"](spark, SF["0.001"])
+    got = {r["check"]: r.violations for r in Q.validate_result(wide.drop("stddev_p80_exact")).collect()}
+    assert got["missing_required_columns"] == 1
+    assert got["stddev_p80_exact == 0 when orders_p80_exact < 2"] is None
+    assert got["orders_p80_exact <= total_orders"] == 0
+    row = dict(sku="a", month=1, total_orders=5)
+    for m in ("approx", "exact"):
+        for l in ("p80", "p90"):
+            row |= {f"threshold_{l}_{m}": 2, f"orders_{l}_{m}": 3, f"stddev_{l}_{m}": 1.0}
+    damage = {"duplicate_keys": {}}
+    for m in ("approx", "exact"):
+        damage[f"threshold_p90_{m} >= threshold_p80_{m}"] = {f"threshold_p90_{m}": 1}
+        damage[f"orders_p90_{m} <= orders_p80_{m}"] = {f"orders_p90_{m}": 4}
+        for l in ("p80", "p90"):
+            damage[f"stddev_{l}_{m} == 0 when orders_{l}_{m} < 2"] = {
+                **{f"orders_{x}_{m}": 1 for x in ("p80", "p90") if x >= l}, f"orders_{l}_{m}": 1,
+                **({f"stddev_p90_{m}": 0.0} if l == "p80" else {})}
+            damage[f"orders_{l}_{m} <= total_orders"] = {f"orders_p80_{m}": 6, f"orders_{l}_{m}": 6}
+    cols = list(row)
+    for name, change in damage.items():
+        rows = [row, {**row, "sku": "b", **change}] if change else [row, row]
+        df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
+                                   ", ".join(f"{c} {'string' if c == 'sku' else 'double' if 'std' in c else 'int'}"
+                                             for c in cols))
+        got = {r["check"]: r.violations for r in Q.validate_result(df).collect()}
+        assert got[name] == 1, (name, got)
+
+
+def test_profile_of_raw_text(spark):
+    rows = [("1", "0.00", "S", "04-30-22", " a"), ("x", "abc", "", "", "b"), (None, None, None, "4/3", None),
+            ("2", "0", "S", "13-45-22", "")]
+    raw = spark.createDataFrame(rows, "Qty string, Amount string, SKU string, Date string, promo string")
+    got = Q.profile_raw(raw, dict(qty="Qty", amount="Amount", sku="SKU", order_date="Date",
+                                  promotion_ids="promo")).first().asDict()
+    assert got == dict(total_rows=4, num_columns=5, empty_amount_rows=1, zero_amount_rows=2,
+                       bad_amount_rows=1, empty_sku_rows=2, rows_with_promotions=2,
+                       promotions_with_outer_whitespace=1, date_parse_errors=3, bad_qty_rows=2)

@@ -19,7 +19,7 @@ def test_stream_matches_batch_on_closed_windows(spark, tmp_path):
     stream_in = (spark.readStream.schema("state string, day date, size string")
                  .option("maxFilesPerTrigger", 1).parquet(src + "/y=*"))
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    run_available_now(trailing_mode_stream(stream_in), out, ckpt)
+    run_available_now(trailing_mode_stream(stream_in, watermark="1 day"), out, ckpt)
     got = spark.read.parquet(out)
     batch = trailing.trailing_mode(lines)
     assert got.count() > 0
