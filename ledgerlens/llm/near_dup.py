@@ -13,15 +13,18 @@ No bucket is ever expanded into all its pairs:
 * Documents with equal sets are one node from the start.
 * Each bucket's members are paired with its first member only; each member's most
   similar pair is confirmed, and links are joined into components.
-* In buckets that still hold more than one component, members of different
-  components are compared -- small buckets by a join on the bucket, large ones in
-  blocks of ``BLOCK`` members inside tasks, which return only pairs that pass the
-  signature test.  They are confirmed in rounds, the most similar first, and pairs
-  within a component are skipped, as they can no longer change the result.
-
-What remains unconfirmed after that cannot join two components, so the result is
-that of confirming all candidates.  With 32 bands of 4 rows a pair of similarity
-0.8 has no common bucket with a chance of 5e-8.
+* A component and the nodes whose most similar pair led there without a link form a
+  cluster.  These nodes visit their cluster: they are compared with all its members.
+* In buckets that hold more than one cluster, members of different clusters are
+  compared by signature -- small buckets by a join, large ones in blocks of ``BLOCK``
+  members inside tasks.  Of all pairs that pass between a node and a cluster one
+  row remains: the node of the smaller cluster visits the other one.
+* Visits are confirmed on full sets in blocks of members and visitors inside tasks,
+  which return only links that join components.
+
+What is not compared then has no passing pair or is within a component already, so
+the result is that of confirming all candidates.  With 32 bands of 4 rows a pair of
+similarity 0.8 has no common bucket with a chance of 5e-8.
 
 Defined results: a null or blank text has the empty set, is linked with nothing
 and kept; a text with fewer words than a shingle has its whole word sequence as
@@ -37,7 +40,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
@@ -50,8 +53,9 @@ ROWS = 4
 BITS = 2
 PERCENT = 80
 MISS = 1e-9
-SMALL_BUCKET = 32
+SMALL_BUCKET = 16
 BLOCK = 512
+TEXT_BLOCK = 256           # members and visitors compared in one task
 MEMO_WORDS = 300_000
 CHUNK = 2048               # shingles permuted at once
 EVEN = 0x5555555555555555
@@ -215,12 +219,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
         run, "a binary, b binary, linked boolean")
 
 
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, unequal) of members of different components in large buckets: each
-    bucket is cut into blocks, each pair of blocks compared inside a task."""
-    sized = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("long")
-    dealt = (sized.withColumn("blocks", blocks)
+def _block_visits(members: DataFrame, percent: int) -> DataFrame:
+    """(cluster, node) visits from large buckets: each bucket is cut into blocks, each
+    pair of blocks compared inside a task."""
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("long")
+    dealt = (members.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"),
                                                        F.col("blocks") - 1)))
@@ -231,53 +234,119 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.array(pdf["sig"].tolist(), np.int64).view(np.uint64)
         node, n = pdf["node"].to_numpy(), pdf["n"].to_numpy()
-        label, block = pdf["label"].to_numpy(), pdf["block"].to_numpy()
+        cluster, size = pdf["cluster"].to_numpy(), pdf["size"].to_numpy()
+        number = pd.factorize(pdf["cluster"])[0]
+        block = pdf["block"].to_numpy()
         first = np.flatnonzero(block == pdf["lo"].iloc[0])
         second = np.flatnonzero(block == pdf["hi"].iloc[0])
-        out = []
+        out = set()
         for i in first:
             x = sig[second] ^ sig[i]
             for shift in range(1, BITS):
                 x |= x >> np.uint64(shift)
             unequal = np.bitwise_count(x & np.uint64(EVEN)).sum(axis=1)
-            fit = (unequal <= limit) & (100 * np.minimum(n[second], n[i])
-                                        >= percent * np.maximum(n[second], n[i]))
-            for j, u in zip(second[fit], unequal[fit]):
-                if label[i] != label[j]:
-                    out.append((*sorted((node[i], node[j])), int(u)))
-        return pd.DataFrame(out, columns=["a", "b", "unequal"]).drop_duplicates()
-    return (dealt.select("key", "lo", "hi", "block", "node", "n", "sig", "label")
-            .groupBy("key", "lo", "hi")
-            .applyInPandas(run, "a binary, b binary, unequal int"))
-
-
-def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame,
-          percent: int) -> DataFrame:
-    """(a, b, unequal): untested candidates across components in mixed buckets."""
-    at = (buckets.join(labels, "node", "left")
-          .withColumn("label", F.coalesce("label", "node")))
-    mixed = (at.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"),
-                                   F.count(F.lit(1)).alias("size"))
-             .filter("l <> h").select("key", "size"))
-    members = stored(at.join(mixed, "key"), "mixed-buckets")
-    small, large = (members.filter(c).drop("size") for c in
-                    (F.col("size") <= SMALL_BUCKET, F.col("size") > SMALL_BUCKET))
-    left = small.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    pairs = (left.join(right, "key").filter("a < b AND la <> lb")
-             .select("a", "b").distinct())
-    found = (_passing(pairs, nodes, percent)
-             .union(_block_pairs(large.join(nodes.select("node", "n", "sig"), "node"), percent))
-             .distinct())
-    return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components, with their labels."""
-    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-    return (pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-            .withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b"))
-            .filter("la <> lb"))
+            fit = ((unequal <= limit) & (number[second] != number[i])
+                   & (100 * np.minimum(n[second], n[i]) >= percent * np.maximum(n[second], n[i])))
+            for j in second[fit]:
+                here, there = ((i, j) if (size[i], cluster[i]) < (size[j], cluster[j]) else (j, i))
+                out.add((cluster[there], node[here]))
+        return pd.DataFrame(list(out), columns=["cluster", "node"])
+    return (dealt.select("key", "lo", "hi", "block", "node", "n", "sig", "cluster", "size")
+            .groupBy("key", "lo", "hi").applyInPandas(run, "cluster binary, node binary"))
+
+
+def _visits(buckets: DataFrame, clusters: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(cluster, node): visitors from buckets with more than one cluster."""
+    at = buckets.join(clusters.select("node", "cluster", "size"), "node")
+    mixed = (at.groupBy("key").agg(F.min("cluster").alias("l"), F.max("cluster").alias("h"),
+                                   F.count(F.lit(1)).alias("members"))
+             .filter("l <> h").select("key", "members"))
+    members = stored(at.join(mixed, "key").join(nodes.select("node", "n", "sig"), "node"),
+                     "mixed-buckets")
+    side = lambda c: members.filter(F.col("members") <= SMALL_BUCKET).select(
+        "key", *[F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "sig", "cluster", "size")])
+    pairs = (side("a").join(side("b"), "key")
+             .filter((F.col("cluster_a") != F.col("cluster_b"))
+                     & ((F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b"))
+                        & (F.col("cluster_a") < F.col("cluster_b")))))
+             .filter((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                     & (_unequal("sig_a", "sig_b") <= most_unequal(percent)))
+             .select(F.col("cluster_b").alias("cluster"), F.col("node_a").alias("node")))
+    large = _block_visits(members.filter(F.col("members") > SMALL_BUCKET), percent)
+    return pairs.union(large).distinct()
+
+
+def _links_of(members: list, visitors: list, size: int, percent: int) -> list[tuple]:
+    """Links (visitor, member) that join components; entries are (node, label, text)."""
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    m, v = ([shingle_set(t, size) for *_, t in side] for side in (members, visitors))
+    # numbers of the shingles that two of them share at least; others do not count
+    _, at, often = np.unique(np.concatenate([*m, *v]), return_inverse=True, return_counts=True)
+    shared = np.cumsum(often > 1) - 1
+    keep, row = often[at] > 1, np.repeat(np.arange(len(m) + len(v)), [len(x) for x in (*m, *v)])
+    row, column = row[keep], shared[at[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(v), len(m)))
+    for lo in range(0, int(shared[-1]) + 1, CHUNK):
+        i, j = np.searchsorted(column, (lo, lo + CHUNK))
+        grid = np.zeros((len(m) + len(v), CHUNK), np.float32)
+        grid[row[i:j], column[i:j] - lo] = 1
+        both += grid[len(m):] @ grid[:len(m)].T
+    sizes_m, sizes_v = (np.array([len(x) for x in side]) for side in (m, v))
+    out = []
+    for i, j in zip(*np.nonzero(100 * both >= percent * (sizes_v[:, None] + sizes_m[None, :]
+                                                        - both))):
+        (a, la, _), (b, lb, _) = visitors[i], members[j]
+        if root(la) != root(lb):
+            parent[root(la)] = root(lb)
+            out.append((a, b))
+    return out
+
+
+def _confirm_visits(visits: DataFrame, clusters: DataFrame, texts: DataFrame, size: int,
+                    percent: int) -> DataFrame:
+    """(a, b) links between visitors and members, from the full sets."""
+    count = visits.groupBy("cluster").agg(F.count(F.lit(1)).alias("visitors"))
+    counted = (clusters.join(count, "cluster")
+               .withColumn("m_blocks", F.ceil(F.col("size") / F.lit(TEXT_BLOCK)).cast("long"))
+               .withColumn("v_blocks", F.ceil(F.col("visitors") / F.lit(TEXT_BLOCK)).cast("long")))
+    blocks = counted.select("cluster", "m_blocks", "v_blocks").distinct()
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = (counted.withColumn("mi", own("m_blocks")).withColumn("vi", each("v_blocks"))
+               .select("cluster", "mi", "vi", F.lit(True).alias("member"), "node", "label"))
+    visitors = (visits.join(blocks, "cluster")
+                .join(clusters.select("node", "label"), "node")
+                .withColumn("vi", own("v_blocks")).withColumn("mi", each("m_blocks"))
+                .select("cluster", "mi", "vi", F.lit(False).alias("member"), "node", "label"))
+    rows = members.union(visitors).join(texts, "node")
+    key = ["cluster", "mi", "vi"]
+
+    def run(batches):
+        now, sides = None, ([], [])
+
+        def links():
+            got = _links_of(*sides, size, percent) if sides[0] and sides[1] else ()
+            if got:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.binary()) for c in zip(*got)], names=["a", "b"])
+        for b in batches:
+            for cluster, mi, vi, member, node, label, text in zip(
+                    *(b.column(c).to_pylist() for c in b.schema.names)):
+                if (cluster, mi, vi) != now:
+                    yield from links()
+                    now, sides = (cluster, mi, vi), ([], [])
+                sides[0 if member else 1].append((node, label, text))
+        yield from links()
+    return (rows.select(*key, "member", "node", "label", "text")
+            .repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a binary, b binary"))
 
 
 def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -301,28 +370,30 @@ def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "do
     star = stored(_passing(star, nodes, percent), "candidates")
     best = (star.groupBy("b").agg(F.min(F.struct("unequal", "a")).alias("x"))
             .select(F.col("x.a").alias("a"), "b"))
-    # texts of the nodes that share a bucket; all later confirmations read these
-    wanted = (buckets.select("node").distinct()
-              .join(nodes.select("node", "doc", "whole"), "node"))
-    texts = _texts(df, wanted, doc_id, text)
-    tested = stored(_confirmed(best, texts, size, percent), "confirmed")
-    labels = components(tested.filter("linked"))
-    untested = stored(_rest(buckets.select("node", "key"), labels, nodes, tested, percent), "rest")
-    turn = 4
-    while True:
-        open_ = _across(untested, labels)
-        # the most similar open pairs of each member; more of them in each round
-        ranked = open_.withColumn("rank", F.row_number().over(
-            Window.partitionBy("b").orderBy("unequal", "a")))
-        batch = stored(ranked.filter(F.col("rank") <= turn).select("a", "b"), "round")
-        if batch.limit(1).count() == 0:
-            break
-        now = stored(_confirmed(batch, texts, size, percent), "confirmed")
-        untested = untested.join(now.select("a", "b"), ["a", "b"], "left_anti")
-        tested = tested.union(now)
-        if now.filter("linked").limit(1).count():
-            labels = components(tested.filter("linked"))
-        turn *= 8
+    texts = _texts(df, nodes, star.select(F.col("a").alias("node"))
+                   .union(star.select(F.col("b").alias("node"))).distinct(), doc_id, text)
+    links = stored(_confirmed(best, texts, size, percent).filter("linked").select("a", "b"),
+                   "links")
+    labels = components(links)
+    # clusters: a component, and the nodes whose best pair led there without a link
+    home = (best.select(F.col("b").alias("node"), "a")
+            .join(labels.select(F.col("node").alias("a"), F.col("label").alias("of_a")), "a", "left")
+            .select("node", F.coalesce("of_a", "a").alias("home")))
+    clusters = stored(buckets.select("node").distinct().join(labels, "node", "left")
+                      .join(home, "node", "left")
+                      .select("node", F.coalesce("label", "node").alias("label"),
+                              F.coalesce("label", "home", "node").alias("cluster"),
+                              F.col("label").isNull().alias("single")), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    clusters = stored(clusters.join(sizes, "cluster"), "sized-clusters")
+    visits = stored(clusters.filter("single AND size > 1").select("cluster", "node")
+                    .union(_visits(buckets.select("node", "key"), clusters, nodes, percent))
+                    .distinct(), "visits")
+    met = (clusters.join(visits.select("cluster").distinct(), "cluster").select("node")
+           .union(visits.select("node")).distinct().join(texts, "node", "left_anti"))
+    texts = texts.union(_texts(df, nodes, met, doc_id, text))
+    more = stored(_confirm_visits(visits, clusters, texts, size, percent), "links")
+    labels = components(links.union(more))
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     heads = named.groupBy("label").agg(F.min("doc").alias("component_id"))
@@ -347,8 +418,11 @@ def survivors(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str
             .dropDuplicates(["__id", "__text"]).select("__row.*"))
 
 
-def _texts(df: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, text) of the wanted (node, doc, whole): one text of each node."""
+def _texts(df: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str, text: str
+           ) -> DataFrame:
+    """(node, text) of the wanted nodes: one text of each."""
+    places = stored(nodes.select("node", "doc", "whole").join(wanted, "node"), "wanted")
     found = (df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("whole"),
-                       F.col(text).alias("text")).join(wanted, ["doc", "whole"]))
+                       F.col(text).alias("text")).join(places, ["doc", "whole"]))
+    # rows equal in id and text repeat: one of them
     return stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
