@@ -29,7 +29,8 @@ from ledgerlens.llm.scratch import stored
 
 SHARDS = 16
 SPREAD = 64
-ROUNDS = 12
+ROUNDS = 24
+FULL = 100                 # a shard that lacks less than this share of its quota is full
 BUCKETS = 64               # buckets of a running total, at least
 BUCKET_ROWS = 20_000       # rows of a bucket, about
 
@@ -66,7 +67,8 @@ def _propagate(units: DataFrame, quota: int, shards: int, buckets: int) -> DataF
     """Linked units with the shards where label propagation leaves them."""
     units = stored(units.withColumn("shard", F.col("start")), "labels")
     for _ in range(ROUNDS):
-        room = [max(0, quota - x) for x in _loads(units, shards)]
+        room = [x if x > quota // FULL else 0
+                for x in (quota - y for y in _loads(units, shards))]
         free = F.array(*[F.lit(x).cast("long") for x in room])
         weight = units.groupBy(*TEXT, "shard").agg(F.sum("n").alias("w"))
         # the group's heaviest shard that has room; the lowest of equal ones
@@ -79,7 +81,8 @@ def _propagate(units: DataFrame, quota: int, shards: int, buckets: int) -> DataF
                 .filter((F.col("to") != F.col("shard"))
                         & ((F.col("w_to") > F.col("w_here"))
                            | ((F.col("w_to") == F.col("w_here")) & (F.col("to") < F.col("shard")))))
-                .select(*UNIT, "to", "bytes"))
+                # a unit that does not fit must not stand in the way of others
+                .filter(F.col("bytes") <= free[F.col("to")]).select(*UNIT, "to", "bytes"))
         moves = (running(wish, ["to"], "bytes", UNIT, "taken", buckets)
                  .filter(F.col("taken") + F.col("bytes") <= free[F.col("to")])
                  .select(*UNIT, "to"))
