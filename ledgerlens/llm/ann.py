@@ -13,7 +13,7 @@ neighbours; it ends when the whole beam is expanded.  Queries that are nodes sta
 at themselves.  The nearest ``RESCORE`` of each beam are measured again on the
 original vectors in double precision.
 
-Comparisons use vectors in 8 bits per component with a scale of their own; those are
+Comparisons use vectors in 16 bits per component with a scale of their own; those are
 what the joins carry.  Hyperplane thresholds are medians of at most
 ``SAMPLE`` vectors (those of smallest hash); every vector is indexed.  Lists per
 node are bounded by DEGREE, groups by LEAF and DEGREE; equal vectors are one node with
@@ -48,6 +48,7 @@ BEAM = 256
 RESCORE = 64
 MAX_STEPS = 16
 SAMPLE = 4096
+CODE_MAX = 32767
 
 
 def usable(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -72,8 +73,8 @@ def _packed(rows: DataFrame) -> DataFrame:
                 continue
             full = b.column("vector").flatten().to_numpy(zero_copy_only=False)
             full = full.reshape(b.num_rows, -1)
-            scale = np.abs(full).max(axis=1) / 127
-            code = np.rint(full / np.maximum(scale, 1e-300)[:, None]).astype(np.int8)
+            scale = np.abs(full).max(axis=1) / CODE_MAX
+            code = np.rint(full / np.maximum(scale, 1e-300)[:, None]).astype(np.int16)
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), pa.array([x.tobytes() for x in full], pa.binary()),
                  pa.array([x.tobytes() for x in code], pa.binary()),
@@ -85,12 +86,14 @@ def _packed(rows: DataFrame) -> DataFrame:
 def _decode(code: pa.Array, scale: pa.Array) -> np.ndarray:
     """Float vectors of a code column whose values have one length."""
     raw = b"".join(code.to_pylist())
-    return (np.frombuffer(raw, np.int8).reshape(len(code), -1).astype(np.float32)
+    return (np.frombuffer(raw, np.int16).reshape(len(code), -1).astype(np.float32)
             * scale.to_numpy(zero_copy_only=False).astype(np.float32)[:, None])
 
 
 def _squares(x: np.ndarray) -> np.ndarray:
-    """Squared distances of all rows to one another."""
+    """Squared distances of all rows to one another; taken around their mean, so that
+    near-equal vectors far from the origin keep their precision."""
+    x = x - x.mean(axis=0)
     n = (x * x).sum(axis=1)
     return np.maximum(n[:, None] + n[None, :] - 2 * (x @ x.T), 0)
 
