@@ -1,0 +1,34 @@
+"""Small frames with awkward rows, shared by the tests of the operators."""
+
+import duckdb
+
+SF = "/root/testdata/sf0.001"
+WORDS = ("the of and to in was is for that on with as by at from it an be are this "
+         "stone river house light winter paper engine garden window letter").split()
+
+
+def documents(sf=SF):
+    return duckdb.sql(f"SELECT doc_id, text, source FROM '{sf}/documents.parquet'").fetchall()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(n))
+
+
+def awkward(spark, extra=""):
+    """Nulls in every column, empty and blank texts, ties, repeated rows, a long text."""
+    long = " ".join(f"word{i % 5000}" for i in range(60_000))
+    rows = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa", "a"),
+            (2, "alpha beta gamma delta epsilon zeta eta theta iota kappa", "a"),
+            (2, "alpha beta gamma delta epsilon zeta eta theta iota kappa", "a"),
+            (3, None, "b"), (4, "", None), (5, " \n\t ", "b"), (6, "one", "b"),
+            (None, "no id at all", "c"), (7, long, "c"), (8, "é ß 中文 \U0001f600 a\x00b", "c"),
+            (9, "x" * 50_000, "c")]
+    names = ["row", "node", "size", "__text", "score"]    # names that operators use inside
+    return spark.createDataFrame([(*r, *[f"{extra}{i}"] * len(names)) for i, r in enumerate(rows)],
+                                 "doc_id long, text string, source string, "
+                                 + ", ".join(f"{n} string" for n in names))
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, source string")
