@@ -56,6 +56,7 @@ MISS = 1e-9
 SMALL_BUCKET = 16
 BLOCK = 512
 TEXT_BLOCK = 256           # members and visitors compared in one task
+BROADCAST_ROWS = 200_000   # rows of 40 bytes, above which a join is left to shuffle
 MEMO_WORDS = 300_000
 CHUNK = 2048               # shingles permuted at once
 EVEN = 0x5555555555555555
@@ -422,6 +423,8 @@ def _texts(df: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str, text
            ) -> DataFrame:
     """(node, text) of the wanted nodes: one text of each."""
     places = stored(nodes.select("node", "doc", "whole").join(wanted, "node"), "wanted")
+    if places.count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)                 # some MB; else all texts are shuffled
     found = (df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("whole"),
                        F.col(text).alias("text")).join(places, ["doc", "whole"]))
     # rows equal in id and text repeat: one of them
