@@ -7,9 +7,10 @@ columns of ``documents``.
 Stages handle nulls, empty tables and repeated rows as their operators do (see
 there).  Two decisions belong to the pipeline:
 
-* Line deduplication leaves a document as it is if more than ``SPARE_PERCENT``
-  percent of its words stand in earlier documents: it is a copy, of which the next
-  stage keeps one whole document, rather than shreds of the others.
+* Line deduplication leaves a document as it is if it shares ``SPARE_PERCENT``
+  percent of the union of shingles with one earlier document that stays whole: the
+  next stage links the two and keeps one, rather than shreds of the others.  Excerpts,
+  mixtures and texts less similar than that are cut.
 * Near-duplicates share 0.8 of their five-word shingles.
 
 No stage sequence of this kind has an SQL form (hashed regression, union of matched
@@ -49,7 +50,8 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    return _measured(winnow.dedup(docs, spare_percent=SPARE_PERCENT).select("row.*"))
+    return _measured(winnow.dedup(docs, spare_percent=SPARE_PERCENT, size=SHINGLE)
+                     .select("row.*"))
 
 
 def minhash_near_dedup(spark, docs, sf_dir):
