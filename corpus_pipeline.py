@@ -5,8 +5,10 @@ Parquet and read again as the next one's ``docs``.  All but the last return the
 columns of ``documents``.
 
 Stages handle nulls, empty tables and repeated rows as their operators do (see
-there).  Two decisions belong to the pipeline:
+there).  Three decisions belong to the pipeline:
 
+* A line's frequency counts near-copies of a document once: else a large group's own
+  lines would be frequent, and the group be rejected with its original.
 * Line deduplication leaves a document as it is if it shares ``SPARE_PERCENT``
   percent of the union of shingles with one earlier document that stays whole: the
   next stage links the two and keeps one, rather than shreds of the others.  Excerpts,
@@ -38,7 +40,8 @@ def _measured(docs):
 
 
 def quality_rules(spark, docs, sf_dir):
-    return _measured(line_frequency.clean(docs))
+    groups = stored(near_dup.find(docs.select("doc_id", "text"), SHINGLE), "near-copies")
+    return _measured(line_frequency.clean(docs, groups=groups))
 
 
 def quality_classifier(spark, docs, sf_dir):

@@ -5,7 +5,8 @@ more than ``SHARE_PERCENT`` percent of a host's distinct texts, and in
 ``MIN_TEXTS`` of them at least, is boilerplate of that host: it is removed, and a
 document that loses more than ``DEPLETED_PERCENT`` percent of its words that way is
 rejected.  Equal texts count once, so that copies of a document do not make its
-lines frequent; they are left to the deduplication.
+lines frequent; they are left to the deduplication.  ``clean`` can be given groups of
+near-copies, which then count once too; ``judge`` counts texts, as its SQL does.
 
 Plan: lines are hashed inside the row; only (host, line hash, text hash) triples
 are shuffled.  They are first made distinct on all three columns and then counted
@@ -98,13 +99,27 @@ def base_counts(df: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFram
 
 
 def frequent_lines(df: DataFrame, text: str = "text", host: str = "source",
-                   share_percent: int = SHARE_PERCENT, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(host, frequent array<long>): hashes of each host's boilerplate lines."""
+                   share_percent: int = SHARE_PERCENT, min_texts: int = MIN_TEXTS,
+                   groups: DataFrame | None = None, doc_id: str = "doc_id") -> DataFrame:
+    """(host, frequent array<long>): hashes of each host's boilerplate lines.
+
+    ``groups`` (doc_id, whole, n_shingles, component_id), as ``near_dup.find`` returns
+    it: the texts of a component count once."""
     base = df.select(F.coalesce(host, F.lit("")).alias("host"),
-                     F.coalesce(text, F.lit("")).alias("__text"))
-    base = base.select("host", F.xxhash64("__text", F.length("__text")).alias("whole"), "__text")
-    lines = (base.select("host", "whole", F.explode(F.array_distinct(
-                 F.transform(_lines(F.col("__text")), _line_hash))).alias("line"))
+                     F.coalesce(text, F.lit("")).alias("__text"),
+                     F.col(doc_id if groups is not None else text).alias("__doc"))
+    hashes = F.array_distinct(F.transform(_lines(F.col("__text")), _line_hash))
+    base = base.select("host", F.xxhash64("__text", F.length("__text")).alias("whole"),
+                       hashes.alias("lines"), "__doc", F.xxhash64("__text").alias("__whole"))
+    if groups is not None:
+        # of the texts only the lines' hashes move
+        near = (groups.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+                .select(F.col("doc_id").alias("__doc"), F.col("whole").alias("__whole"),
+                        F.xxhash64("component_id").alias("near"))
+                .dropDuplicates(["__doc", "__whole"]))
+        base = (base.join(near, ["__doc", "__whole"], "left")
+                .withColumn("whole", F.coalesce("near", "whole")))
+    lines = (base.select("host", "whole", F.explode("lines").alias("line"))
              .filter(F.col("line").isNotNull())
              .groupBy("host", "line", "whole").agg(F.lit(1).alias("one"))
              .groupBy("host", "line").agg(F.count("one").alias("n"))
@@ -150,12 +165,15 @@ def judge(df: DataFrame, text: str = "text", host: str = "source", doc_id: str =
 
 
 def clean(df: DataFrame, text: str = "text", host: str = "source",
-          depleted_percent: int = DEPLETED_PERCENT) -> DataFrame:
-    """The rows that pass, all columns, their text without the frequent lines.
+          depleted_percent: int = DEPLETED_PERCENT, groups: DataFrame | None = None,
+          doc_id: str = "doc_id") -> DataFrame:
+    """The rows that pass, all columns, their text without the frequent lines; with
+    ``groups``, near-copies count as one text (see ``frequent_lines``).
 
     A kept text that loses a line is joined again by line breaks; all other texts
     are returned as they are."""
-    frequent = stored(frequent_lines(df, text, host), "frequent-lines")
+    frequent = stored(frequent_lines(df, text, host, groups=groups, doc_id=doc_id),
+                      "frequent-lines")
     # the whole row rides along as one struct, so no column name can clash
     rows = _hits(df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"),
                            F.col(text).alias("__body"), F.col(host).alias("__source")),

@@ -84,3 +84,24 @@ def test_each_stage_on_awkward_rows(spark, make):
     rng = random.Random(1)
     one = spark.createDataFrame([(1, sentence(rng, 50), "a")], "doc_id long, text string, source string")
     assert all(stage(spark, one, SF).count() == 1 for _, stage in P.STAGES[:1] + P.STAGES[2:])
+
+
+def test_one_member_of_a_large_near_copy_group_survives(spark):
+    """A third of a host's rows are near copies of one clean document."""
+    rng = random.Random(21)
+    clean = [sentence(rng, 9) for _ in range(20)]
+    notice = sentence(rng, 12)
+    rows = [(i, "\n".join([*(sentence(rng, 9) for _ in range(5)), *[notice] * (i < 60)]), "h")
+            for i in range(200)]
+    for i in range(1000, 1100):
+        lines = [x.split() for x in clean]
+        if i > 1000:
+            lines[rng.randrange(20)][rng.randrange(9)] = f"changed{i}"
+        rows.append((i, "\n".join(map(" ".join, lines)), "h"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    stages = dict(P.STAGES)
+    ruled = stages["quality_rules"](spark, docs, SF)
+    left = {r["doc_id"]: r["text"] for r in ruled.collect()}
+    assert left == {i: t.replace("\n" + notice, "") for i, t, _ in rows}
+    kept = stages["minhash_near_dedup"](spark, ruled, SF).collect()
+    assert [r["text"] for r in kept if r["doc_id"] >= 1000] == ["\n".join(clean)]
