@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import wraps
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     ann,
     bpe,
+    brown_lm,
     html_main,
+    impact_search,
     label_shards,
     line_frequency,
     near_dup,
@@ -19,6 +23,7 @@ from ledgerlens.llm import (
     packing,
     url_reputation,
     winnow,
+    word_runs,
 )
 from ledgerlens.session import checkpoint_dir, expose_library
 from ledgerlens.sources.tables import read_table
@@ -134,10 +139,59 @@ def op10_label_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def looped(doc_id, n):
+    """Places of a text's words when a tenth of the documents go round in a loop, by the
+    checksum of their id; null ids do not."""
+    if doc_id is None:
+        return None
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % p])
+
+
+def op11_word_runs(spark, sf_dir):
+    """Periodic runs of every document's words: their number, the strongest, digests of all
+    of them and of the text without their repeats."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = word_runs.detect(docs, arrange=looped)
+    best = word_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[
+        r[c].cast("string") for c in ("start", "length", "period")]))
+    text = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+    return (found.select("doc_id", F.size("runs").cast("long").alias("n_runs"),
+                         best.alias("best"), F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"))
+
+
+def op12_brown_lm(spark, sf_dir):
+    """Score of every document under the class bigrams and the unigrams of those that are
+    not held out."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    scored = brown_lm.score(docs, F.crc32(text.cast("binary")) % 10 != 0)
+    return scored.select("row.doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
+def op13_impact_search(spark, sf_dir):
+    """The 50 highest-scoring documents of every benchmark item."""
+    return impact_search.search(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 LLM_QUERIES = {q.__name__: registered(q) for q in (
-    op1_bpe, op2_ann, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal, op8_line_frequency, op9_winnow, op10_label_shards)}
+    op1_bpe, op2_ann, op3_pack, op4_html, op5_url_reputation, op6_minhash, op7_ordinal,
+    op8_line_frequency, op9_winnow, op10_label_shards, op11_word_runs, op12_brown_lm,
+    op13_impact_search)}
 
 LLM_ORACLE: dict[str, str] = {
     "op5_url_reputation": oracle.OP5,
     "op8_line_frequency": oracle.OP8,
+    "op13_impact_search": oracle.OP13,
 }

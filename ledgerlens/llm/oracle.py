@@ -105,3 +105,44 @@ SELECT page_id, host, path, rule,
        CAST(n AS BIGINT) AS labelled, CAST(k AS BIGINT) AS good
 FROM ruled JOIN h2 USING (host)
 """
+
+# Integer arithmetic throughout but for the logarithm; only A-Z are lower-cased.
+OP13 = r"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+),
+asked AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL) x
+),
+lengths AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths),
+counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM tokens
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * max(docs) + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term
+),
+impacts AS (
+  SELECT doc_id, term,
+         (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // all_terms)) AS impact
+  FROM counted JOIN lengths USING (doc_id), totals
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (term) JOIN weights USING (term)
+  GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""

@@ -15,7 +15,7 @@ from ledgerlens.llm.catalog import LLM_ORACLE, LLM_QUERIES
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "embeddings"):
+    for t in ("documents", "pages", "labels", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF['0.01']}/{t}.parquet'")
     df = LLM_QUERIES[name](spark, SF["0.01"])
     rel = con.sql(LLM_ORACLE[name])
@@ -25,7 +25,7 @@ def test_query_matches_oracle(spark, name):
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert "pipeline" in names and set(LLM_ORACLE) <= set(E.oracle_sql())
 
 
