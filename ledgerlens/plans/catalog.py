@@ -16,7 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.clean import int_or_zero, norm_state, parse_sales_date
-from ledgerlens.operators import compare, percentiles, promotions, quality, runs, trailing, variety
+from ledgerlens.operators import (
+    compare,
+    percentiles,
+    promotions,
+    quality,
+    runs,
+    selection,
+    trailing,
+    trailing_changes,
+    variety,
+)
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import logs, sinks
 from ledgerlens.sources import sales as sales_csv
@@ -55,6 +65,18 @@ def q_trailing_mode_window_fn(spark, d):
     return trailing.size_mode_by_state_window_fn(_sales(spark, d, *_Q1_COLS))
 
 
+def q_trailing_mode_by_changes(spark, d):
+    return trailing_changes.size_mode_by_changes(_sales(spark, d, *_Q1_COLS), 7)
+
+
+def q_trailing_mode_180(spark, d):
+    return trailing_changes.size_mode_by_changes(_sales(spark, d, *_Q1_COLS), 180)
+
+
+def q_trailing_changes_180(spark, d):
+    return trailing_changes.size_mode_change_points(_sales(spark, d, *_Q1_COLS), 180)
+
+
 # ---- median variety -----------------------------------------------------------
 
 _Q2_COLS = ("order_date", "state", "style", "sku", "size")
@@ -141,6 +163,21 @@ def q_percentile_stddev(spark, d):
     return _round_wide(_wide(spark, d))
 
 
+def _by_month_and_overall(spark, d):
+    """Lines once under their month of the year and once under a null month, for all."""
+    every = F.explode(F.array(F.col("month"), F.lit(None).cast("int")))
+    return _orders(spark, d).select(every.alias("month"), "amount")
+
+
+def q_amount_percentiles(spark, d):
+    return selection.select_percentiles(_by_month_and_overall(spark, d), ("month",))
+
+
+def q_amount_percentile_stddev(spark, d):
+    return _round_wide(selection.select_percentile_stddev(
+        _by_month_and_overall(spark, d), ("month",)))
+
+
 # ---- comparison reports ------------------------------------------------------
 
 # On these tables the sketch is exact, so that every comparison would be empty.  The
@@ -411,6 +448,11 @@ def q_json_run_log(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    "amount_percentiles": q_amount_percentiles,
+    "amount_percentile_stddev": q_amount_percentile_stddev,
+    "trailing_mode_by_changes": q_trailing_mode_by_changes,
+    "trailing_mode_180": q_trailing_mode_180,
+    "trailing_changes_180": q_trailing_changes_180,
     "threshold_mismatch_top_p90": q_threshold_mismatch_top_p90,
     "mismatch_union_top": q_mismatch_union_top,
     "validate_damaged": q_validate_damaged,

@@ -354,7 +354,70 @@ report AS (
     CASE WHEN order_id % 90 <> 0 THEN amount END AS amount)
   FROM sales)"""
 
+def trailing_sql(days: int) -> str:
+    """The daily report over windows of any length, by a join on the date range."""
+    return _q(TRAILING_CTES[:TRAILING_CTES.index("t_fan AS")] + f"""
+t_days AS (
+  SELECT state, CAST(unnest(generate_series(first + 1, last + {days}, INTERVAL 1 DAY)) AS DATE)
+         AS target_date
+  FROM (SELECT state, CAST(min(day) AS DATE) AS first, CAST(max(day) AS DATE) AS last
+        FROM t_daily GROUP BY state) x
+),
+t_counts AS (
+  SELECT d.state, d.target_date, l.size, sum(l.cnt) AS cnt
+  FROM t_days d JOIN t_daily l ON l.state = d.state
+   AND l.day >= d.target_date - {days} AND l.day < d.target_date
+  GROUP BY d.state, d.target_date, l.size
+),
+t_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY state, target_date ORDER BY cnt DESC, size) AS rn
+  FROM t_counts
+),
+t_result AS (
+  SELECT state, target_date, size AS top_size, CAST(cnt AS BIGINT) AS size_count
+  FROM t_ranked WHERE rn = 1
+)""")
+
+
+# P80 / P90 of the amount per month and, with a null month, over everything: the value whose
+# place in order is the nearest rank.
+AMOUNT_CTES = PCT_CTES + """,
+scoped AS (
+  SELECT month, amount FROM po UNION ALL SELECT CAST(NULL AS INTEGER), amount FROM po
+),
+placed AS (
+  SELECT month, amount, row_number() OVER (PARTITION BY month ORDER BY amount) AS place,
+         count(*) OVER (PARTITION BY month) AS n
+  FROM scoped
+),
+amount_thr AS (
+  SELECT month, n,
+         max(amount) FILTER (WHERE place = CAST(ceil(CAST(n AS DECIMAL(18, 0)) * 0.80) AS BIGINT)) AS p80,
+         max(amount) FILTER (WHERE place = CAST(ceil(CAST(n AS DECIMAL(18, 0)) * 0.90) AS BIGINT)) AS p90
+  FROM placed GROUP BY month, n
+)"""
+
 ORACLE: dict[str, str] = {
+    "amount_percentiles": _q(AMOUNT_CTES + "\nSELECT month, n, p80, p90 FROM amount_thr"),
+    "amount_percentile_stddev": _q(AMOUNT_CTES + """
+SELECT t.month, t.n, p80 AS threshold_p80, count(*) FILTER (WHERE amount >= p80) AS orders_p80,
+       round(CASE WHEN count(*) FILTER (WHERE amount >= p80) < 2 THEN 0.0
+                  ELSE stddev_pop(amount) FILTER (WHERE amount >= p80) END, 4) AS stddev_p80,
+       p90 AS threshold_p90, count(*) FILTER (WHERE amount >= p90) AS orders_p90,
+       round(CASE WHEN count(*) FILTER (WHERE amount >= p90) < 2 THEN 0.0
+                  ELSE stddev_pop(amount) FILTER (WHERE amount >= p90) END, 4) AS stddev_p90
+FROM amount_thr t JOIN scoped s ON s.month IS NOT DISTINCT FROM t.month
+GROUP BY t.month, t.n, p80, p90"""),
+    "trailing_mode_by_changes": TRAILING_SQL,
+    "trailing_mode_180": trailing_sql(180) + "\nSELECT * FROM t_result",
+    "trailing_changes_180": trailing_sql(180) + """,
+t_islands AS (
+  SELECT *, target_date - CAST(row_number() OVER (
+           PARTITION BY state, top_size, size_count ORDER BY target_date) AS INTEGER) AS island
+  FROM t_result
+)
+SELECT state, min(target_date) AS valid_from, max(target_date) AS valid_to, top_size, size_count
+FROM t_islands GROUP BY state, top_size, size_count, island""",
     "style_variety": _q(VARIETY_CTES + "\nSELECT month, state, style, variety FROM sv"),
     "median_variety": MEDIAN_SQL,
     "csv_roundtrip": MEDIAN_SQL,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerlens.session import scratch_path
 
 def _one_file(df: DataFrame, sort_by=None) -> DataFrame:
     # Sorted after the rows have met in one partition, so the file's order does not
@@ -56,3 +57,11 @@ def read_back(spark: SparkSession, path: str, fmt: str,
 def schema_listing(spark: SparkSession, df: DataFrame) -> DataFrame:
     """(column, dtype) of a frame -- built from the schema, not the data."""
     return spark.createDataFrame(list(df.dtypes), "column string, dtype string")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: it cuts the lineage,
+    survives lost executors, and gives Spark the table's real size for its joins."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
