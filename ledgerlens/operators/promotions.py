@@ -119,8 +119,12 @@ def qualification_rate(sales: DataFrame, min_promos: int = MIN_VALID_PROMOS,
     # order_id first (that shuffle is needed anyway); the averages, one row per
     # state, are then usually measured and broadcast.  Where they are not ready in
     # time the join shuffles by state, and AQE splits the hot states.
-    flagged = (base.join(good, "order_id", "left")
-               .join(avgs, "state", "left"))
+    return rate_by_city(base.join(good, "order_id", "left"), avgs)
+
+
+def rate_by_city(flagged: DataFrame, avgs: DataFrame) -> DataFrame:
+    """(city, base_count, qualified_count, pct_qualified) from base lines with ``promo_ok``."""
+    flagged = flagged.join(avgs, "state", "left")
     qualified = (F.col("amount") < F.col("avg_amount")) & F.col("promo_ok")
     counts = flagged.groupBy("city").agg(
         F.count("order_id").alias("base_count"),

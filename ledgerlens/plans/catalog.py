@@ -17,18 +17,23 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.clean import int_or_zero, norm_state, parse_sales_date
 from ledgerlens.operators import (
+    colocated,
     compare,
+    heavy_hitters,
     percentiles,
+    promotion_state,
     promotions,
     quality,
     runs,
     selection,
+    sketches,
     trailing,
     trailing_changes,
     variety,
+    versions,
 )
 from ledgerlens.session import scratch_path
-from ledgerlens.sources import logs, sinks
+from ledgerlens.sources import logs, quarantine, sinks
 from ledgerlens.sources import sales as sales_csv
 from ledgerlens.sources.sales import SALES_COLUMNS, sales_from_tables
 from ledgerlens.sources.tables import read_table
@@ -178,6 +183,118 @@ def q_amount_percentile_stddev(spark, d):
         _by_month_and_overall(spark, d), ("month",)))
 
 
+# ---- stored sketches -------------------------------------------------------------
+
+def _merged_sketches(spark, d, keys, value):
+    """Sketches per (SKU, month, day), kept as a table, merged to ``keys``."""
+    sales = _sales(spark, d, *_Q4_COLS)
+    fine = (percentiles.promo_orders(sales.withColumn("order_id", F.dayofmonth("order_date")))
+            .withColumnRenamed("order_id", "day"))
+    table = sinks.stored(sketches.quantile_sketches(fine, ["sku", "month", "day"], value),
+                         "day-sketches")
+    kind = "double" if value == "amount" else "bigint"
+    return sketches.sketch_quantiles(sketches.merge_sketches(table, keys, kind), keys, kind)
+
+
+def q_sketch_thresholds(spark, d):
+    return (_merged_sketches(spark, d, ["sku", "month"], "promo_count")
+            .select("sku", "month", F.col("p80").cast("int").alias("p80"),
+                    F.col("p90").cast("int").alias("p90")))
+
+
+def q_sketch_rank_error(spark, d):
+    """The report without what differs from run to run: the estimate and its error."""
+    found = sketches.rank_errors(_merged_sketches(spark, d, ["month"], "amount"),
+                                 _orders(spark, d), ["month"], "amount")
+    return found.drop("estimate", "rank_error")
+
+
+def q_kept_skus(spark, d):
+    """SKUs that a state sells in a month and the one before it in its calendar."""
+    sold = _sales(spark, d, "order_date", "state", "sku").select(
+        norm_state("state").alias("state"),
+        F.date_format("order_date", "yyyy-MM").alias("period"), "sku")
+    return sketches.kept_report(sold, ["state"], "period", "sku", lg=6)
+
+
+# ---- heavy hitters ----------------------------------------------------------------
+
+def q_heavy_sku_customers(spark, d):
+    """(SKU, customer) with more than 3 in 100,000 of all lines."""
+    lines = read_table(spark, d, "lineitem", ["l_orderkey", "l_partkey"])
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    return heavy_hitters.heavy_keys(
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select(F.col("l_partkey").alias("sku"), F.col("o_custkey").alias("customer")),
+        ["sku", "customer"], 0.00003)
+
+
+def q_heavy_sizes(spark, d):
+    """(State, size) with more than 4 in 1,000 of all lines."""
+    return heavy_hitters.heavy_keys(_sales(spark, d, "state", "size"), ["state", "size"], 0.004)
+
+
+# ---- promotion state, kept up by increments --------------------------------------------
+
+INCREMENTS = 4
+
+
+def _replayed(spark, d):
+    """The state after the calendar, cut into equal spans of days, one after the other."""
+    lines = _sales(spark, d, "order_id", "order_date", "promotion_ids")
+    r = lines.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).first()
+    if r["first"] is None:
+        return promotion_state.replay([lines])
+    span = (r["last"] - r["first"]).days // INCREMENTS + 1
+    part = F.floor(F.datediff("order_date", F.lit(r["first"])) / span)
+    return promotion_state.replay(lines.filter(part == i) for i in range(INCREMENTS))
+
+
+def q_orders_by_increments(spark, d):
+    return promotion_state.qualifying_orders(_replayed(spark, d))
+
+
+def q_promotions_by_increments(spark, d):
+    return promotion_state.valid_promotions(_replayed(spark, d))
+
+
+# ---- tables that meet without a shuffle --------------------------------------------------
+
+def q_qualification_rate_colocated(spark, d):
+    return colocated.qualification_rate(colocated.lines_by_order(_sales(spark, d, *_Q3_COLS)))
+
+
+def q_percentile_stddev_colocated(spark, d):
+    return _round_wide(colocated.percentile_stddev(
+        colocated.lines_by_group(_sales(spark, d, *_Q4_COLS))))
+
+
+# ---- difference of two versions -------------------------------------------------------
+
+def _versions(spark, d):
+    """(paths of two versions of the exact thresholds, their schema): the second has p80 up by
+    one for some SKUs, lacks the first months of others, and has month 13 instead of a
+    copy of month 5 for others more."""
+    old = percentiles.threshold_exact(_orders(spark, d))
+    sku = F.col("sku").cast("bigint") % 997
+    new = old.filter(~((sku == 42) & (F.col("month") <= 2))).select(
+        "sku", "month", (F.col("p80") + F.when(sku == 7, 1).otherwise(0)).alias("p80"), "p90")
+    new = new.unionByName(old.filter((sku == 99) & (F.col("month") == 5))
+                          .withColumn("month", F.lit(13)))
+    paths = [versions.write_version(df, scratch_path(spark, "thresholds"), ["sku", "month"])
+             for df in (old, new)]
+    return (*paths, old.schema)
+
+
+def q_version_diff(spark, d):
+    old, new, schema = _versions(spark, d)
+    return versions.difference(spark, old, new, schema, ["sku", "month"])
+
+
+def q_version_diff_summary(spark, d):
+    return versions.difference_summary(q_version_diff(spark, d))
+
+
 # ---- comparison reports ------------------------------------------------------
 
 # On these tables the sketch is exact, so that every comparison would be empty.  The
@@ -338,6 +455,33 @@ def q_profile_raw(spark, d):
         "amount", "sku", "order_date", "qty", "promotion_ids")})
 
 
+def _quarantined(spark, d):
+    report = quarantine.write_damaged_report(_sales(spark, d), scratch_path(spark, "damaged-report"))
+    out = scratch_path(spark, "quarantine")
+    return out, quarantine.route(spark, report, out)
+
+
+def q_quarantine_rows(spark, d):
+    """The rejected lines with their reasons, and whether their place is known."""
+    out, _ = _quarantined(spark, d)
+    place = F.col("file").isNotNull() & (F.col("block") >= 0) & (F.col("place") >= 0)
+    return quarantine.rejected_rows(spark, out).select(
+        F.split("raw", ",")[0].cast("bigint").alias("order_id"),
+        F.concat_ws(",", "reasons").alias("reasons"), place.alias("has_place"))
+
+
+def q_quarantine_counts(spark, d):
+    """The counts observed in the pass, beside those of the two outcomes as read back."""
+    out, seen = _quarantined(spark, d)
+    back = quarantine.rejected_rows(spark, out).select(F.explode("reasons").alias("outcome"))
+    good = quarantine.good_rows(spark, out).select(F.lit("good").alias("outcome"))
+    found = back.unionByName(good).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+    counts = [*((r, seen[r]) for r in quarantine.REASONS), ("good", seen["lines"] - seen["rejected"])]
+    observed = spark.createDataFrame(counts, "outcome string, observed bigint")
+    return observed.join(found, "outcome", "left").select(
+        "outcome", "observed", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 def q_key_integrity(spark, d):
     return sales_csv.key_integrity(spark, d)
 
@@ -404,6 +548,18 @@ def q_parquet_roundtrip(spark, d):
     return sinks.read_back(spark, path, "parquet")
 
 
+def q_verified_write(spark, d):
+    """Rows and checksum as written and as read back, of a second write over a first."""
+    path = scratch_path(spark, "verified-rate")
+    result = sinks.stored(q_qualification_rate(spark, d), "rate")
+    sinks.write_verified(result.limit(1), path)
+    found = sinks.write_verified(result, path)
+    now = sinks.read_back(spark, path, "parquet").agg(*sinks.row_sums(result))
+    return now.select(F.lit(found["rows_written"]).cast("bigint").alias("rows_written"),
+                      F.lit(found["checksum_written"]).alias("checksum_written"),
+                      F.col("rows").alias("rows_read"), F.col("checksum").alias("checksum_read"))
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "median-variety")
     sinks.write_single_csv(q_median_variety(spark, d), path, sort_by=["month", "state"])
@@ -448,6 +604,20 @@ def q_json_run_log(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    "sketch_thresholds": q_sketch_thresholds,
+    "sketch_rank_error": q_sketch_rank_error,
+    "kept_skus": q_kept_skus,
+    "heavy_sku_customers": q_heavy_sku_customers,
+    "heavy_sizes": q_heavy_sizes,
+    "orders_by_increments": q_orders_by_increments,
+    "promotions_by_increments": q_promotions_by_increments,
+    "qualification_rate_colocated": q_qualification_rate_colocated,
+    "percentile_stddev_colocated": q_percentile_stddev_colocated,
+    "version_diff": q_version_diff,
+    "version_diff_summary": q_version_diff_summary,
+    "quarantine_rows": q_quarantine_rows,
+    "quarantine_counts": q_quarantine_counts,
+    "verified_write": q_verified_write,
     "amount_percentiles": q_amount_percentiles,
     "amount_percentile_stddev": q_amount_percentile_stddev,
     "trailing_mode_by_changes": q_trailing_mode_by_changes,

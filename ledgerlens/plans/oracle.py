@@ -397,7 +397,84 @@ amount_thr AS (
   FROM placed GROUP BY month, n
 )"""
 
+# The report with stated damage, line by line: its reasons, in a fixed order.
+DAMAGE_CTES = """
+damaged AS (
+  SELECT order_id, concat_ws(',',
+    CASE WHEN order_id % 110 = 0 OR order_id % 130 = 0 THEN 'fields' END,
+    CASE WHEN order_id % 110 <> 0 AND order_id % 130 <> 0 AND order_id % 50 IN (0, 1)
+         THEN 'order_date' END,
+    CASE WHEN order_id % 110 <> 0 AND order_id % 130 <> 0 AND order_id % 70 = 0 THEN 'qty' END,
+    CASE WHEN order_id % 110 <> 0 AND order_id % 130 <> 0 AND order_id % 90 = 0
+         THEN 'amount' END) AS reasons
+  FROM sales
+)"""
+
+# Two versions of the exact thresholds.
+VERSION_CTES = PCT_CTES + """,
+old_v AS (SELECT sku, month, p80, p90, CAST(sku AS BIGINT) % 997 AS k FROM thr),
+new_v AS (
+  SELECT sku, month, p80 + CASE WHEN k = 7 THEN 1 ELSE 0 END AS p80, p90 FROM old_v
+  WHERE NOT (k = 42 AND month <= 2)
+  UNION ALL SELECT sku, 13, p80, p90 FROM old_v WHERE k = 99 AND month = 5
+),
+diff_v AS (
+  SELECT coalesce(o.sku, n.sku) AS sku, CAST(coalesce(o.month, n.month) AS INTEGER) AS month,
+         CASE WHEN o.sku IS NULL THEN 'added' WHEN n.sku IS NULL THEN 'lost' ELSE 'changed' END AS status,
+         o.p80 AS old_p80, n.p80 AS new_p80, o.p90 AS old_p90, n.p90 AS new_p90
+  FROM old_v o FULL JOIN new_v n ON o.sku = n.sku AND o.month = n.month
+  WHERE o.sku IS NULL OR n.sku IS NULL OR o.p80 <> n.p80 OR o.p90 <> n.p90
+)"""
+
 ORACLE: dict[str, str] = {
+    "sketch_thresholds": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
+    "sketch_rank_error": _q(PCT_CTES + """
+SELECT month, level AS percentile, count(*) AS n,
+       CAST(ceil(CAST(count(*) AS DECIMAL(18, 0)) * share) AS BIGINT) AS wanted_rank,
+       CAST(floor(count(*) * 0.01) AS BIGINT) AS allowed, TRUE AS within_bound
+FROM po, (VALUES ('P80', 0.80), ('P90', 0.90)) l(level, share) GROUP BY month, level, share"""),
+    "kept_skus": _q("""
+sold AS (SELECT DISTINCT upper(trim(state)) AS state, strftime(order_date, '%Y-%m') AS period, sku
+         FROM sales),
+steps AS (SELECT state, period, lag(period) OVER (PARTITION BY state ORDER BY period) AS before
+          FROM (SELECT DISTINCT state, period FROM sold) p)
+SELECT s.state, s.period, count(*) AS items, count(b.sku) AS kept, TRUE AS within_bound
+FROM steps s JOIN sold n ON n.state = s.state AND n.period = s.period
+LEFT JOIN sold b ON b.state = s.state AND b.period = s.before AND b.sku = n.sku
+WHERE s.before IS NOT NULL GROUP BY s.state, s.period"""),
+    "heavy_sku_customers": """
+SELECT l_partkey AS sku, o_custkey AS customer, count(*) AS lines,
+       (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS total_lines
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey, o_custkey
+HAVING count(*) > 0.00003 * (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+    "heavy_sizes": _q("""
+n AS (SELECT count(*) AS total_lines FROM sales)
+SELECT state, size, count(*) AS lines, max(total_lines) AS total_lines
+FROM sales, n GROUP BY state, size HAVING count(*) > 0.004 * max(total_lines)"""),
+    "orders_by_increments": _q(PROMO_CTES + "\nSELECT * FROM good"),
+    "promotions_by_increments": _q(PROMO_CTES + "\nSELECT * FROM valid"),
+    "qualification_rate_colocated": QUAL_SQL,
+    "percentile_stddev_colocated": _q(PCT_CTES + "\nSELECT * FROM wide"),
+    "version_diff": _q(VERSION_CTES + "\nSELECT * FROM diff_v"),
+    "version_diff_summary": _q(VERSION_CTES
+                               + "\nSELECT status, count(*) AS groups FROM diff_v GROUP BY status"),
+    "quarantine_rows": _q(DAMAGE_CTES + """
+SELECT order_id, reasons, TRUE AS has_place FROM damaged WHERE reasons <> ''"""),
+    "quarantine_counts": _q(DAMAGE_CTES + """,
+outcomes AS (
+  SELECT unnest(CASE WHEN reasons = '' THEN ['good'] ELSE string_split(reasons, ',') END) AS outcome
+  FROM damaged
+)
+SELECT names.outcome, count(o.outcome) AS observed, count(o.outcome) AS "rows"
+FROM (VALUES ('fields'), ('order_date'), ('qty'), ('amount'), ('good')) names(outcome)
+LEFT JOIN outcomes o ON o.outcome = names.outcome GROUP BY names.outcome"""),
+    "verified_write": "WITH rate AS (" + QUAL_SQL + """),
+sums AS (
+  SELECT count(*) AS n, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', city, base_count,
+           qualified_count, pct_qualified)), 1, 15)) AS BIGINT)) AS VARCHAR) AS c
+  FROM rate
+)
+SELECT n AS rows_written, c AS checksum_written, n AS rows_read, c AS checksum_read FROM sums""",
     "amount_percentiles": _q(AMOUNT_CTES + "\nSELECT month, n, p80, p90 FROM amount_thr"),
     "amount_percentile_stddev": _q(AMOUNT_CTES + """
 SELECT t.month, t.n, p80 AS threshold_p80, count(*) FILTER (WHERE amount >= p80) AS orders_p80,
