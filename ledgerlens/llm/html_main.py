@@ -3,14 +3,20 @@
 The markup is cut into blocks at block-level tags.  The first pass decides each block
 by itself: blocks in page furniture (by element, class, id or role) and blocks made of
 links are boilerplate; long blocks dense in stop words are text; the rest stays
-open -- short blocks, and blocks with few stop words.  In the second pass an open block
+open -- short blocks, and blocks with few stop words.  Where no stop list can tell --
+blocks in a script without one, and pages of which no block is dense in stop words --
+long blocks with few links are text.  In the second pass an open block
 takes the label of its nearest decided neighbours: text if both sides are text,
 boilerplate if both are not, and with one of each the nearer one (text if equally
 near).  The edges of an ``article`` or ``main`` element count as decided text for the
 blocks inside, which look no further than these edges; the edges of the page count
-as boilerplate.
+as boilerplate.  On a page with such an element, long open blocks outside are boilerplate.
 
-One row-parallel pass, no shuffle; a page is handled whole, whatever its length.
+A form, or an element named like furniture, that holds nearly all of a page's text and
+parts of a page (a heading, a navigation, an article) is a wrapper, not furniture.
+
+One row-parallel pass, no shuffle; a page is handled whole, whatever its length, in time
+that grows with its length.
 
 Defined results: null html is empty and gives an empty text; broken or cut-off
 markup is read as far as it goes (a tag that never closes hides nothing after it
@@ -35,6 +41,10 @@ from ledgerlens.llm.bpe import in_batches
 SHORT_CHARS = 70
 LINK_SHARE = 0.5
 STOP_SHARE = 0.15
+FEW_LINKS = 0.25           # share of linked characters, where stop words cannot tell
+WIDE_CHARS = 2             # more that a character counts in scripts without spaces
+WRAPPER_SHARE = 0.8        # of a page's characters
+WRAPPERS = 4               # that are looked through
 
 # Frequent function words of the corpus languages.
 STOP_WORDS = frozenset("""
@@ -69,6 +79,11 @@ navigation newsletter notice notification pager pagination paywall popup promo p
 recommended related replies respond search share sharing sidebar signup social sponsor
 sponsored subscribe toolbar widget complementary contentinfo form login
 """.split())
+# Words in front of a name that say the opposite, or what an element has.
+NOT_NAMES = frozenset(["no", "not", "non", "without", "has", "have", "with"])
+# Names of furniture that can be most of a page, and parts that a page has.
+NEVER_WRAPPERS = frozenset(["comment", "comments", "disqus", "replies", "respond"])
+PAGE_PARTS = frozenset(["article", "main", "h1", "nav", "header", "footer"])
 # these name the furniture of a page, but inside an article its own title
 TOP_NAMES = frozenset(["header", "masthead", "topbar"])
 
@@ -82,6 +97,9 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Scripts that put no spaces between words.
+_WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                   "\U00020000-\U0003ffff]")
 
 
 @dataclass
@@ -91,6 +109,7 @@ class Block:
     furniture: bool
     region: int            # number of the article element, 0 outside
     heading: bool = False
+    outer: int = 0         # number of the outermost furniture around it
 
 
 @dataclass
@@ -100,7 +119,11 @@ class _Reader:
     linked: int = 0
     heading: bool = False
     links: int = 0
-    inside: list[list] = field(default_factory=list)    # open furniture: [name, depth]
+    inside: list[list] = field(default_factory=list)    # open furniture: [name, depth, number]
+    ignored: frozenset = frozenset()                    # numbers of wrappers
+    opened: int = 0
+    wrappers: set[int] = field(default_factory=set)     # furniture that could be a wrapper
+    paged: set[int] = field(default_factory=set)        # outermost furniture with parts of a page
     articles: list[str] = field(default_factory=list)
     region: int = 0
     regions: int = 0
@@ -116,7 +139,7 @@ class _Reader:
         text = " ".join("".join(self.parts).split())
         if text:
             self.blocks.append(Block(text, self.linked, bool(self.inside), self.region,
-                                     self.heading))
+                                     self.heading, self.inside[0][2] if self.inside else 0))
         self.parts.clear()
         self.linked = 0
 
@@ -136,6 +159,8 @@ class _Reader:
                 self.regions += 1
                 self.region = self.regions
         if self.inside:
+            if name in PAGE_PARTS:
+                self.paged.add(self.inside[0][2])
             top = self.inside[-1]
             if top[0] == name:
                 if name in ENDED_BY_NEXT:
@@ -143,21 +168,43 @@ class _Reader:
                 else:
                     top[1] += 1
                     return
-        if self.is_furniture(name, attributes):
-            self.inside.append([name, 1])
+        names = self.furniture(name, attributes)
+        if names:
+            self.opened += 1
+            if name not in FURNITURE or name == "form":
+                if not names & NEVER_WRAPPERS:
+                    self.wrappers.add(self.opened)
+            if self.opened not in self.ignored:
+                self.inside.append([name, 1, self.opened])
 
-    def is_furniture(self, name: str, attributes: str) -> bool:
+    def furniture(self, name: str, attributes: str) -> frozenset | set:
+        """The names by which an element is furniture, none if it is not."""
         if name in ("html", "body", "article", "main"):
-            return False
+            return frozenset()
         if name in FURNITURE or name == "header" and not self.region:
-            return True
+            return {name}
+        found = set()
         if "=" in attributes:
-            for found in _ATTRIBUTE.finditer(attributes):
-                value = _CAMEL.sub(" ", found[1] or found[2] or found[3] or "").lower()
-                words = set(_NAME.findall(value))
-                if words & NAMES or not self.region and words & TOP_NAMES:
-                    return True
-        return False
+            for value in _ATTRIBUTE.finditer(attributes):
+                for token in (value[1] or value[2] or value[3] or "").split():
+                    words = _NAME.findall(_CAMEL.sub(" ", token).lower())
+                    if words and words[0] not in NOT_NAMES:
+                        found |= NAMES.intersection(words)
+                        if not self.region:
+                            found |= TOP_NAMES.intersection(words)
+        return found
+
+    def wrapper(self) -> int:
+        """The number of an outermost furniture that wraps the page, or 0."""
+        held: dict[int, int] = {}
+        for b in self.blocks:
+            held[b.outer] = held.get(b.outer, 0) + len(b.text)
+        total = sum(held.values())
+        for number, chars in held.items():
+            if (number in self.wrappers and number in self.paged
+                    and chars >= WRAPPER_SHARE * total):
+                return number
+        return 0
 
     def close(self, name: str):
         if name in BLOCKS:
@@ -177,9 +224,8 @@ class _Reader:
                 self.region = 0
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in their order."""
-    reader, at = _Reader(), 0
+def _read(page: str, ignored: frozenset) -> _Reader:
+    reader, at = _Reader(ignored=ignored), 0
     for token in _TOKEN.finditer(page):
         reader.add(page[at:token.start()])
         at = token.end()
@@ -191,7 +237,24 @@ def blocks(page: str) -> list[Block]:
                 reader.open(name, token[4])
     reader.add(page[at:])
     reader.flush()
-    return reader.blocks
+    return reader
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks of a page in their order."""
+    ignored = frozenset()
+    while True:
+        reader = _read(page, ignored)
+        wrapper = reader.wrapper()
+        if not wrapper or len(ignored) == WRAPPERS:
+            return reader.blocks
+        ignored |= {wrapper}
+
+
+def _is_long(block: Block) -> bool:
+    n = len(block.text)
+    return n >= SHORT_CHARS or (not block.text.isascii() and
+                                n + WIDE_CHARS * len(_WIDE.findall(block.text)) >= SHORT_CHARS)
 
 
 def first_pass(block: Block) -> bool | None:
@@ -206,29 +269,49 @@ def first_pass(block: Block) -> bool | None:
     return True if stops >= STOP_SHARE * len(words) else None
 
 
+def _untold(block: Block, known: bool) -> bool:
+    """A long block with few links that stop words say nothing about."""
+    size = len(block.text) - block.text.count(" ")
+    if block.heading or block.linked > FEW_LINKS * size or not _is_long(block):
+        return False
+    return not known or 2 * len(_WIDE.findall(block.text)) > size
+
+
+def _nearest(found: list[Block], decided: list[bool | None], step: int) -> list[tuple[int, bool]]:
+    """For each open block, the distance and label of the decided block, or of the edge,
+    next to it in one direction: one sweep."""
+    out: list[tuple[int, bool]] = [(0, False)] * len(found)
+    order = range(len(found)) if step > 0 else range(len(found) - 1, -1, -1)
+    at, label, region = None, False, None
+    for i in order:
+        if found[i].region != region:                    # an edge: of the article, or the page
+            region = found[i].region
+            at, label = i - step, region > 0
+        if decided[i] is None:
+            out[i] = (abs(i - at), label)
+        else:
+            at, label = i, decided[i]
+    return out
+
+
 def labels(found: list[Block]) -> list[bool]:
     """Both passes: whether each block is text."""
     decided = [first_pass(b) for b in found]
-    out = list(decided)
+    known = any(decided)
+    articles = any(b.region and not b.furniture for b in found)
     for i, b in enumerate(found):
-        if decided[i] is not None:
-            continue
-        # an open block outside article elements that is long has too few stop words
-        if not b.region and len(b.text) >= SHORT_CHARS and not b.heading:
-            out[i] = False
-            continue
-        sides = []
-        for step in (-1, 1):
-            j = i + step
-            while 0 <= j < len(found) and found[j].region == b.region and decided[j] is None:
-                j += step
-            if 0 <= j < len(found) and found[j].region == b.region:
-                sides.append((abs(j - i), decided[j]))
-            else:                                        # an edge: of the article, or the page
-                sides.append((abs(j - i), b.region > 0))
-        (near, left), (far, right) = sides
-        out[i] = left if left == right else (left if near < far else right if far < near
-                                             else True)
+        if decided[i] is None:
+            inside = bool(b.region) or not articles
+            if inside and _untold(b, known):
+                decided[i] = True
+            elif not inside and not b.heading and _is_long(b):
+                decided[i] = False
+    before, after = _nearest(found, decided, 1), _nearest(found, decided, -1)
+    out = []
+    for own, (near, left), (far, right) in zip(decided, before, after):
+        if own is None:
+            own = left if left == right or near < far else right if far < near else True
+        out.append(own)
     return out
 
 
