@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.sources.sinks import stored
+
 # Fixed value: shape of a timing line, e.g. "[approx] Run 3: 1066 ms".
 RUN_LINE_PATTERN = r"(?i)\[([a-z_]+)\]\s+Run\s+(\d+)\s*:\s*(\d+)\s*ms"
 
@@ -73,13 +75,24 @@ def number_lines(lines: DataFrame, groups: list, order: list, name: str = "run")
 
     ``groups`` are expressions that cut the lines, in order, into pieces a task can
     sort: the file and block of a text line, or ranges of a numeric key.  Lines are
-    numbered inside their group and shifted by the size of all groups before, from
-    a table with one row per group; no task sees all lines."""
+    numbered inside their group and shifted by the size of all groups before.  Those
+    offsets are summed in ranges of groups, and shifted by the sizes of all ranges before:
+    no task sees all lines, nor all groups; the one window without a key has a row per
+    range."""
     names = [f"_g{i}" for i in range(len(groups))]
     cut = lines.select("*", *[g.alias(n) for g, n in zip(groups, names)])
     sizes = cut.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # stored, as the ranges are cut by a sample: they must not change from use to use
+    sizes = stored(sizes.repartitionByRange(*names).withColumn("_range", F.spark_partition_id()),
+                   "line-groups")
+    before = (Window.unboundedPreceding, -1)
+    ranges = sizes.groupBy("_range").agg(F.sum("_n").alias("_n"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_range").rowsBetween(*before)), F.lit(0)).alias("_first"))
+    within = F.coalesce(F.sum("_n").over(
+        Window.partitionBy("_range").orderBy(*names).rowsBetween(*before)), F.lit(0))
+    offsets = (sizes.withColumn("_w", within).join(ranges, "_range")
+               .select(*names, (F.col("_first") + F.col("_w")).alias("_off")))
     inside = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
     return (cut.withColumn("_i", inside).join(offsets, names)
             .withColumn(name, F.col("_off") + F.col("_i")).drop(*names, "_i", "_off"))

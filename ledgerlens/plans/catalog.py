@@ -37,6 +37,7 @@ from ledgerlens.sources import logs, quarantine, sinks
 from ledgerlens.sources import sales as sales_csv
 from ledgerlens.sources.sales import SALES_COLUMNS, sales_from_tables
 from ledgerlens.sources.tables import read_table
+from ledgerlens.streaming.trailing import run_available_now, trailing_mode_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 FLOAT_DIGITS = 4
@@ -82,6 +83,28 @@ def q_trailing_changes_180(spark, d):
     return trailing_changes.size_mode_change_points(_sales(spark, d, *_Q1_COLS), 180)
 
 
+def q_trailing_mode_streamed(spark, d):
+    """The report as a stream over files that come in any order: the watermark spans all
+    days, and a closing line far behind the last one lets every window end."""
+    lines = trailing.shipped_lines(_sales(spark, d, *_Q1_COLS))
+    files, out = scratch_path(spark, "stream-lines"), scratch_path(spark, "stream-modes")
+    lines.write.parquet(files)
+    r = (spark.read.schema(lines.schema).parquet(files)
+         .agg(F.min("day").alias("first"), F.max("day").alias("last")).first())
+    schema = "state string, target_date date, top_size string, size_count bigint"
+    if r["first"] is None:
+        return spark.createDataFrame([], schema)
+    span = (r["last"] - r["first"]).days + 8
+    closing = spark.range(1).select(
+        F.lit("").alias("state"), F.date_add(F.lit(r["last"]), 2 * span).alias("day"),
+        F.lit("").alias("size"))
+    closing.write.mode("append").parquet(files)
+    stream = spark.readStream.schema(lines.schema).parquet(files)
+    run_available_now(trailing_mode_stream(stream, watermark=f"{span} days"), out,
+                      scratch_path(spark, "stream-checkpoint"))
+    return spark.read.schema(schema).parquet(out)
+
+
 # ---- median variety -----------------------------------------------------------
 
 _Q2_COLS = ("order_date", "state", "style", "sku", "size")
@@ -622,6 +645,7 @@ QUERIES: dict[str, Query] = {
     "amount_percentile_stddev": q_amount_percentile_stddev,
     "trailing_mode_by_changes": q_trailing_mode_by_changes,
     "trailing_mode_180": q_trailing_mode_180,
+    "trailing_mode_streamed": q_trailing_mode_streamed,
     "trailing_changes_180": q_trailing_changes_180,
     "threshold_mismatch_top_p90": q_threshold_mismatch_top_p90,
     "mismatch_union_top": q_mismatch_union_top,

@@ -486,6 +486,7 @@ SELECT t.month, t.n, p80 AS threshold_p80, count(*) FILTER (WHERE amount >= p80)
 FROM amount_thr t JOIN scoped s ON s.month IS NOT DISTINCT FROM t.month
 GROUP BY t.month, t.n, p80, p90"""),
     "trailing_mode_by_changes": TRAILING_SQL,
+    "trailing_mode_streamed": TRAILING_SQL,
     "trailing_mode_180": trailing_sql(180) + "\nSELECT * FROM t_result",
     "trailing_changes_180": trailing_sql(180) + """,
 t_islands AS (
