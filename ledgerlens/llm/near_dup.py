@@ -56,7 +56,6 @@ MISS = 1e-9
 SMALL_BUCKET = 16
 BLOCK = 512
 TEXT_BLOCK = 256           # members and visitors compared in one task
-BROADCAST_ROWS = 200_000   # rows of 40 bytes, above which a join is left to shuffle
 MEMO_WORDS = 300_000
 CHUNK = 2048               # shingles permuted at once
 EVEN = 0x5555555555555555
@@ -168,7 +167,18 @@ def signatures(df: DataFrame, size: int, doc_id: str = "doc_id", text: str = "te
                     [part[0], part[1], pa.array(nodes, pa.binary()), pa.array(ns, pa.int64()),
                      pa.array(sigs, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
                     names=schema.names)
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(_forgetful(run), schema)
+
+
+def _forgetful(run):
+    """The function of a task, after which a reused worker keeps no words."""
+    def forgets(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _WORDS.clear()
+            pa.default_memory_pool().release_unused()
+    return forgets
 
 
 def _unequal(a: str, b: str):
@@ -217,7 +227,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
             yield pa.RecordBatch.from_arrays(
                 [batch[0], batch[1], pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
     return rows.select("a", "b", "ta", "tb").mapInArrow(
-        run, "a binary, b binary, linked boolean")
+        _forgetful(run), "a binary, b binary, linked boolean")
 
 
 def _block_visits(members: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +357,7 @@ def _confirm_visits(visits: DataFrame, clusters: DataFrame, texts: DataFrame, si
                 sides[0 if member else 1].append((node, label, text))
         yield from links()
     return (rows.select(*key, "member", "node", "label", "text")
-            .repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a binary, b binary"))
+            .repartition(*key).sortWithinPartitions(*key).mapInArrow(_forgetful(run), "a binary, b binary"))
 
 
 def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -371,8 +381,8 @@ def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "do
     star = stored(_passing(star, nodes, percent), "candidates")
     best = (star.groupBy("b").agg(F.min(F.struct("unequal", "a")).alias("x"))
             .select(F.col("x.a").alias("a"), "b"))
-    texts = _texts(df, nodes, star.select(F.col("a").alias("node"))
-                   .union(star.select(F.col("b").alias("node"))).distinct(), doc_id, text)
+    # all that any later step can ask for, in one pass over the texts
+    texts = _texts(df, nodes, buckets.select("node").distinct(), doc_id, text)
     links = stored(_confirmed(best, texts, size, percent).filter("linked").select("a", "b"),
                    "links")
     labels = components(links)
@@ -390,9 +400,6 @@ def find(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str = "do
     visits = stored(clusters.filter("single AND size > 1").select("cluster", "node")
                     .union(_visits(buckets.select("node", "key"), clusters, nodes, percent))
                     .distinct(), "visits")
-    met = (clusters.join(visits.select("cluster").distinct(), "cluster").select("node")
-           .union(visits.select("node")).distinct().join(texts, "node", "left_anti"))
-    texts = texts.union(_texts(df, nodes, met, doc_id, text))
     more = stored(_confirm_visits(visits, clusters, texts, size, percent), "links")
     labels = components(links.union(more))
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn(
@@ -422,9 +429,7 @@ def survivors(df: DataFrame, size: int = 5, percent: int = PERCENT, doc_id: str
 def _texts(df: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str, text: str
            ) -> DataFrame:
     """(node, text) of the wanted nodes: one text of each."""
-    places = stored(nodes.select("node", "doc", "whole").join(wanted, "node"), "wanted")
-    if places.count() <= BROADCAST_ROWS:
-        places = F.broadcast(places)                 # some MB; else all texts are shuffled
+    places = nodes.select("node", "doc", "whole").join(wanted, "node")
     found = (df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("whole"),
                        F.col(text).alias("text")).join(places, ["doc", "whole"]))
     # rows equal in id and text repeat: one of them
