@@ -37,11 +37,32 @@ BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
                       r"|\s+(?!\S)|\s+")
 NOT_SPACE = r"\x1c-\x1f"
 
+# Fixed values where the Unicode versions differ: letters and numbers that the regex module knows
+# and the pattern engine of the vocabularies' own library does not, and capitals that this
+# library knows and Python does not.
+LATER_LETTERS = (
+    "\u0558 \u058b-\u058c \u088f \u0c5c \u0cdc \u208f \u209d-\u209f \ua7ce-\ua7cf \ua7dd \ua7e2 "
+    "\ua7f1 \uab6c-\uab6d \U000107bb-\U000107bf \U00010940-\U00010959 \U00010ec5-\U00010ec7 "
+    "\U00010ed9-\U00010eee \U00011b0a \U00011db0-\U00011ddb \U00011df1 \U00016ea0-\U00016eb8 "
+    "\U00016ebb-\U00016ed3 \U00016ff2-\U00016ff3 \U000187f8-\U000187ff \U00018cd6-\U00018cda "
+    "\U00018d09-\U00018d20 \U00018d80-\U00018df2 \U00018e00-\U00019191 \U000191a0-\U000191d2 "
+    "\U0001b123-\U0001b128 \U0001b168 \U0001d6a6 \U0001df1f-\U0001df24 \U0001df2b-\U0001df81 "
+    "\U0001df90-\U0001df96 \U0001dfcd-\U0001dfff \U0001e6c0-\U0001e6de \U0001e6e0-\U0001e6e2 "
+    "\U0001e6e4-\U0001e6e5 \U0001e6e7-\U0001e6ed \U0001e6f0-\U0001e6f4 \U0001e6fe-\U0001e6ff "
+    "\U0002b73a-\U0002b73f \U0002b81e \U0002cea2-\U0002cead \U000323b0-\U00033479 "
+    "\U0003d000-\U0003fc3f").replace(" ", "")
+LATER_NUMBERS = ("\U00011de0-\U00011de9 \U0001246f \U00012475-\U0001247f \U00012550-\U00012686 "
+                 "\U00016ff4-\U00016ff6").replace(" ", "")
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
+             0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+             **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+             **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+
 ID_BITS = 24               # a merge is kept as rank << ID_BITS | new id
 ID_MASK = (1 << ID_BITS) - 1
 NEVER = (1 << 63) - 1      # value of a pair that does not merge
 SLOTS = 20                 # bits of the pair table's size
-MEMO_WORDS = 300_000      # words remembered by a worker, twice (new and old half)
+MEMO_WORDS = 300_000      # words remembered by a task, twice (new and old half)
 MEMO_WORD_CHARS = 64      # longer words are encoded each time
 WIDTHS = (2, 4, 8, 12, 16, 24)   # fragments up to these lengths are merged side by side
 GROUP_CHARS = 1 << 20     # text characters whose new words are encoded together
@@ -84,6 +105,36 @@ def _unicode_space(pattern: str) -> str:
     return "".join(out)
 
 
+_LATER = re.compile(f"[{LATER_LETTERS}{LATER_NUMBERS}]").search
+_later_to_symbols = re.compile(f"[{LATER_LETTERS}{LATER_NUMBERS}]").sub
+_NEW_CAPITALS = frozenset(map(chr, NEW_LOWER))
+_WORD = re.compile(rf"[\S{NOT_SPACE}]+").findall
+_SPACES_AND_WORD = re.compile(
+    rf"[^\S{NOT_SPACE}]*[\S{NOT_SPACE}]+|[^\S{NOT_SPACE}]+").findall
+# Fixed values, in UTF-8: white space other than a blank and a line break (some are beginnings
+# that other characters share), and two of those side by side.
+_OTHER_SPACE = (b"\t", b"\x0b", b"\x0c", b"\r", b"\x00", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80",
+                b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80", b"  ", b" \n", b"\n ", b"\n\n")
+
+
+def _split_words(text: str) -> list[str]:
+    """The stretches between white space."""
+    # str.split takes four control characters for white space
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return _WORD(text)
+    return text.split()
+
+
+def _split_before_spaces(text: str) -> list[str]:
+    """The text cut in front of each stretch of white space."""
+    raw = text.encode("utf-8")
+    if any(s in raw for s in _OTHER_SPACE):
+        return _SPACES_AND_WORD(text)
+    # each white space is a single blank or line break
+    parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return parts if parts[0] else parts[1:]
+
+
 class _Pairs:
     """Merge values of many symbol pairs at once: a hash table in arrays."""
 
@@ -165,14 +216,13 @@ class Vocabulary:
         if len(parts) == 2 and parts[0]["type"] == "Split" and parts[0]["invert"] \
                 and parts[0]["behavior"] == "Removed" and not parts[1]["use_regex"]:
             pattern = parts[0]["pattern"]["Regex"]          # keeps the matches, drops the rest
-            self.chunks = re.compile(rf"[\S{NOT_SPACE}]+").findall
+            self.chunks = _split_words
         elif len(parts) == 1 and parts[0]["use_regex"]:
             pattern = BYTE_LEVEL_PATTERN
-            space = rf"[^\S{NOT_SPACE}]"
-            self.chunks = re.compile(rf"{space}*[\S{NOT_SPACE}]+|{space}+").findall
+            self.chunks = _split_before_spaces
         else:
             raise ValueError("this pre-tokenizer is not supported")
-        self.pieces = regex.compile(_unicode_space(pattern)).findall
+        self.find_pieces = regex.compile(_unicode_space(pattern)).findall
 
     def _read_decoder(self, d, byte_of):
         if d is not None and d["type"] != "ByteLevel":
@@ -181,20 +231,37 @@ class Vocabulary:
 
     # ---- encoding ----
 
+    def pieces(self, chunk: str) -> list[str]:
+        """The pre-tokenizer's pieces of a chunk."""
+        if chunk.isascii() or not _LATER(chunk):
+            return self.find_pieces(chunk)
+        # characters that the library does not know are cut as a symbol would be
+        out, at = [], 0
+        for p in self.find_pieces(_later_to_symbols("\ue000", chunk)):
+            out.append(chunk[at:at + len(p)])
+            at += len(p)
+        return out
+
+    def forget(self) -> None:
+        """Drop the remembered words, so that a reused worker does not keep them."""
+        self.memo, self.old = {}, {}
+
     def _encode_new(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk.  All bytes stand in one array; pieces end, and forced
         boundaries cut, the fragments, which are then merged side by side."""
-        data, sizes, per_chunk = [], [], []
+        every, per_chunk = [], []
         for c in chunks:
             # a word of letters, with the space that byte-level patterns keep, is one piece
-            whole = c.isalpha() or c[0] == " " and c[1:].isalpha()
-            pieces = (c,) if whole else self.pieces(c)
-            raw = [p.encode("utf-8") for p in pieces]
-            data += raw
-            sizes += map(len, raw)
-            per_chunk.append(len(raw))
-        sizes = np.array(sizes, np.int64)
-        flat = np.frombuffer(b"".join(data), np.uint8)
+            if c.isalpha() or c[0] == " " and c[1:].isalpha():
+                every.append(c)
+                per_chunk.append(1)
+            else:
+                pieces = self.pieces(c)
+                every += pieces
+                per_chunk.append(len(pieces))
+        raw = list(map(str.encode, every))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        flat = np.frombuffer(b"".join(raw), np.uint8)
         if not len(flat):
             return [b""] * len(chunks)
         ends = np.cumsum(sizes) - 1
@@ -255,14 +322,12 @@ class Vocabulary:
                 break
             s[row, at] = best & ID_MASK
             # close the gap behind the merged symbol
-            column = np.arange(width - 1)
-            move = column[None, :] + (column[None, :] > at[:, None])
-            s = np.concatenate([np.take_along_axis(s, move, 1),
-                                np.full((len(who), 1), -1)], axis=1)
-            pair = np.arange(width - 2)
-            value = np.concatenate([np.take_along_axis(
-                value, pair[None, :] + (pair[None, :] >= at[:, None]), 1),
-                np.full((len(who), 1), NEVER)], axis=1)
+            behind = np.arange(width - 1) > at[:, None]
+            s[:, :-1] = np.where(behind, s[:, 1:], s[:, :-1])
+            s[:, -1] = -1
+            behind = np.arange(width - 2) >= at[:, None]
+            value[:, :-1] = np.where(behind, value[:, 1:], value[:, :-1])
+            value[:, -1] = NEVER
             has = np.flatnonzero(at > 0)
             value[has, at[has] - 1] = self.pairs.of(s[has, at[has] - 1], s[has, at[has]])
             after = s[row, np.minimum(at + 1, width - 1)]
@@ -306,6 +371,8 @@ class Vocabulary:
             if not text.isascii():
                 # final sigma is not treated apart by the vocabulary's lower-casing
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+                if not _NEW_CAPITALS.isdisjoint(text):
+                    text = text.translate(NEW_LOWER)
             text = text.lower()
         return self.chunks(text)
 
@@ -397,7 +464,10 @@ def _map_rows(df: DataFrame, keep: Sequence[str], column: str, spec: str,
                 kept = [c.to_pylist() for c in b.columns[:-1]]
                 for i, out in work(v, b.columns[-1]):
                     yield (*(c[i] for c in kept), *out)
-        return in_batches(rows(), names, kinds, weigh)
+        try:
+            yield from in_batches(rows(), names, kinds, weigh)
+        finally:
+            v.forget()
 
     source = df.select(*keep, F.col(column).alias("__value"))
     return source.mapInArrow(run, _schema(df, keep, *((f[0], f[1]) for f in fields)))

@@ -66,10 +66,8 @@ def op2_ann(spark, sf_dir):
 
 def pack_documents(spark, docs):
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) per piece."""
-    parts = (packing.pieces(docs, bpe.read_spec(PACK_WITH))
-             .select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-             .checkpoint())
-    return packing.pack(parts)
+    parts = packing.pieces(docs, bpe.read_spec(PACK_WITH), checksum=True)
+    return packing.pack(parts.checkpoint())
 
 
 def op3_pack(spark, sf_dir):

@@ -19,6 +19,8 @@ rows are packed once each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -41,19 +43,23 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def pieces(df: DataFrame, spec: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           text: str = "text", keep=("doc_id",)) -> DataFrame:
-    """keep columns, piece int, start long, length long, ids binary per piece."""
+           text: str = "text", keep=("doc_id",), checksum: bool = False) -> DataFrame:
+    """keep columns, piece int, start long, length long, ids binary per piece; with
+    ``checksum``, ids_crc32 long in place of the ids, which then stay in the worker."""
     end = np.array([end_id], "<u4").tobytes()
 
     def work(v, column):
         for i, ids in encoded(v, column):
             ids += end
             for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                yield i, (k, start, length, ids[4 * start:4 * (start + length)])
+                part = ids[4 * start:4 * (start + length)]
+                yield i, (k, start, length, zlib.crc32(part) if checksum else part)
+    last = (("ids_crc32", T.LongType(), pa.int64()) if checksum
+            else ("ids", T.BinaryType(), pa.binary()))
     return _map_rows(df, keep, text, spec,
                      [("piece", T.IntegerType(), pa.int32()), ("start", T.LongType(), pa.int64()),
-                      ("length", T.LongType(), pa.int64()), ("ids", T.BinaryType(), pa.binary())],
-                     work, lambda r: len(r[-1]))
+                      ("length", T.LongType(), pa.int64()), last],
+                     work, (lambda r: 0) if checksum else (lambda r: len(r[-1])))
 
 
 def sum_of_squares(lengths, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:

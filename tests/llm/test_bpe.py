@@ -28,6 +28,43 @@ def test_random_texts(path):
         assert ours.decode(ids) == theirs.decode(want, skip_special_tokens=False), text
 
 
+@pytest.mark.parametrize("path", [ENCODE_WITH, PACK_WITH])
+def test_words_between_single_spaces(path):
+    """The usual texts, which are cut without a pattern; and one odd space among them."""
+    ours, theirs = bpe.Vocabulary(bpe.read_spec(path)), Tokenizer.from_file(path)
+    rng = random.Random(7)
+    words = ["the", "house,", "1984", "'s", "É", "étion.", "x-y", "中文", "Σας", "\U0001f600!"]
+    texts = []
+    for _ in range(1500):
+        parts = [rng.choice(words) + rng.choice(" \n") for _ in range(rng.randint(0, 30))]
+        if rng.random() < 0.5:
+            parts.insert(rng.randint(0, len(parts)), rng.choice(
+                [" ", "\n", "  ", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u2003 ", "\u3000", "\0", "—"]))
+        texts.append("".join(parts))
+    for text, ids in zip(texts, ours.encode_group(texts)):
+        want = theirs.encode(text, add_special_tokens=False).ids
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want, text
+
+
+@pytest.mark.parametrize("path", [ENCODE_WITH, PACK_WITH])
+def test_every_character(path):
+    ours, theirs = bpe.Vocabulary(bpe.read_spec(path)), Tokenizer.from_file(path)
+    every = [c for c in range(0x80, 0x40000) if not 0xD800 <= c <= 0xDFFF]
+    for lo in range(0, len(every), 20_000):
+        texts = [f"a{chr(c)}b 1{chr(c)}! {chr(c)}" for c in every[lo:lo + 20_000]]
+        got = ours.encode_group(texts)
+        ours.forget()
+        for text, a, b in zip(texts, got, theirs.encode_batch(texts, add_special_tokens=False)):
+            assert list(struct.unpack(f"<{len(a) // 4}I", a)) == b.ids, text
+
+
+def test_a_worker_keeps_no_words():
+    v = bpe.Vocabulary(bpe.read_spec(PACK_WITH))
+    first = v.encode("some words here")
+    v.forget()
+    assert not v.memo and not v.old and v.encode("some words here") == first
+
+
 def test_no_merge_crosses_a_forced_boundary():
     v = bpe.Vocabulary(bpe.read_spec(PACK_WITH))
     a, b = next((a, b) for a in range(97, 123) for b in range(97, 123)
