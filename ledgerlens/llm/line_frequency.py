@@ -159,9 +159,11 @@ def judge(df: DataFrame, text: str = "text", host: str = "source", doc_id: str =
     out = out.withColumn("n_removed_words", F.coalesce(removed, F.lit(0)).cast("long"))
     kept = ~F.col("base_failed") & (
         100 * F.col("n_removed_words") <= depleted_percent * F.col("n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                      "n_repeat_words", "base_failed", "n_removed_words",
-                      kept.alias("kept"))
+    row = F.struct("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                   "n_repeat_words", "base_failed", "n_removed_words", kept.alias("kept"))
+    # An explode of one row: a filter on the result would else be pushed below the
+    # projections that count, and each of them be evaluated there many times over.
+    return out.select(F.explode(F.array(row)).alias("row")).select("row.*")
 
 
 def clean(df: DataFrame, text: str = "text", host: str = "source",
@@ -191,6 +193,5 @@ def clean(df: DataFrame, text: str = "text", host: str = "source",
     kept = ~F.col("base_failed") & (
         F.col("__left").isNull() | (100 * lost <= depleted_percent * F.col("n_words")))
     new = F.col("__row").withField(text, F.coalesce("__left", F.col("__row")[text]))
-    # An explode of nothing or one row, not a filter: a filter would be pushed below the
-    # projections that count, and each of them be evaluated there many times over.
+    # An explode of nothing or one row, not a filter: see judge
     return rows.select(F.explode(F.when(kept, F.array(new))).alias("__row")).select("__row.*")

@@ -86,3 +86,21 @@ def test_awkward_and_empty(spark):
     assert [r["doc_id"] for r in left.collect()] == []      # too short, or words repeat
     assert line_frequency.judge(empty(spark)).count() == 0
     assert line_frequency.clean(empty(spark)).count() == 0
+
+
+def test_filters_on_the_verdict_stay_above_the_counting(spark):
+    """A filter on the result neither repeats the counting in the plan nor takes long."""
+    import time
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = line_frequency.judge(docs)
+    rows = judged.collect()
+    began = time.time()
+    for condition in ("kept", "NOT base_failed", "n_words > 100 AND kept"):
+        found = judged.filter(condition)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        whole = judged._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("xxhash64") <= whole.count("xxhash64")
+        assert found.count() == len([r for r in rows if {
+            "kept": r["kept"], "NOT base_failed": not r["base_failed"],
+            "n_words > 100 AND kept": r["n_words"] > 100 and r["kept"]}[condition]])
+    assert time.time() - began < 60
