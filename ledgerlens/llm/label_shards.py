@@ -3,7 +3,9 @@
 Documents with equal texts are linked.  All start in the shard of their id's hash;
 in each round, a join with the weights of their group's shards tells linked
 documents where most of their neighbours are, and they move there as far as the
-shard's quota (an even share of all bytes) has room.  Rounds end when nothing moves.
+shard's quota (an even share of all bytes) has room.  Rounds end when nothing moves, and
+they do end: a unit only moves to a shard that holds as much of its group or more, so
+each move raises the sum of the squared weights of a group's shards.
 Documents without links have no preferred shard: they are dealt out afterwards,
 large ones first, in proportion to what each shard lacks, which evens out the sizes.
 
@@ -29,7 +31,6 @@ from ledgerlens.llm.scratch import stored
 
 SHARDS = 16
 SPREAD = 64
-ROUNDS = 24
 FULL = 100                 # a shard that lacks less than this share of its quota is full
 BUCKETS = 64               # buckets of a running total, at least
 BUCKET_ROWS = 20_000       # rows of a bucket, about
@@ -66,7 +67,7 @@ def _loads(units: DataFrame, shards: int) -> list[int]:
 def _propagate(units: DataFrame, quota: int, shards: int, buckets: int) -> DataFrame:
     """Linked units with the shards where label propagation leaves them."""
     units = stored(units.withColumn("shard", F.col("start")), "labels")
-    for _ in range(ROUNDS):
+    while True:
         room = [x if x > quota // FULL else 0
                 for x in (quota - y for y in _loads(units, shards))]
         free = F.array(*[F.lit(x).cast("long") for x in room])
@@ -88,9 +89,8 @@ def _propagate(units: DataFrame, quota: int, shards: int, buckets: int) -> DataF
                  .select(*UNIT, "to"))
         moved = stored(units.join(moves, UNIT, "left"), "moves")
         units = moved.withColumn("shard", F.coalesce("to", "shard")).drop("to")
-        if moved.filter("to IS NOT NULL").limit(1).count() == 0:
-            break
-    return units
+        if moved.filter("to IS NOT NULL").isEmpty():
+            return units
 
 
 def _deal(units: DataFrame, loads: list[int], quota: int, buckets: int) -> DataFrame:
