@@ -5,12 +5,14 @@ random-hyperplane partitions, inside whose cells neighbours are found by brute
 force; cells above twice ``LEAF`` nodes are split by hash.  Then NN-descent: each node
 gathers its neighbours and reverse neighbours (one Spark join and one grouping),
 these are compared with one another as neighbours of neighbours, and improvements
-are merged into the graph's ``DEGREE`` nearest.
+are merged into the graph's ``DEGREE`` nearest.  Only pairs of which one came in the round
+before are compared, and only nodes with such a neighbour gather any.  Rounds go on until
+a round changes less than ``CHANGED`` of all edges; each lowers distances, so they end.
 
 Searching: each query keeps the ``BEAM`` nearest nodes it has seen.  In every round a
 join expands the nodes of the beam that are not yet expanded into their graph
-neighbours; it ends when the whole beam is expanded.  Queries that are nodes start
-at themselves.  The nearest ``RESCORE`` of each beam are measured again on the
+neighbours; it ends when the whole beam is expanded, as no node is expanded twice.  Queries
+that are nodes start at themselves.  The nearest ``RESCORE`` of each beam are measured again on the
 original vectors in double precision.
 
 Comparisons use vectors in 16 bits per component with a scale of their own; those are
@@ -43,10 +45,9 @@ DEGREE = 24
 TREES = 8
 LEAF = 1024
 CELL_NEIGHBOURS = 16       # kept per node and partition for the first graph
-ROUNDS = 2                 # of NN-descent
+CHANGED = 0.02             # share of the edges that a last round changes
 BEAM = 256
 RESCORE = 64
-MAX_STEPS = 16
 SAMPLE = 4096
 CODE_MAX = 32767
 
@@ -99,8 +100,9 @@ def _squares(x: np.ndarray) -> np.ndarray:
 
 
 def _nearest(edges: DataFrame, degree: int) -> DataFrame:
-    """(node, other, d): each node's nearest, without repetitions."""
-    once = edges.groupBy("node", "other").agg(F.min("d").alias("d"))
+    """(node, other, d, new): each node's nearest, without repetitions; an edge that was
+    there before is not new."""
+    once = edges.groupBy("node", "other").agg(F.min("d").alias("d"), F.min("new").alias("new"))
     order = Window.partitionBy("node").orderBy("d", "other")
     return (once.withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= degree).drop("rank"))
@@ -151,15 +153,16 @@ def first_graph(vectors: DataFrame, count: int) -> DataFrame:
     edges = (split.select("tree", "cell", "part", "node", "code", "scale")
              .groupBy("tree", "cell", "part")
              .applyInPandas(brute, "node long, other long, d float"))
-    return _nearest(edges, DEGREE)
+    return _nearest(edges.withColumn("new", F.lit(True)), DEGREE)
 
 
 def _both_ways(graph: DataFrame) -> DataFrame:
-    """(node, other): graph neighbours, and the DEGREE nearest that have the node as one."""
-    back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "d")
+    """(node, other, new): graph neighbours, and the DEGREE nearest that have the node as one."""
+    back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "d", "new")
     order = Window.partitionBy("node").orderBy("d", "other")
     back = back.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= DEGREE)
-    return graph.select("node", "other").union(back.select("node", "other")).distinct()
+    return (graph.select("node", "other", "new").union(back.select("node", "other", "new"))
+            .groupBy("node", "other").agg(F.max("new").alias("new")))
 
 
 def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -168,9 +171,13 @@ def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
         F.col("node").alias("other"), F.when(F.col("n") >= DEGREE, F.col("last")).alias("last"))
     carried = vectors.select(F.col("node").alias("other"), "code", "scale").join(
         last, "other", "left")
-    itself = vectors.select("node", F.col("node").alias("other"))
-    gathered = (_both_ways(graph).union(itself).join(carried, "other").groupBy("node")
-                .agg(F.collect_list(F.struct("other", "code", "scale", "last")).alias("near")))
+    edges = _both_ways(graph)
+    stirred = edges.filter("new").select("node").distinct()
+    itself = vectors.select("node", F.col("node").alias("other"), F.lit(False).alias("new"))
+    gathered = (edges.union(itself).join(stirred, "node", "left_semi")
+                .join(carried, "other").groupBy("node")
+                .agg(F.collect_list(F.struct("other", "code", "scale", "last", "new"))
+                     .alias("near")))
 
     def local_join(batches):
         for b in batches:
@@ -182,10 +189,11 @@ def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
             x = _decode(flat.field("code"), flat.field("scale"))
             ids = flat.field("other").to_numpy()
             last = flat.field("last").fill_null(float("inf")).to_numpy()
+            new = flat.field("new").to_numpy(zero_copy_only=False)
             node, other, ds = [], [], []
             for lo, hi in zip(offsets.tolist(), offsets[1:].tolist()):
                 d = _squares(x[lo:hi])
-                better = d < last[lo:hi, None]
+                better = (d < last[lo:hi, None]) & (new[lo:hi, None] | new[None, lo:hi])
                 np.fill_diagonal(better, False)
                 i, j = np.nonzero(better)
                 node.append(ids[lo + i])
@@ -195,15 +203,18 @@ def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
                 [pa.array(np.concatenate(node)), pa.array(np.concatenate(other)),
                  pa.array(np.concatenate(ds).astype(np.float32))], names=["node", "other", "d"])
     found = gathered.select("near").mapInArrow(local_join, "node long, other long, d float")
-    return _nearest(graph.union(found), DEGREE)
+    return _nearest(graph.withColumn("new", F.lit(False))
+                    .union(found.withColumn("new", F.lit(True))), DEGREE)
 
 
 def build(vectors: DataFrame, count: int) -> DataFrame:
     """The neighbour graph (node, other, d); d is the squared distance of the codes."""
     graph = stored(first_graph(vectors, count), "graph")
-    if count > LEAF:
-        for _ in range(ROUNDS):
-            graph = stored(descend(graph, vectors), "graph")
+    changed = count > LEAF                               # else the first graph is exact
+    while changed:
+        graph = stored(descend(graph, vectors), "graph")
+        edges = graph.agg(F.count(F.lit(1)).alias("n"), F.count_if("new").alias("new")).first()
+        changed = edges["new"] > CHANGED * edges["n"]
     return graph
 
 
@@ -234,7 +245,7 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFram
     beam = asked.select("query", F.col("query").alias("node"), F.lit(0.0).cast("float").alias("d"),
                         F.lit(False).alias("done"))
     order = Window.partitionBy("query").orderBy("d", "node")
-    for _ in range(MAX_STEPS):
+    while True:
         reached = (beam.filter(~F.col("done")).join(near, "node")
                    .select("query", F.explode("near").alias("node")).distinct()
                    .join(beam.select("query", "node"), ["query", "node"], "left_anti"))

@@ -58,6 +58,25 @@ def test_split_cells_and_descent(spark, monkeypatch):
     assert recall(got, want) >= 0.9
 
 
+def test_descent_goes_on_until_little_changes(spark, monkeypatch):
+    """Random directions in small cells: rounds follow from what changes."""
+    monkeypatch.setattr(ann, "LEAF", 64)
+    monkeypatch.setattr(ann, "TREES", 3)
+    shares, descend = [], ann.descend
+
+    def counted(graph, vectors):
+        out = descend(graph, vectors)
+        shares.append(out.filter("new").count() / out.count())
+        return out
+    monkeypatch.setattr(ann, "descend", counted)
+    x = np.random.default_rng(9).standard_normal((3000, 12)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>")
+    got = ann.nearest(df, lambda v: v % 50 == 0).collect()
+    assert recall(got, exact(list(range(3000)), x.astype(np.float64), range(0, 3000, 50))) >= 0.95
+    assert len(shares) >= 3 and shares[-1] <= ann.CHANGED < shares[-2]
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], "a"), (100, [1.0, 0.0], "a"), (5, [1.0, 0.0], "b"),
