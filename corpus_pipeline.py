@@ -4,8 +4,20 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame; its result is writt
 Parquet and read again as the next one's ``docs``.  All but the last return the
 columns of ``documents``.
 
-Stages handle nulls, empty tables and repeated rows as their operators do (see
-there).  Three decisions belong to the pipeline:
+Defined results:
+
+* quality_rules: null, blank and short texts fail the base rules and go; a null source is a
+  host of its own; equal rows are judged alike.
+* quality_classifier: unrated documents are judged by the model, rated ones too; with fewer
+  than two grades among the ratings there is no model, and all documents stay.
+* line_dedup: texts without a repeated run come back byte for byte; null texts and rows with a
+  null id as they are; a text that stands elsewhere in full is left empty.
+* minhash_near_dedup: rows equal in id and text become one; null and blank texts and null ids
+  are linked with nothing and stay.
+* best_fit_packing: a null text is an empty one, which has the end id alone.
+
+All but the last stage return every column, whatever its name, and an empty table gives an
+empty result in each.  Three decisions belong to the pipeline:
 
 * A line's frequency counts near-copies of a document once: else a large group's own
   lines would be frequent, and the group be rejected with its original.
