@@ -190,6 +190,20 @@ def profile_raw(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
         F.count_if(qty.try_cast("int").isNull()).alias("bad_qty_rows"))
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """(position, column, dtype, rows, nulls, blanks) per column, in one pass: the schema of a
+    frame with what its columns hold; blanks are texts without a visible character."""
+    pairs = []
+    for i, (name, dtype) in enumerate(df.dtypes):
+        c = F.col(f"`{name}`")
+        blank = F.count_if(F.trim(c) == "") if dtype == "string" else F.lit(0)
+        pairs.append(F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"),
+                              F.lit(dtype).alias("dtype"), F.count(F.lit(1)).alias("rows"),
+                              F.count_if(c.isNull()).alias("nulls"),
+                              blank.cast("bigint").alias("blanks")))
+    return df.agg(F.array(*pairs).alias("columns")).select(F.inline("columns"))
+
+
 def promo_distribution(sales: DataFrame) -> DataFrame:
     """(promo_count, rows) with the profile's counting rule (blank tokens
     dropped, repeats kept)."""

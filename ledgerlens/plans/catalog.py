@@ -451,6 +451,10 @@ def q_profile_summary(spark, d):
     return quality.profile_summary(sales).withColumn("num_columns", F.lit(len(SALES_COLUMNS)))
 
 
+def q_column_profile(spark, d):
+    return quality.column_profile(_sales(spark, d))
+
+
 # ---- the report as CSV text ------------------------------------------------------
 
 def _sales_csv(spark, d):
@@ -655,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "csv_by_name": q_csv_by_name,
     "csv_by_position": q_csv_by_position,
     "profile_raw": q_profile_raw,
+    "column_profile": q_column_profile,
     "key_integrity": q_key_integrity,
     "runtime_from_text": q_runtime_from_text,
     "json_run_log": q_json_run_log,

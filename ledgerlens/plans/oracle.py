@@ -426,7 +426,20 @@ diff_v AS (
   WHERE o.sku IS NULL OR n.sku IS NULL OR o.p80 <> n.p80 OR o.p90 <> n.p90
 )"""
 
+SALES_TYPES = (
+    ("order_id", "bigint"), ("order_date", "date"), ("status", "string"), ("fulfilment", "string"),
+    ("courier_status", "string"), ("service_level", "string"), ("style", "string"),
+    ("sku", "string"), ("size", "string"), ("qty", "int"), ("amount", "double"),
+    ("state", "string"), ("city", "string"), ("promotion_ids", "string"))
+
 ORACLE: dict[str, str] = {
+    "column_profile": _q("""
+one AS (SELECT count(*) AS n FROM sales)
+""" + " UNION ALL ".join(f"""
+SELECT CAST({i} AS INTEGER) AS position, '{name}' AS "column", '{kind}' AS dtype, count(*) AS "rows",
+       count(*) FILTER (WHERE {name} IS NULL) AS nulls,
+       CAST({f"count(*) FILTER (WHERE trim({name}) = '')" if kind == 'string' else 0} AS BIGINT) AS blanks
+FROM sales""" for i, (name, kind) in enumerate(SALES_TYPES))),
     "sketch_thresholds": _q(PCT_CTES + "\nSELECT sku, month, p80, p90 FROM thr"),
     "sketch_rank_error": _q(PCT_CTES + """
 SELECT month, level AS percentile, count(*) AS n,

@@ -156,3 +156,11 @@ def test_profile_of_raw_text(spark):
     assert got == dict(total_rows=4, num_columns=5, empty_amount_rows=1, zero_amount_rows=2,
                        bad_amount_rows=1, empty_sku_rows=2, rows_with_promotions=2,
                        promotions_with_outer_whitespace=1, date_parse_errors=3, bad_qty_rows=2)
+
+
+def test_column_profile(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "  ", 1.5), (None, "", None)],
+                               "`a b` int, t string, v double")
+    got = [tuple(r) for r in Q.column_profile(df).collect()]
+    assert got == [(0, "a b", "int", 3, 1, 0), (1, "t", "string", 3, 0, 2), (2, "v", "double", 3, 2, 0)]
+    assert [r["rows"] for r in Q.column_profile(df.limit(0)).collect()] == [0, 0, 0]
