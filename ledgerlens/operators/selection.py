@@ -14,9 +14,13 @@ groups at once:
 
 The cuts share out distinct values, however they are distributed and whatever a single
 value weighs, so each round leaves about one part in ``buckets`` of a bracket: five rounds
-for 10 ** 11 distinct values.  A round only reads the rows of the brackets that are left, and
-is stored, so a lost executor costs one round at most.  The cuts only decide how fast the
-loop ends; the counts decide the result.
+for 10 ** 11 distinct values.  A round only reads the rows of the brackets that are left.  The
+cuts only decide how fast the loop ends; the counts decide the result.
+
+Every join of rows with brackets is stored before it is grouped.  So a lost executor costs one
+step at most, Spark knows the brackets' size when it picks the join, aggregations combine
+map-side, and where the brackets are too many to broadcast, the partitions of a hot group can
+be split: no grouping on the same key holds them together.
 """
 
 from __future__ import annotations
@@ -55,15 +59,15 @@ def _narrow(rows: DataFrame, wanted: DataFrame, buckets: int) -> tuple[DataFrame
     """One round over brackets with many distinct values: (rows with their bucket,
     (_key, path, level, want, distinct, low, high, bucket) of the buckets that hold a rank)."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = (rows.groupBy("_key", "path")
-            .agg(F.array_distinct(F.percentile_approx("value", shares, ACCURACY)).alias("cuts")))
+    cuts = stored(rows.groupBy("_key", "path").agg(
+        F.array_distinct(F.percentile_approx("value", shares, ACCURACY)).alias("cuts")), "cuts")
     # places in order: below cut 0, cut 0, between cuts 0 and 1, cut 1, ...
     below = reduce(add, [F.coalesce(F.col("value") > F.get("cuts", F.lit(i)), F.lit(False))
                          .cast("int") for i in range(buckets - 1)])
-    dealt = (rows.join(cuts, ["_key", "path"])
-             .select("_key", "path", "value", "n",
-                     (2 * below + F.array_contains("cuts", F.col("value")).cast("int"))
-                     .alias("bucket")))
+    dealt = stored(rows.join(cuts, ["_key", "path"])
+                   .select("_key", "path", "value", "n",
+                           (2 * below + F.array_contains("cuts", F.col("value")).cast("int"))
+                           .alias("bucket")), "dealt")
     counts = dealt.groupBy("_key", "path", "bucket").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"),
         F.min("value").alias("low"), F.max("value").alias("high"))
@@ -96,14 +100,15 @@ def select_percentiles(df: DataFrame, keys=(), value="amount", levels=LEVELS,
         "_key", "path", "distinct", "w.level", "w.want")
     found = []
     while True:
-        few = wanted.filter(F.col("distinct") <= small)
-        found.append(_walk(rows.join(few.select("_key", "path").distinct(), ["_key", "path"],
-                                     "left_semi"), few))
-        many = wanted.filter(F.col("distinct") > small)
-        if many.isEmpty():
+        wide = stored(wanted.filter(F.col("distinct") > small).select("_key", "path").distinct(),
+                      "wide-brackets")
+        if wide.isEmpty():
+            found.append(_walk(rows, wanted))
             break
-        rows = rows.join(many.select("_key", "path").distinct(), ["_key", "path"], "left_semi")
-        dealt, hit = _narrow(rows, many, buckets)
+        few = stored(rows.join(wide, ["_key", "path"], "left_anti"), "small-brackets")
+        found.append(_walk(few, wanted.filter(F.col("distinct") <= small)))
+        rows = stored(rows.join(wide, ["_key", "path"], "left_semi"), "wide-rows")
+        dealt, hit = _narrow(rows, wanted.filter(F.col("distinct") > small), buckets)
         hit = stored(hit, "buckets-with-ranks")
         single = F.col("low") == F.col("high")
         found.append(hit.filter(single).select("_key", "level", F.col("low").alias("value")))
@@ -129,7 +134,7 @@ def select_percentile_stddev(df: DataFrame, keys=(), value="amount", measure="am
     The lines meet the thresholds, one row per group, and are combined map-side."""
     keys, names = list(keys), [name for name, _ in levels]
     found = select_percentiles(df, keys, value, levels, small, buckets)
-    found = found.select(_key(keys).alias("_key"), "n", *names)
+    found = stored(found.select(_key(keys).alias("_key"), "n", *names), "thresholds")
     lines = df.filter(F.col(value).isNotNull()).select(
         _key(keys).alias("_key"), F.col(value).alias("_value"), F.col(measure).alias("_measure"))
     joined = lines.join(found, "_key")

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.percentiles import LEVELS, nearest_rank, promo_cdf
+from ledgerlens.operators.percentiles import LEVELS, nearest_rank
+from ledgerlens.sources.sinks import stored
 
 KLL_K = 1024            # a rank error over RANK_BOUND has a chance under 1e-7
 RANK_BOUND = 0.01
@@ -61,22 +62,18 @@ def rank_errors(quantiles: DataFrame, df: DataFrame, keys, value: str, levels=LE
     """(keys..., percentile, n, wanted_rank, estimate, rank_error, allowed, within_bound): per
     group and level, by how many ranks the estimate misses the wanted rank in the exact
     distribution of ``df``, and whether that is within ``bound`` of the group's lines."""
-    keys = list(keys)
+    keys, names = list(keys), [name for name, _ in levels]
     same = F.struct(*keys).alias("_key")        # null keys are groups like any other
-    cdf = (promo_cdf(df.filter(F.col(value).isNotNull()), keys, value)
-           .select(same, F.col(value).alias("_value"), "freq", "cum_freq"))
-    asked = quantiles.select(
-        same, F.col("n").alias("n"), F.explode(F.array(*[F.struct(
-            F.lit(name.upper()).alias("percentile"), F.col(name).alias("estimate"),
-            nearest_rank(F.col("n"), p).cast("long").alias("wanted_rank"))
-            for name, p in levels])).alias("q")).select("_key", "n", "q.*")
-    # the lines below the estimate, and those up to it
-    found = (asked.join(cdf, "_key", "left")
-             .groupBy("_key", "n", "percentile", "estimate", "wanted_rank")
-             .agg(F.coalesce(F.max(F.when(F.col("_value") < F.col("estimate"), F.col("cum_freq"))),
-                             F.lit(0)).alias("below"),
-                  F.coalesce(F.max(F.when(F.col("_value") <= F.col("estimate"), F.col("cum_freq"))),
-                             F.lit(0)).alias("upto")))
+    asked = stored(quantiles.select(same, F.col("n").alias("_n"), *names), "estimates")
+    lines = df.filter(F.col(value).isNotNull()).select(same, F.col(value).alias("_value"))
+    # the lines below each estimate, and those up to it
+    counts = lines.join(asked, "_key").groupBy("_key").agg(F.max("_n").alias("n"), *[
+        F.struct(F.lit(name.upper()).alias("percentile"), F.max(name).alias("estimate"),
+                 nearest_rank(F.max("_n"), p).cast("long").alias("wanted_rank"),
+                 F.count_if(F.col("_value") < F.col(name)).alias("below"),
+                 F.count_if(F.col("_value") <= F.col(name)).alias("upto")).alias(f"_{name}")
+        for name, p in levels])
+    found = counts.select("_key", "n", F.inline(F.array(*[F.col(f"_{name}") for name in names])))
     error = F.greatest(F.col("below") + 1 - F.col("wanted_rank"),
                        F.col("wanted_rank") - F.col("upto"), F.lit(0))
     allowed = F.floor(F.col("n") * F.lit(bound))
