@@ -18,6 +18,7 @@ so clashing names do no harm; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -65,7 +66,7 @@ SLOTS = 20                 # bits of the pair table's size
 MEMO_WORDS = 300_000      # words remembered by a task, twice (new and old half)
 MEMO_WORD_CHARS = 64      # longer words are encoded each time
 WIDTHS = (2, 4, 8, 12, 16, 24)   # fragments up to these lengths are merged side by side
-GROUP_CHARS = 1 << 20     # text characters whose new words are encoded together
+GROUP_CHARS = 1 << 21     # text characters whose new words are encoded together
 BATCH_BYTES = 8 << 20     # ids gathered before a batch goes back to Spark
 
 
@@ -383,13 +384,11 @@ class Vocabulary:
         memo, old = self.memo, self.old
         cut = [self._chunks(t) for t in texts]
         unseen = set().union(*cut).difference(memo)
-        fresh = []
-        for c in unseen:
-            ids = old.get(c) or self.added.get(c)
-            if ids is None:
-                fresh.append(c)
-            else:
-                memo[c] = ids
+        for known in (old, self.added):
+            again = list(unseen.intersection(known))
+            memo.update(zip(again, map(known.__getitem__, again)))
+            unseen.difference_update(again)
+        fresh = list(unseen)
         memo.update(zip(fresh, self._encode_new(fresh)))
         out = [b"".join(map(memo.__getitem__, c)) for c in cut]
         for c in fresh:
@@ -464,9 +463,12 @@ def _map_rows(df: DataFrame, keep: Sequence[str], column: str, spec: str,
                 kept = [c.to_pylist() for c in b.columns[:-1]]
                 for i, out in work(v, b.columns[-1]):
                     yield (*(c[i] for c in kept), *out)
+        # nothing here refers to itself, and the collector would walk the memo over and over
+        gc.disable()
         try:
             yield from in_batches(rows(), names, kinds, weigh)
         finally:
+            gc.enable()
             v.forget()
 
     source = df.select(*keep, F.col(column).alias("__value"))
