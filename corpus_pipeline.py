@@ -20,7 +20,8 @@ All but the last stage return every column, whatever its name, and an empty tabl
 empty result in each.  Three decisions belong to the pipeline:
 
 * A line's frequency counts near-copies of a document once: else a large group's own
-  lines would be frequent, and the group be rejected with its original.
+  lines would be frequent, and the group be rejected with its original.  For that the first
+  stage estimates classes of near-copies by DataFrame functions; it removes none of them.
 * Line deduplication leaves a document as it is if it shares ``SPARE_PERCENT``
   percent of the union of shingles with one earlier document that stays whole: the
   next stage links the two and keeps one, rather than shreds of the others.  Excerpts,
@@ -36,7 +37,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import line_frequency, near_dup, ordinal, winnow
+from ledgerlens.llm import copies, line_frequency, near_dup, ordinal, winnow
 from ledgerlens.llm.catalog import graded, pack_documents, registered
 from ledgerlens.llm.scratch import stored
 from ledgerlens.sources.tables import read_table
@@ -52,7 +53,7 @@ def _measured(docs):
 
 
 def quality_rules(spark, docs, sf_dir):
-    groups = stored(near_dup.find(docs.select("doc_id", "text"), SHINGLE), "near-copies")
+    groups = stored(copies.classes(docs.select("doc_id", "text"), SHINGLE), "near-copies")
     return _measured(line_frequency.clean(docs, groups=groups))
 
 
