@@ -37,12 +37,20 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/"))
 
 
+ARROW_ROWS = 1000          # rows that go to a Python worker at once
+ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def registered(query):
-    """A query that first makes the session ready: shared folder, library path."""
+    """A query that first makes the session ready: shared folder, library path, and batches
+    for Python that are small enough for rows that hold a text each."""
     @wraps(query)
     def run(spark, sf_dir):
         checkpoint_dir(spark)
         expose_library(spark)
+        rows = int(spark.conf.get(ARROW_SETTING))
+        if not 0 < rows <= ARROW_ROWS:
+            spark.conf.set(ARROW_SETTING, str(ARROW_ROWS))
         return query(spark, sf_dir)
     return run
 
