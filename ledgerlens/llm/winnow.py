@@ -14,21 +14,26 @@ up, both as hashes of their words:
   guarantee), also when it begins and ends in the middle of sentences.
 
 Positions are joined gram by gram: each with the first one of its gram, in the order
-of document id and place -- never all pairs.  A gram is itself as long as a deletion
-must be, so a match is confirmed against one place and needs no extension, and it
-does not matter what else the first holder of a part has next to it.  The union of a
-document's matches is deleted: all places of a gram but the first.  Word grams count
-against other documents only: a loop inside a line is not a pasted passage.
+of document id and place -- never all pairs.  Matches that run on beside the same holder
+are one segment; each segment is extended both ways, word by word, as long as the words
+are equal.  The union of a document's extended segments is deleted: all places but the
+first.  Word grams count against other documents only: a loop inside a line is not a
+pasted passage.
+
+``EDGE`` = ``WINDOW - 1`` = 30 words beside a segment are all that extension in another
+document can add: of a repeated run any 50 words hold a selected gram, so its first begins
+30 words after the run at most and its last ends 30 words before the run's end at most,
+and the first holder of such a gram comes before the document too.  Words beyond are
+beside another segment.  Inside one document there is no such limit, and none is set.
 
 Plan: one pass makes the grams, three longs each; which of them repeat is a count of their
 hashes alone with map-side combine, so a passage in a third of all documents is one
 row per task; the join back is on the gram, its small side holds the repeated grams
 only, and it is one whose hot partitions Spark splits.  First positions are an
-aggregation of the repeated grams.  Texts move once, to
-their intervals; only those with intervals go through Python again.
-
-Limit: of a passage cut in mid-sentence the words before its first and after its last
-matched gram stay, ``WINDOW - 1`` = 30 of either side at most.
+aggregation of the repeated grams.  Holders give the words beside each place that a
+segment touches, once per place, and these move to the segments.  Texts are shuffled once
+for both: to the places asked for, and to their segments.  Only holders and texts with
+segments go through Python again.
 
 Defined results: null or empty texts have no words and come back unchanged, as do
 rows with a null id; rows equal in id and text are one document (all of its rows
@@ -45,7 +50,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +60,7 @@ MIN_UNITS = 1              # the word count alone decides
 MIN_WORDS = 20
 GRAM = MIN_WORDS
 WINDOW = 31                # 50 words in a row hold a selected gram
+EDGE = WINDOW - 1          # words beside a segment that no other one covers
 LOW = (1 << 32) - 1
 BATCH_CHARS = 1 << 20      # texts whose characters are read side by side
 BLOCK_CHARS = 1 << 20      # characters hashed side by side
@@ -268,17 +274,101 @@ def matches(prints: DataFrame) -> DataFrame:
                         .alias("first_start"))
 
 
-def repeated_runs(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  holders: bool = False) -> DataFrame:
-    """(doc, part, intervals array<long>) of documents with matches: start << 32 | stop; with
-    ``holders`` structs of that (at) and of first_doc, first_part and first_start."""
+def repeated_runs(found: DataFrame) -> DataFrame:
+    """(doc, part, intervals) of documents with ``matches``: structs of start << 32 | stop
+    (at), first_doc, first_part and first_start."""
     # rows equal in id and text give the same intervals: collect_set joins them
-    # stored: they are read twice, and hashing texts costs more than reading them back
-    prints = stored(fingerprints(df, doc_id, text), "fingerprints")
     at = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("stop").cast("long"))
-    one = F.struct(at.alias("at"), "first_doc", "first_part", "first_start") if holders else at
-    return (matches(prints).groupBy("doc", "part")
-            .agg(F.collect_set(one).alias("intervals")))
+    return found.groupBy("doc", "part").agg(F.collect_set(F.struct(
+        at.alias("at"), "first_doc", "first_part", "first_start")).alias("intervals"))
+
+
+def _joined(found: DataFrame, by: list[str], number: str) -> DataFrame:
+    """``number``: the same for intervals [start, stop) of a group that meet or overlap."""
+    order = Window.partitionBy(*by).orderBy("start")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)
+    return (found.withColumn("reach", reach)
+            .withColumn(number, F.sum(opens).over(order)).drop("reach"))
+
+
+def segments(found: DataFrame) -> DataFrame:
+    """(doc, part, run_start, run_stop, first_doc, first_part, shift, start, stop): ``matches``
+    that meet or overlap at the same distance ``shift`` from the same holder, joined, and the
+    run of words that all segments cover there."""
+    doc = ["doc", "part"]
+    beside = [*doc, "first_doc", "first_part", "shift"]
+    # dealt by document alone: all that follows groups by more than that
+    one = (_joined(found.withColumn("shift", F.col("start") - F.col("first_start"))
+                   .select(*beside, "start", "stop").repartition(*doc), beside, "number")
+           .groupBy(*beside, "number")
+           .agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("number"))
+    run = Window.partitionBy(*doc, "run")
+    return _joined(one, doc, "run").select(
+        *doc, F.min("start").over(run).alias("run_start"), F.max("stop").over(run).alias("run_stop"),
+        "first_doc", "first_part", "shift", "start", "stop")
+
+
+LEFT, RIGHT, HERE = 0, 1, 2     # sides of a segment; HERE: both, in its own document
+WHOLE = 3                       # a run as it is
+
+
+def edges(found: DataFrame) -> DataFrame:
+    """(doc, part, at, side, shift, first_doc, first_part, place) of ``segments``: their runs,
+    and the sides to extend with ``place``, as the holder is asked: word number << 1 | side."""
+    here = (F.col("doc") == F.col("first_doc")) & (F.col("part") == F.col("first_part"))
+    # nothing stands before a first word; inside a run extension adds nothing
+    left = (~here & (F.col("start") > 0) & (F.col("start") > F.col("shift"))
+            & (F.col("start") - EDGE < F.col("run_start")))
+    right = ~here & (F.col("stop") + EDGE > F.col("run_stop"))
+    side = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in (
+        (F.col("start") == F.col("run_start"), WHOLE), (here, HERE), (left, LEFT), (right, RIGHT))])))
+    run = F.col("side") == WHOLE
+    start, stop = (F.when(run, F.col(f"run_{c}")).otherwise(F.col(c)) for c in ("start", "stop"))
+    at = F.shiftleft(start.cast("long"), 32).bitwiseOR(stop.cast("long"))
+    word = F.when(F.col("side") == LEFT, F.col("start")).otherwise(F.col("stop")) - F.col("shift")
+    place = F.when(F.col("side") < HERE, F.shiftleft(word.cast("long"), 1)
+                   .bitwiseOR(F.col("side").cast("long")))
+    return (found.withColumn("side", side)
+            .select("doc", "part", at.alias("at"), "side",
+                    F.when(run, 0).otherwise(F.col("shift")).alias("shift"), "first_doc",
+                    "first_part", place.alias("place")))
+
+
+def _beside(text: str, places) -> list[str]:
+    """The words, in lower case, before or after each place."""
+    _, starts, stops, _ = _read(text)
+    out = []
+    for place in places:
+        word, side = place >> 1, place & 1
+        lo, hi = (word, min(word + EDGE, len(starts))) if side else (max(0, word - EDGE), word)
+        out.append(" ".join(text[starts[lo]:stops[hi - 1]].lower().split()) if lo < hi else "")
+    return out
+
+
+def contexts(rows: DataFrame, asked: DataFrame, text: str) -> DataFrame:
+    """(key, place, words) for each of the ``asked`` (key, places) of the texts in ``rows``
+    (row, key)."""
+    # nullable as in the edges, so that the join takes this shuffle as it is
+    key = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema["key"].dataType])
+    schema = T.StructType([T.StructField("key", key), T.StructField("place", T.LongType()),
+                           T.StructField("words", T.StringType())])
+
+    def run(batches):
+        last = None
+        for b in batches:
+            # rows equal in id and text stand side by side here: one of them is asked
+            keys = b["key"].to_pylist()
+            b = b.filter(pa.array([k != k0 for k, k0 in zip(keys, [last, *keys])]))
+            last = keys[-1] if keys else last
+            texts, places = b["row"].field(text).to_pylist(), b["places"]
+            words = [_beside(t, p) if t is not None else [""] * len(p)
+                     for t, p in zip(texts, places.to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [b["key"].take(pc.list_parent_indices(places)), pc.list_flatten(places),
+                 pa.array([w for some in words for w in some], pa.string())], names=schema.names)
+    # the whole row goes along, so that both joins of the texts read one shuffle
+    return rows.join(asked, "key").select("row", "key", "places").mapInArrow(run, schema)
 
 
 def _shingles(spans, size: int) -> int:
@@ -337,6 +427,32 @@ def near_copies(found: DataFrame, df: DataFrame, doc_id: str, text: str, percent
             .select("doc", "part"))
 
 
+def extend(text: str, at, side, shift, words) -> np.ndarray:
+    """Runs and segments (start << 32 | stop), the latter with all equal words beside them: on
+    the sides LEFT and RIGHT those that ``words`` names, HERE those at ``shift`` before."""
+    own, out = text.lower().split(), at.tolist()
+    n = len(own)
+    for k, (s, d, w) in enumerate(zip(side.tolist(), shift.tolist(), words)):
+        lo, hi = out[k] >> 32, out[k] & LOW
+        if s == HERE:
+            while lo > max(d, 0) and own[lo - 1] == own[lo - 1 - d]:
+                lo -= 1
+            while hi < n and own[hi] == own[hi - d]:
+                hi += 1
+        elif s == LEFT and w:
+            for other in reversed(w.split(" ")):
+                if not lo or own[lo - 1] != other:
+                    break
+                lo -= 1
+        elif s == RIGHT and w and hi < n:
+            for other in w.split(" "):
+                if hi >= n or own[hi] != other:
+                    break
+                hi += 1
+        out[k] = lo << 32 | hi
+    return np.array(out, np.int64)
+
+
 def remove(text: str, intervals, min_words: int = MIN_WORDS) -> tuple[str, int, int, int]:
     """(text left, runs, whole units, words removed): deletes the word runs that the
     intervals (start << 32 | stop) cover."""
@@ -368,29 +484,40 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     With ``spare_percent`` below 100, documents that are near-copies of one whole earlier
     document at that Jaccard similarity of ``size``-word shingles come back as they are."""
-    found = repeated_runs(df, doc_id, text, holders=spare_percent < 100)
+    # stored: they are read twice, and hashing texts costs more than reading them back
+    found = matches(stored(fingerprints(df, doc_id, text), "fingerprints"))
     if spare_percent < 100:
-        found = stored(found, "repeated-runs")
-        spared = near_copies(found, df, doc_id, text, spare_percent, size)
-        found = (found.join(spared, ["doc", "part"], "left_anti")
-                 .withColumn("intervals", F.col("intervals.at")))
-    # the whole row rides along as one struct, so no column name can clash
+        found = stored(found, "matches")
+        runs = stored(repeated_runs(found), "repeated-runs")
+        spared = near_copies(runs, df, doc_id, text, spare_percent, size)
+        found = found.join(spared, ["doc", "part"], "left_anti")
+    found = edges(stored(segments(found), "segments"))
+    # the whole row rides along as one struct, so no column name can clash; the key is never
+    # null, so that no join filters the rows before their shuffle
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"),
-                     F.col(doc_id).alias("doc"),
-                     F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).alias("part"))
+                     F.struct(F.col(doc_id).alias("doc"), F.xxhash64(text)
+                              .bitwiseAND(F.lit(0x7FFFFFFF)).alias("part")).alias("key"))
+    holder = F.struct(F.col("first_doc").alias("doc"), F.col("first_part").alias("part"))
+    asked = (found.filter(F.col("place").isNotNull()).groupBy(holder.alias("key"))
+             .agg(F.collect_set("place").alias("places")))
+    beside = contexts(rows, asked, text).select(F.col("key").alias("holder"), "place", "words")
+    found = (found.withColumn("holder", holder).join(beside, ["holder", "place"], "left")
+             .groupBy(F.struct("doc", "part").alias("key"))
+             .agg(F.collect_set(F.struct("at", "side", "shift", "words")).alias("edges")))
     out_type = T.StructType([T.StructField("text", T.StringType()),
                              *(T.StructField(c, T.LongType())
                                for c in ("n_runs", "n_units", "n_words"))])
 
     @F.pandas_udf(out_type)
-    def cut(values: pd.Series, intervals: pd.Series) -> pd.DataFrame:
+    def cut(values: pd.Series, at: pd.Series, side: pd.Series, shift: pd.Series,
+            words: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(
-            [(None, 0, 0, 0) if v is None else remove(v, k)
-             for v, k in zip(values, intervals)], columns=out_type.names)
+            [(None, 0, 0, 0) if v is None else remove(v, extend(v, *some))
+             for v, *some in zip(values, at, side, shift, words)], columns=out_type.names)
     value = F.col("row")[text]
-    done = (rows.join(found, ["doc", "part"], "left")
-            .select("row", cut(F.when(F.col("intervals").isNotNull(), value), "intervals")
-                    .alias("cut")))
+    done = (rows.join(found, "key", "left")
+            .select("row", cut(F.when(F.col("edges").isNotNull(), value), "edges.at",
+                               "edges.side", "edges.shift", "edges.words").alias("cut")))
     return done.select(
         F.col("row").withField(text, F.coalesce("cut.text", value)).alias("row"),
         F.struct("cut.n_runs", "cut.n_units", "cut.n_words").alias("removed"))

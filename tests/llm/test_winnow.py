@@ -232,3 +232,42 @@ def test_only_near_copies_of_one_document_are_spared(spark):
     whole = dict(rows)
     assert [i for i in whole if left[i] == whole[i]] == [1, 2, 6]
     assert left[3] == left[4] == "" and len(left[5].split()) == 30
+
+
+def test_matches_are_extended_to_the_last_equal_word(spark):
+    """Passages of 50 words and more go whole, wherever they are cut, and between selected
+    grams too; the words around them stay."""
+    rng = random.Random(15)
+    rows, left = [], {}
+    for k in range(40):
+        body = sentence(rng, rng.randint(50, 160))
+        for i in range(3):
+            a, b = (sentence(rng, rng.randint(1, 25)) for _ in range(2))
+            rows.append((10 * k + i, f"{a} {body.upper() if i == 2 else body} {b}"))
+            left[10 * k + i] = f"{a} {b}" if i else rows[-1][1]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r["row"]["text"] for r in winnow.dedup(df).collect()}
+    assert got == left
+
+
+def test_extension_meets_other_first_holders_and_document_ends(spark):
+    """Each part of a run has a first holder of its own; whole texts; repeated rows."""
+    rng = random.Random(16)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    ends = [sentence(rng, 9) for _ in range(6)]
+    rows = [(1, f"{ends[0]} {a} {ends[1]}"), (1, f"{ends[0]} {a} {ends[1]}"),
+            (2, f"{ends[2]} {b} {ends[3]}"), (3, f"{ends[4]} {a} {b} {ends[5]}"),
+            (4, c), (5, f"{c} {ends[0]}"), (6, f"{ends[1]} {c}"), (7, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [*rows[:3], (3, f"{ends[4]} {ends[5]}"), (4, c), (5, ends[0]), (6, f"{ends[1]} "), (7, "")]
+    assert sorted(tuple(r["row"]) for r in winnow.dedup(df).collect()) == sorted(want)
+
+
+def test_extension_inside_one_document(spark):
+    """The words that follow a repeated unit go as far as they repeat."""
+    rng = random.Random(17)
+    run, tail = sentence(rng, 25) + ".", sentence(rng, 45).split()
+    text = f"{run} {' '.join(tail)}\nAnd then. {run} {' '.join(tail[:35])} other end"
+    row = winnow.dedup(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["row"]["text"] == f"{run} {' '.join(tail)}\nAnd then. other end"
+    assert row["removed"]["n_words"] == 60
