@@ -207,28 +207,69 @@ def _slices(batch: pa.RecordBatch):
 
 def _places(batch: pa.RecordBatch) -> pa.RecordBatch:
     """(fp, doc, place, length) rows of a batch of (doc, whole, value)."""
-    docs, fps, places, lengths = [], [], [], []
-    for i, (whole, (hashes, ends)) in enumerate(zip(batch[1].to_pylist(),
-                                                    _words(batch[2].to_pylist()))):
-        if len(hashes) < MIN_WORDS:
-            continue
-        start, stop = unit_grams(ends)
-        totals = _totals(hashes)
-        at, fp = select(hashes, totals=totals)
-        docs.append(np.full(len(at) + len(start), i))
-        fps += [_runs(totals, start, stop).view(np.int64), fp]
-        places.append((whole & 0x7FFFFFFF) << 32 | np.concatenate([start, at]))
-        # a word gram has no length: it is GRAM words
-        lengths.append(np.concatenate([stop - start, np.zeros(len(at), np.int64)]))
-    if not docs:
-        docs, fps, places, lengths = ([np.empty(0, np.int64)] for _ in range(4))
+    lower = [t.lower() for t in batch[2].to_pylist()]
+    codes, starts, stops, ends = _read("\n".join(lower))
+    totals = _totals(_word_hashes(codes, starts, stops))
+    # all texts side by side: text i has the words [cuts[i], cuts[i + 1])
+    cuts = np.append(0, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in lower])))
+    start, stop = unit_grams(_ends(ends))
+    doc = np.searchsorted(cuts, start, "right") - 1
+    inside = stop <= cuts[doc + 1]
+    start, stop, doc = start[inside], stop[inside], doc[inside]
+    at, fp = _selected(totals, cuts)
+    both = np.concatenate([start, at])
+    docs = np.concatenate([doc, np.searchsorted(cuts, at, "right") - 1])
+    # a word gram has no length: it is GRAM words
+    lengths = np.concatenate([stop - start, np.zeros(len(at), np.int64)])
+    whole = batch[1].to_numpy() & 0x7FFFFFFF
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(fps)), batch[0].take(pa.array(np.concatenate(docs))),
-         pa.array(np.concatenate(places)),
-         pa.array(np.concatenate(lengths).astype(np.int32))],
+        [pa.array(np.concatenate([_runs(totals, start, stop).view(np.int64), fp])),
+         batch[0].take(pa.array(docs)), pa.array(whole[docs] << 32 | (both - cuts[docs])),
+         pa.array(lengths.astype(np.int32))],
         names=["fp", "doc", "place", "length"])
 
 
+def _selected(totals: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``select`` for each of the texts that the words are cut into, with places among all."""
+    starts = np.arange(max(0, len(totals) - GRAM))
+    if not len(starts):
+        return starts, starts
+    mixed = _runs(totals, starts, starts + GRAM)
+    grams = np.diff(cuts) - GRAM + 1
+    # texts of one window at least; windows across texts have no minimum
+    long = np.flatnonzero(grams >= WINDOW)
+    change = np.zeros(len(mixed) + 1, np.int8)
+    change[cuts[long]] = 1
+    np.add.at(change, cuts[long] + grams[long] - WINDOW + 1, -1)
+    chosen = _sides(np.where(np.cumsum(change[:-1]) > 0, _sides(mixed, np.minimum), 0),
+                    np.maximum, back=True) == mixed
+    chosen &= mixed > 0
+    at = np.flatnonzero(chosen)
+    # of equal minima the rightmost counts, which takes a look at each window
+    ties = at[1:][(mixed[at[1:]] == mixed[at[:-1]]) & (np.diff(at) < WINDOW)]
+    again = np.zeros(len(grams), bool)
+    again[np.searchsorted(cuts, ties, "right") - 1] = True
+    again[np.searchsorted(cuts, np.flatnonzero(mixed == 0), "right") - 1] = True
+    again = (again & (grams > 0)) | ((grams > 0) & (grams < WINDOW))
+    found = [at[~again[np.searchsorted(cuts, at, "right") - 1]]]
+    for lo, n in zip(cuts[:-1][again].tolist(), grams[again].tolist()):
+        found.append(lo + _minima(mixed[lo:lo + n], WINDOW))
+    at = np.concatenate(found)
+    return at, mixed[at].view(np.int64)
+
+
+def _sides(x: np.ndarray, least, back: bool = False) -> np.ndarray:
+    """``least`` (minimum or maximum) of the ``WINDOW`` neighbours from each place on, or up
+    to it with ``back``; by doubling.  0 stands for what is beyond the ends."""
+    edge = np.zeros(WINDOW - 1, x.dtype)
+    x = np.concatenate([edge, x] if back else [x, edge])
+    size = 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        x, size = least(x[:-step], x[step:]), size + step
+    return x
+
+
 def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(fp, doc, place, length): grams; ``place`` is 31 bits of the text's hash and the
     number of the first word, ``length`` the words of a unit gram and 0 for a word gram."""
