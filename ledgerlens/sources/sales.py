@@ -48,6 +48,8 @@ EXPEDITED_PRIORITIES = ("1-URGENT", "2-HIGH")
 SIZE_BOUNDS = ((5, "XS"), (10, "S"), (15, "M"), (20, "L"), (40, "XL"),
                (44, "XXL"), (46, "3XL"), (48, "4XL"), (49, "5XL"))
 
+LINES_PER_TASK = 700_000    # lines that one task joins to their orders
+
 
 def _status(rf: Column, ls: Column) -> Column:
     expr = None
@@ -78,6 +80,18 @@ def _promotions(partkey: Column, linenumber: Column, odate: Column) -> Column:
         tok(linenumber >= 6, "C", partkey))
 
 
+def by_order(lines: DataFrame) -> DataFrame:
+    """``lines`` (l_orderkey) dealt by order over tasks of ``LINES_PER_TASK`` lines, if there
+    are more than one such task.
+
+    Operators group a task's lines by order, promotion or style in the task that joins them
+    to their orders.  AQE sizes that task by its compressed shuffle bytes, of which
+    64 MB can be millions of lines; counted in lines, its memory does not grow with the
+    tables.  The count reads the Parquet footers only."""
+    tasks = -(-lines.count() // LINES_PER_TASK)
+    return lines.repartition(tasks, "l_orderkey") if tasks > 1 else lines
+
+
 def sales_from_tables(spark: SparkSession, sf_dir: str,
                       columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """Typed sales frame over the driver's tables, restricted to ``columns``."""
@@ -105,7 +119,7 @@ def sales_from_tables(spark: SparkSession, sf_dir: str,
                                 ["n_nationkey", "n_name"])
             cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
             orders = orders.join(cust, orders.o_custkey == cust.c_custkey)
-        df = df.join(orders, df.l_orderkey == orders.o_orderkey)
+        df = by_order(df).join(orders, df.l_orderkey == orders.o_orderkey)
     if "part" in needs:
         part = read_table(spark, sf_dir, "part",
                           ["p_partkey", "p_brand", "p_type", "p_size"])

@@ -1,6 +1,8 @@
 import pytest
 from conftest import SF
 
+from pyspark.sql import functions as F
+
 from ledgerlens.functions.clean import parse_sales_date
 from ledgerlens.sources import sales as S
 from ledgerlens.sources.tables import read_table
@@ -102,3 +104,14 @@ def test_s3_invalid_utf8_bytes_are_replaced(spark, tmp_path):
     rows = S.sales_from_csv(spark, str(p)).orderBy("order_id").collect()
     assert [r.city for r in rows] == ["MUMB�AI", "PUNE"]
     assert rows[0].state is None            # absent columns read as null
+
+
+def test_lines_meet_their_orders_in_tasks_of_a_bounded_number(spark, monkeypatch):
+    """However many lines a table has, a task joins few; the rows stay the same."""
+    columns = ("order_id", "order_date", "promotion_ids")
+    whole = S.sales_from_tables(spark, SF["0.01"], columns)
+    monkeypatch.setattr(S, "LINES_PER_TASK", 2_000)
+    dealt = S.sales_from_tables(spark, SF["0.01"], columns)
+    most = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 2 * 2_000
+    assert dealt.exceptAll(whole).isEmpty() and dealt.count() == whole.count()
