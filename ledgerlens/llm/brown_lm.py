@@ -7,8 +7,13 @@ first one), times that of the word among the words of its class.
 Classes.  A word that is at least one of ``SHARE`` learnt tokens is frequent: there are
 ``SHARE`` such words at most, however large the corpus.  They are put into ``CLASSES``
 classes by exchange clustering: a word moves to the class in which the likelihood of all
-learnt class bigrams is largest, given the classes of its neighbours.  Every other word,
-seen or not, has the class of its last letter, or of having a digit.  The end is a class.
+learnt class bigrams is largest, given the classes of its neighbours.  The end is a class.
+Every other word starts in the class of its last letter, or of having a digit.  Then each
+learnt one is placed by all of its own neighbours: it takes the exchanged class in which
+its learnt tokens are most likely under the exchanged bigrams, if that is more than in the
+class of its shape.  An unseen word has its shape's class, and so has a word seen once:
+without its one token, it would be unseen, and it is from such words that the probability
+of unseen ones is learnt.
 
 Exchange runs as Spark jobs over the table of bigrams (frequent words by themselves, other
 words by class): a round sums, for each word, the classes before and after it, and weighs
@@ -18,15 +23,17 @@ round.  It ends when two rounds add less than ``TOLERANCE`` nats a token, or whe
 loses, which is then undone; each pair of rounds gains more than that, so it does end.
 
 Smoothing.  A class follows a class with (count + BACKOFF * its share of tokens) / (count of
-the first + BACKOFF).  Among the words of a class of infrequent ones the share of those seen
+the first + BACKOFF).  Among the words of a class by shape the share of those seen
 once is left for the unseen, which count as one word.  The base score is the
 unigram model that adds 0.1.
 
 Plan.  Texts are numbered once, in chunks of about ``CHUNK_CHARS`` characters, each with its
-own vocabulary; a chunk's rows are stored as numbers, long words as digests.  From then on a word moves once per
-chunk, not once per token: summed to the counts, joined with the counts and back to its
-chunk (skewed joins are split; a hot word is one row per chunk).  Bigrams are summed inside
-the task before they are shuffled.  Broadcast are only the frequent words and the matrix.
+own vocabulary; a chunk's tokens are stored as numbers, long words as digests.  From then on
+a word moves once per chunk, not once per token: to its count, and to be placed, together
+with the classes beside its tokens there (two bytes a token of an infrequent word), and from
+there back to its chunk, where texts become class sequences.  These are stored; the last
+bigram matrix is counted from them, then they are scored.  Bigrams are summed inside the
+task before they are shuffled.  Broadcast are only the frequent words and the matrix.
 
 Defined results: words are cut at white space (``\\x20 \\x09-\\x0D``), A-Z in lower case; a
 null or blank text has the end token alone; equal rows count, and come back, once each;
@@ -38,6 +45,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,9 +78,12 @@ END = DIGITS + 1
 FIRST = END + 1
 
 
+_DIGIT = re.compile("[0-9]").search
+
+
 def shape_class(word: str) -> int:
-    """The class of an infrequent word."""
-    return DIGITS if any("0" <= c <= "9" for c in word) else ord(word[-1]) % LETTERS
+    """The class of a word by its shape."""
+    return DIGITS if _DIGIT(word) else ord(word[-1]) % LETTERS
 
 
 def shape_column(word) -> Column:
@@ -129,46 +140,50 @@ class _Numbers(dict):
 
 
 def numbered(docs: DataFrame, keep, text: str, learn: Column) -> DataFrame:
-    """Chunks: a row per document (chunk, row struct of the kept columns, learn, tokens
-    binary, see pack_numbers) and one per chunk (chunk, words, counts: learnt tokens)."""
+    """Chunks: a row per document (chunk, place in it, row struct of the kept columns, learn)
+    and one per chunk (chunk, words, counts: learnt tokens; by place of the documents: tokens
+    binary, see pack_numbers, of all of them, lengths, learnt)."""
     source = docs.select(F.struct(*keep).alias("row"), F.coalesce(learn, F.lit(False))
                          .alias("learn"), F.col(text).alias("value"))
     schema = T.StructType([
-        T.StructField("chunk", T.LongType()), T.StructField("row", source.schema["row"].dataType),
-        T.StructField("learn", T.BooleanType()), T.StructField("tokens", T.BinaryType()),
+        T.StructField("chunk", T.LongType()), T.StructField("place", T.IntegerType()),
+        T.StructField("row", source.schema["row"].dataType),
+        T.StructField("learn", T.BooleanType()),
         T.StructField("words", T.ArrayType(T.StringType())),
-        T.StructField("counts", T.ArrayType(T.LongType()))])
+        T.StructField("counts", T.ArrayType(T.LongType())),
+        T.StructField("tokens", T.BinaryType()),
+        T.StructField("lengths", T.ArrayType(T.IntegerType())),
+        T.StructField("learnt", T.ArrayType(T.BooleanType()))])
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
-        numbers, counts, chars = _Numbers(), np.zeros(0, np.int64), 0
+        numbers, tokens, learnt, chars = _Numbers(), [], [], 0
 
         def vocabulary():
-            words = [word_key(w) for w in numbers]
+            counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *(
+                t for t, ok in zip(tokens, learnt) if ok)]).astype(np.int64), minlength=len(numbers))
+            columns = [[word_key(w) for w in numbers], counts, pack_numbers(np.concatenate(tokens)),
+                       np.array([len(t) for t in tokens], np.int32), learnt]
             return pa.RecordBatch.from_arrays(
-                [pa.array([chunk]), pa.nulls(1, kinds[1]), pa.nulls(1, kinds[2]),
-                 pa.nulls(1, kinds[3]), pa.array([words], kinds[4]),
-                 pa.array([counts], kinds[5])], names=schema.names)
+                [pa.array([chunk]), *(pa.nulls(1, k) for k in kinds[1:4]),
+                 *(pa.array([c], k) for c, k in zip(columns, kinds[4:]))], names=schema.names)
         for b in batches:
             for part, size in _slices(b):
-                tokens = [np.fromiter(map(numbers.__getitem__, w), "<i4", len(w))
-                          for w in map(_words, part.columns[2].to_pylist())]
-                counts = np.append(counts, np.zeros(len(numbers) - len(counts), np.int64))
-                learnt = [t for t, ok in zip(tokens, part.columns[1].to_pylist()) if ok]
-                if learnt:
-                    counts += np.bincount(np.concatenate(learnt), minlength=len(counts))
-                n = len(part)
+                first, n = len(tokens), len(part)
+                tokens += [np.fromiter(map(numbers.__getitem__, w), "<i4", len(w))
+                           for w in map(_words, part.columns[2].to_pylist())]
+                learnt += part.columns[1].to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, chunk)), part.columns[0], part.columns[1],
-                     pa.array(map(pack_numbers, tokens), kinds[3], size=n),
-                     pa.nulls(n, kinds[4]), pa.nulls(n, kinds[5])], names=schema.names)
+                    [pa.array(np.full(n, chunk)), pa.array(np.arange(first, first + n, dtype=np.int32)),
+                     part.columns[0], part.columns[1], *(pa.nulls(n, k) for k in kinds[4:])],
+                    names=schema.names)
                 chars += size
                 if chars >= CHUNK_CHARS:
                     yield vocabulary()
                     chunk, chars = chunk + 1, 0
-                    numbers, counts = _Numbers(), np.zeros(0, np.int64)
-        if numbers:
+                    numbers, tokens, learnt = _Numbers(), [], []
+        if tokens:
             yield vocabulary()
     return source.mapInArrow(run, schema)
 
@@ -329,38 +344,190 @@ class Model:
         out = np.log10(np.maximum(self.unseen[of], 1e-300))
         seen = count > 0
         c = of[seen]
-        out[seen] = np.log10(count[seen] / self.size[c]) + self.known[c]
+        out[seen] = np.log10(count[seen] / np.maximum(self.size[c], 1)) + self.known[c]
         return out
 
     def base(self, count):
         return np.log10((count + ADD) / (self.tokens + ADD * (self.types + 1)))
 
 
-OUT = (("n_tokens", T.LongType()), ("n_known", T.LongType()),
-       ("base_score", T.DoubleType()), ("score", T.DoubleType()))
+def _bytes(codes: int):
+    """The type of a code among that many."""
+    return np.dtype("u1" if codes <= 1 << 8 else "<u2")
 
 
-def score_chunk(model: Model, tokens: list[np.ndarray], count: np.ndarray, of: np.ndarray):
-    """The columns OUT for the texts of a chunk: ``count`` and ``of`` (class) by number."""
-    lengths = np.array([len(t) + 1 for t in tokens], np.int64)
-    stops = np.cumsum(lengths)
-    inner = np.ones(int(stops[-1]), bool)
-    inner[stops - 1] = False
-    flat = np.concatenate(tokens)
+def _with_ends(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The texts' tokens with -1, the end, after each text."""
+    flat = np.full(len(tokens) + len(lengths), -1, np.int64)
+    inner = np.ones(len(flat), bool)
+    inner[np.cumsum(lengths + 1) - 1] = False
+    flat[inner] = tokens
+    return flat
 
-    def spread(values, end):
-        out = np.full(len(inner), end, np.asarray(values).dtype)
-        out[inner] = values[flat]
-        return out
-    classes = spread(of, END)
-    before = np.concatenate([[END], classes[:-1]])
-    # the end token is the one word of its class
-    ends = np.array([model.ends], np.float64)
-    scores = spread(model.emission(count, of), 0.0) + model.follow[before, classes]
-    base = spread(model.base(count.astype(np.float64)), float(model.base(ends)[0]))
-    known = spread((count > 0).astype(np.int64), int(model.ends > 0))
-    starts = stops - lengths
-    return (lengths, *(np.add.reduceat(x, starts) for x in (known, base, scores)))
+
+def neighbours(words: list[str], tokens: np.ndarray, lengths: np.ndarray, learnt: np.ndarray,
+               known: dict[str, int], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of each infrequent word, pairs of the classes before and after these, by word) in
+    the learnt texts of a chunk; ``known`` has the classes of the frequent words."""
+    of = np.array([known.get(w) or shape_class(w) for w in words] + [END], np.int64)
+    flat = _with_ends(tokens, lengths)[np.repeat(learnt, lengths + 1)]
+    classes = of[flat]
+    at = np.flatnonzero(classes < END)
+    at = at[np.argsort(flat[at], kind="stable")]
+    # a text's first token stands after an end, and no text's last token is a word
+    pairs = np.stack([np.where(at > 0, classes[at - 1], END), classes[at + 1 if len(at) else at]], 1)
+    return np.bincount(flat[at], minlength=len(words)), pairs.astype(_bytes(size))
+
+
+def contexts(chunks: DataFrame, known: dict[str, int], size: int) -> DataFrame:
+    """(word, chunk, id, n learnt tokens, pairs binary: see neighbours) per word of a chunk."""
+    shared = chunks.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        for b in batches:
+            for i in range(len(b)):
+                words = b["words"][i].values
+                counts, pairs = neighbours(
+                    words.to_pylist(), unpack_numbers(b["tokens"][i].as_py()),
+                    b["lengths"][i].values.to_numpy().astype(np.int64),
+                    np.array(b["learnt"][i].as_py(), bool), shared.value, size)
+                stops = np.append(0, np.cumsum(counts)) * 2 * pairs.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(words), [
+                    None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(pairs.tobytes())])
+                yield pa.RecordBatch.from_arrays(
+                    [words, pa.array(np.full(len(words), b["chunk"][i].as_py())),
+                     pa.array(np.arange(len(words), dtype=np.int32)), b["counts"][i].values, packed],
+                    names=["word", "chunk", "id", "n", "pairs"])
+    return (chunks.select("chunk", "words", "counts", "tokens", "lengths", "learnt")
+            .mapInArrow(run, "word string, chunk long, id int, n long, pairs binary"))
+
+
+def place(model: Model, word: np.ndarray, pairs: np.ndarray, own: np.ndarray,
+          count: np.ndarray) -> np.ndarray:
+    """The class of each word 0..len(own)-1, now in ``own``, with ``count`` learnt tokens: the
+    one in which these are most likely between the classes beside them, rows of ``pairs`` of
+    the sorted ``word``; its own, if no exchanged class is better."""
+    # whole numbers, so that sums do not depend on the order of rows
+    follow = np.rint(model.follow * (1 << 24))
+    before, after = follow[:, FIRST:], np.ascontiguousarray(follow[FIRST:].T)
+    gain = np.zeros((len(own), before.shape[1]))
+    for lo in range(0, len(word), 1 << 12):
+        w, p = word[lo:lo + (1 << 12)], pairs[lo:lo + (1 << 12)]
+        first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+        gain[w[first]] += np.add.reduceat(before[p[:, 0]] + after[p[:, 1]], first, axis=0)
+    here = own[word]
+    stay = np.bincount(word, follow[pairs[:, 0], here] + follow[here, pairs[:, 1]], len(own))
+    stay = stay / (1 << 24) - count * np.log10(np.maximum(model.size[own], 1))
+    gain = gain / (1 << 24) - count[:, None] * np.log10(model.size[FIRST:] + count[:, None])
+    best = gain.argmax(axis=1)
+    return np.where(gain[np.arange(len(own)), best] > stay + 1e-9, best + FIRST, own)
+
+
+def placed(found: DataFrame, model: Model, known: dict[str, int]) -> DataFrame:
+    """(of_chunk, id, c, class) per row of ``contexts``: the word's learnt tokens and class."""
+    shared = found.sparkSession.sparkContext.broadcast((model, known))
+    kind = _bytes(len(model.matrix))
+    names = ["of_chunk", "id", "c", "class"]
+
+    def classes(b: pa.Table) -> pa.RecordBatch:
+        model, known = shared.value
+        keys = b["word"].combine_chunks().dictionary_encode()
+        word, words = keys.indices.to_numpy(), keys.dictionary.to_pylist()
+        count = np.bincount(word, b["n"].to_numpy(), len(words)).astype(np.int64)
+        of = np.array([known.get(w) or shape_class(w) for w in words], np.int64)
+        rows = np.flatnonzero(((of < END) & (count > 1))[word])
+        some = b["pairs"].take(pa.array(rows))
+        pairs = np.frombuffer(b"".join(some.to_pylist()), kind).reshape(-1, 2)
+        which, at = np.unique(word[rows], return_inverse=True)
+        at = np.repeat(at, pc.binary_length(some).to_numpy() // (2 * kind.itemsize))
+        of[which] = place(model, at, pairs, of[which], count[which])
+        return pa.RecordBatch.from_arrays(
+            [b["chunk"].combine_chunks(), b["id"].combine_chunks(), pa.array(count[word]),
+             pa.array(of[word].astype(np.int32))], names=names)
+
+    def run(batches):
+        held = []               # rows of the last word: one for each chunk at most
+        for b in batches:
+            if not len(b):
+                continue
+            last = b["word"][-1]
+            if held and held[0]["word"][-1] == last:
+                held.append(b)
+                continue
+            first = int(pc.index(b["word"], last).as_py())
+            yield classes(pa.Table.from_batches([*held, b.slice(0, first)], b.schema)
+                          ) if held or first else pa.RecordBatch.from_arrays(
+                [pa.array([], k) for k in (pa.int64(), pa.int32(), pa.int64(), pa.int32())], names=names)
+            held = [b.slice(first)]
+        if held:
+            yield classes(pa.Table.from_batches(held))
+    return (found.repartition("word").sortWithinPartitions("word")
+            .mapInArrow(run, "of_chunk long, id int, c long, class int"))
+
+
+def sequences(chunks: DataFrame, values: DataFrame, model: Model) -> DataFrame:
+    """(row, learn, n_tokens, n_known, base_score, counts: sum of the known words' log10 counts,
+    codes binary) per document.  A token's code is its class; one of the class of its shape
+    plus size for a word seen once there, and plus size + END for an unseen one."""
+    shared = chunks.sparkSession.sparkContext.broadcast(model)
+    size, kind = len(model.matrix), _bytes(len(model.matrix) + 2 * END)
+    left = chunks.select("chunk", "place", "row", "learn", "tokens", "lengths")
+    schema = T.StructType([left.schema["row"], left.schema["learn"],
+                           *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known")),
+                           *(T.StructField(n, T.DoubleType()) for n in ("base_score", "counts")),
+                           T.StructField("codes", T.BinaryType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        model = shared.value
+        whole = left.filter(pc.is_valid(left["tokens"]))
+        docs = left.filter(pc.is_null(left["tokens"])).sort_by("place")
+        lengths = np.asarray(whole["lengths"][0].as_py(), np.int64)
+        ids = right["id"].to_numpy()
+        # the last number is the end, the one word of its class
+        count, of = np.zeros(len(ids) + 1, np.int64), np.full(len(ids) + 1, END)
+        count[ids], of[ids], count[-1] = right["c"].to_numpy(), right["class"].to_numpy(), model.ends
+        code = of + np.where(of < END, np.select([count == 0, count == 1], [size + END, size], 0), 0)
+        logs = np.log10(np.maximum(count, 1))
+        logs[-1] = 0
+        flat = _with_ends(unpack_numbers(whole["tokens"][0].as_py()), lengths)
+        stops = np.cumsum(lengths + 1)
+        starts, codes = stops - lengths - 1, code.astype(kind)[flat]
+        out = docs.select(["row", "learn"])
+        for name, value in (
+                ("n_tokens", lengths + 1), ("n_known", (count > 0).astype(np.int64)),
+                ("base_score", model.base(count.astype(np.float64))), ("counts", logs)):
+            out = out.append_column(name, pa.array(
+                value if name == "n_tokens" else np.add.reduceat(value[flat], starts)))
+        return out.append_column("codes", pa.array(
+            [codes[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary()))
+    return left.groupBy("chunk").cogroup(values.groupBy("of_chunk")).applyInArrow(run, schema)
+
+
+def _classes(size: int) -> np.ndarray:
+    """The class of each code."""
+    return np.concatenate([np.arange(size), np.arange(END), np.arange(END)])
+
+
+def counted(codes: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(class bigrams, words seen once by class) of the ``sequences`` of learnt texts."""
+    kind, of = _bytes(size + 2 * END), _classes(size)
+
+    def run(batches):
+        sums = np.zeros(size * size + END, np.int64)
+        for b in batches:
+            flat = np.frombuffer(b"".join(b["codes"].to_pylist()), kind).astype(np.int64)
+            classes = of[flat]
+            sums += np.bincount(np.append(END, classes[:-1])[:len(flat)] * size + classes,
+                                minlength=len(sums))
+            once = flat[(flat >= size) & (flat < size + END)] - size
+            sums += np.bincount(once + size * size, minlength=len(sums))
+        cells = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], names=["cell", "n"])
+    sums = np.zeros(size * size + END)
+    for r in (codes.select("codes").mapInArrow(run, "cell long, n long").groupBy("cell")
+              .agg(F.sum("n").alias("n")).collect()):                  # size * size + END at most
+        sums[r["cell"]] = r["n"]
+    return sums[:size * size].reshape(size, size), np.append(sums[size * size:], np.zeros(size - END))
 
 
 def score(docs: DataFrame, learn: Column, text: str = "text", keep=("doc_id",),
@@ -371,46 +538,47 @@ def score(docs: DataFrame, learn: Column, text: str = "text", keep=("doc_id",),
     n_known counts tokens that were learnt; scores are sums of log10 probabilities, so that
     10 ** (-score / n_tokens) is a text's perplexity."""
     chunks = stored(numbered(docs, keep, text, learn), "numbered-texts")
-    rows = chunks.filter("words IS NULL")
-    places = (chunks.filter("words IS NOT NULL")
-              .select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("id", "of"))
-              .select("chunk", "id", F.col("of.words").alias("word"), F.col("of.counts").alias("n")))
-    words = stored(places.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    ends = rows.filter("learn").count()
-    r = words.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
-    tokens, types = (r["tokens"] or 0) + ends, r["types"] + (ends > 0)
+    whole = chunks.filter("tokens IS NOT NULL")
+    ends = chunks.filter("learn").count()
+    r = whole.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y))
+                  .alias("tokens")).first()
+    tokens = (r["tokens"] or 0) + ends
+    words = (whole.select(F.explode(F.arrays_zip("words", "counts")).alias("of"))
+             .filter("of.counts > 0").groupBy(F.col("of.words").alias("word"))
+             .agg(F.sum("of.counts").alias("c")))
     # SHARE rows at most: each has one of SHARE learnt tokens
-    frequent = sorted(words.filter(F.col("c") * F.lit(share) >= F.lit(tokens)).collect(),
-                      key=lambda r: (-r["c"], r["word"]))
+    r = words.agg(F.count(F.lit(1)).alias("types"), F.collect_list(F.when(
+        F.col("c") * F.lit(share) >= F.lit(tokens), F.struct("c", "word"))).alias("frequent")).first()
+    types = r["types"] + (ends > 0)
+    frequent = sorted(r["frequent"], key=lambda r: (-r["c"], r["word"]))
     number = {r["word"]: FIRST + i for i, r in enumerate(frequent)}
     pairs = stored(bigrams(docs, text, learn, number), "bigrams")
     own, matrix, _ = exchange(pairs, len(frequent), classes, tolerance)
-    spark = docs.sparkSession
-    placed = spark.createDataFrame([(r["word"], int(c)) for r, c in zip(frequent, own)],
-                                   "word string, class int")
-    of_word = words.join(F.broadcast(placed), "word", "left").select(
-        "word", "c", F.coalesce("class", shape_column("word")).alias("class"))
-    once = np.zeros(len(matrix))
-    for r in (words.filter("c = 1").groupBy(shape_column("word").alias("class"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()):            # a row per class
-        once[r["class"]] = r["n"]
-    shared = spark.sparkContext.broadcast(Model(matrix, once, tokens, types, ends))
-    values = (places.select("chunk", "id", "word").join(of_word, "word", "left")
-              .select(F.col("chunk").alias("of_chunk"), "id", F.coalesce("c", F.lit(0)).alias("c"),
-                      F.coalesce("class", shape_column("word")).alias("class")))
-    rows = rows.select("chunk", "row", "learn", "tokens")
-    schema = T.StructType([rows.schema["row"], rows.schema["learn"],
-                           *(T.StructField(n, t) for n, t in OUT)])
+    size, known = len(matrix), {r["word"]: int(c) for r, c in zip(frequent, own)}
+    model = Model(matrix, np.zeros(size), tokens, types, ends)
+    values = placed(contexts(whole, known, size), model, known)
+    coded = stored(sequences(chunks, values, model), "class-sequences")
+    model = Model(*counted(coded.filter("learn"), size), tokens, types, ends)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = _bytes(size + 2 * END)
+    schema = T.StructType([*(f for f in coded.schema if f.name not in ("counts", "codes")),
+                           T.StructField("score", T.DoubleType())])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = right["id"].to_numpy()
-        count, of = (np.zeros(len(ids), np.int64) for _ in range(2))
-        count[ids], of[ids] = right["c"].to_numpy(), right["class"].to_numpy()
-        texts = [unpack_numbers(t) for t in left["tokens"].to_pylist()]
-        out = left.select(["row", "learn"])
-        for (name, _), column in zip(OUT, score_chunk(shared.value, texts, count, of)):
-            out = out.append_column(name, pa.array(column))
-        return out
-    done = rows.groupBy("chunk").cogroup(values.groupBy("of_chunk")).applyInArrow(run, schema)
-    return done.select("row", "learn", "n_tokens", "n_known",
-                       F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    def run(batches):
+        model, of = shared.value, _classes(size)
+        # the known with a count of 1, whose logarithm is 0; the end is its class's only word
+        each = model.emission(np.repeat([1, 0], [size + END, END]), of)
+        each[END] = 0
+        for b in batches:
+            if not len(b):
+                continue
+            flat = np.frombuffer(b"".join(b["codes"].to_pylist()), kind).astype(np.int64)
+            classes = of[flat]
+            steps = each[flat] + model.follow[np.append(END, classes[:-1]), classes]
+            starts = np.cumsum(b["n_tokens"].to_numpy()) - b["n_tokens"].to_numpy()
+            total = np.add.reduceat(steps, starts) + b["counts"].to_numpy()
+            yield pa.RecordBatch.from_arrays([*(b[n] for n in schema.names[:-1]), pa.array(total)],
+                                             names=schema.names)
+    return coded.mapInArrow(run, schema).select(
+        "row", "learn", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")

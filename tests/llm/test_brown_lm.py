@@ -95,6 +95,49 @@ def test_moves_raise_the_likelihood():
         assert scores[best - lm.FIRST] >= sorted(scores)[-2]
 
 
+def test_infrequent_words_are_placed_by_their_neighbours(spark):
+    """Words of two kinds that end alike: each is foretold by the frequent word before it."""
+    rng = random.Random(5)
+    kinds = [[k + x + y + "x" for x in "bcdfgh" for y in "aeiou"] for k in "nv"]
+
+    def word(k):
+        return ["noun", "verb"][k] if rng.random() < 0.3 else rng.choice(kinds[k])
+    rows = [(i, " ".join(f"{['the', 'to'][k % 2]} {word(k % 2)}" for k in range(20)))
+            for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = lm.score(docs, F.col("doc_id") < 180, classes=4, share=30).filter("NOT learn").collect()
+    alone = sum(math.log10(0.3 if w in ("noun", "verb") else 0.7 / 30)
+                for i, t in rows[180:] for w in t.split()[1::2])
+    assert len(out) == 20 and sum(r["score"] for r in out) > 1.1 * alone
+
+
+def test_place_weighs_every_class():
+    rng = np.random.default_rng(4)
+    size = lm.FIRST + 5
+    matrix = rng.integers(0, 300, (size, size)).astype(float)
+    model = lm.Model(matrix, np.zeros(size), int(matrix.sum()), 500, 10)
+    word = np.sort(rng.integers(0, 40, 9000))
+    pairs, own = rng.integers(0, size, (9000, 2)), rng.integers(0, lm.END, 40)
+    count = np.bincount(word, minlength=40)
+    best = lm.place(model, word, pairs, own, count)
+    for w in range(40):
+        p = pairs[word == w]
+        score = {k: (model.follow[p[:, 0], k] + model.follow[k, p[:, 1]]).sum() - count[w] * math.log10(
+            model.size[k] + (0 if k == own[w] else count[w])) for k in (own[w], *range(lm.FIRST, size))}
+        assert math.isclose(score[best[w]], max(score.values()), abs_tol=1e-3)
+    mixed = np.lexsort((rng.random(9000), word))
+    assert np.array_equal(best, lm.place(model, word, pairs[mixed], own, count))
+
+
+def test_neighbours():
+    tokens, lengths = np.array([0, 1, 0, 2, 1, 2]), np.array([3, 0, 2, 1])
+    counts, pairs = lm.neighbours(["ab", "the", "zz"], tokens, lengths, np.array([True, True, True, False]),
+                                  {"the": lm.FIRST}, lm.FIRST + 1)
+    ab, zz = lm.shape_class("ab"), lm.shape_class("zz")
+    assert counts.tolist() == [2, 0, 1]
+    assert pairs.tolist() == [[lm.END, lm.FIRST], [lm.FIRST, lm.END], [lm.END, lm.FIRST]] and ab != zz
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     size = lm.FIRST + 3
