@@ -31,7 +31,9 @@ Plan.  Texts are numbered once, in chunks of about ``CHUNK_CHARS`` characters, e
 own vocabulary; a chunk's tokens are stored as numbers, long words as digests.  From then on
 a word moves once per chunk, not once per token: to its count, and to be placed, together
 with the classes beside its tokens there (two bytes a token of an infrequent word), and from
-there back to its chunk, where texts become class sequences.  These are stored; the last
+there back to its chunk, where texts become class sequences.  A chunk's words move as one row
+for each group of words by hash; a group has ``GROUP_WORDS`` words of chunks, so that there are
+more groups in larger tables.  These are stored; the last
 bigram matrix is counted from them, then they are scored.  Bigrams are summed inside the
 task before they are shuffled.  Broadcast are only the frequent words and the matrix.
 
@@ -46,6 +48,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +73,7 @@ SLICE_CHARS = 1 << 20
 HELD_PAIRS = 1 << 20       # distinct bigrams that a task holds
 KEY_BYTES = 64             # longer words move as a digest
 PARTS = 64                 # groups in which the words' moves are weighed
+GROUP_WORDS = 1 << 18      # words of chunks that are placed side by side
 
 # Class numbers: last letters, digits, the end, then the exchanged classes.
 LETTERS = 32
@@ -111,14 +115,14 @@ def word_key(word: bytes) -> str:
 
 
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, byte by byte: all lowest bytes, all second ones, ...  Most upper
+    """Numbers byte by byte: all lowest bytes, all second ones, ...  Most upper
     bytes are 0 then stand side by side, and compress."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes()
 
 
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def unpack_numbers(packed: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _slices(batch: pa.RecordBatch):
@@ -365,41 +369,49 @@ def _with_ends(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return flat
 
 
-def neighbours(words: list[str], tokens: np.ndarray, lengths: np.ndarray, learnt: np.ndarray,
-               known: dict[str, int], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens of each infrequent word, pairs of the classes before and after these, by word) in
-    the learnt texts of a chunk; ``known`` has the classes of the frequent words."""
-    of = np.array([known.get(w) or shape_class(w) for w in words] + [END], np.int64)
+def neighbours(of: np.ndarray, order: np.ndarray, tokens: np.ndarray, lengths: np.ndarray,
+               learnt: np.ndarray, size: int) -> np.ndarray:
+    """Pairs of the classes before and after each infrequent token in the learnt texts of a
+    chunk, in the given order of the words; ``of`` has the words' classes."""
     flat = _with_ends(tokens, lengths)[np.repeat(learnt, lengths + 1)]
-    classes = of[flat]
+    classes = np.append(of, END)[flat]
     at = np.flatnonzero(classes < END)
-    at = at[np.argsort(flat[at], kind="stable")]
+    at = at[np.argsort(np.argsort(order)[flat[at]], kind="stable")]
     # a text's first token stands after an end, and no text's last token is a word
     pairs = np.stack([np.where(at > 0, classes[at - 1], END), classes[at + 1 if len(at) else at]], 1)
-    return np.bincount(flat[at], minlength=len(words)), pairs.astype(_bytes(size))
+    return pairs.astype(_bytes(size))
 
 
-def contexts(chunks: DataFrame, known: dict[str, int], size: int) -> DataFrame:
-    """(word, chunk, id, n learnt tokens, pairs binary: see neighbours) per word of a chunk."""
+def contexts(chunks: DataFrame, known: dict[str, int], size: int, groups: int) -> DataFrame:
+    """(part, chunk, words, ids, n, pairs) per chunk and group of words by hash: the words, one
+    a line, their numbers and learnt tokens packed, and the ``neighbours`` of infrequent ones."""
     shared = chunks.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         for b in batches:
             for i in range(len(b)):
-                words = b["words"][i].values
-                counts, pairs = neighbours(
-                    words.to_pylist(), unpack_numbers(b["tokens"][i].as_py()),
-                    b["lengths"][i].values.to_numpy().astype(np.int64),
-                    np.array(b["learnt"][i].as_py(), bool), shared.value, size)
-                stops = np.append(0, np.cumsum(counts)) * 2 * pairs.itemsize
-                packed = pa.Array.from_buffers(pa.binary(), len(words), [
-                    None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(pairs.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [words, pa.array(np.full(len(words), b["chunk"][i].as_py())),
-                     pa.array(np.arange(len(words), dtype=np.int32)), b["counts"][i].values, packed],
-                    names=["word", "chunk", "id", "n", "pairs"])
+                words, n = b["words"][i].as_py(), b["counts"][i].values.to_numpy().astype("<i8")
+                of = np.array([shared.value.get(w) or shape_class(w) for w in words], np.int64)
+                part = np.array([zlib.crc32(w.encode()) % groups for w in words], np.int64)
+                order = np.argsort(part, kind="stable")
+                pairs = neighbours(of, order, unpack_numbers(b["tokens"][i].as_py()),
+                                   b["lengths"][i].values.to_numpy().astype(np.int64),
+                                   np.array(b["learnt"][i].as_py(), bool), size)
+                part, n = part[order], n[order]
+                stops = np.append(0, np.cumsum(np.where(of[order] < END, n, 0)))
+                cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)]),
+                                 len(part)).tolist()
+                rows = [(int(part[lo]), b["chunk"][i].as_py(),
+                         "\n".join([words[k] for k in order[lo:hi].tolist()]),
+                         pack_numbers(order[lo:hi].astype("<i4")), pack_numbers(n[lo:hi]),
+                         pairs[stops[lo]:stops[hi]].tobytes()) for lo, hi in zip(cuts, cuts[1:])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows), (
+                            pa.int32(), pa.int64(), pa.string(), *[pa.binary()] * 3))],
+                        names=["part", "chunk", "words", "ids", "n", "pairs"])
     return (chunks.select("chunk", "words", "counts", "tokens", "lengths", "learnt")
-            .mapInArrow(run, "word string, chunk long, id int, n long, pairs binary"))
+            .mapInArrow(run, "part int, chunk long, words string, ids binary, n binary, pairs binary"))
 
 
 def place(model: Model, word: np.ndarray, pairs: np.ndarray, own: np.ndarray,
@@ -424,45 +436,34 @@ def place(model: Model, word: np.ndarray, pairs: np.ndarray, own: np.ndarray,
 
 
 def placed(found: DataFrame, model: Model, known: dict[str, int]) -> DataFrame:
-    """(of_chunk, id, c, class) per row of ``contexts``: the word's learnt tokens and class."""
+    """(of_chunk, ids, c, class) per row of ``contexts``: the words' learnt tokens in all and
+    classes, packed."""
     shared = found.sparkSession.sparkContext.broadcast((model, known))
     kind = _bytes(len(model.matrix))
-    names = ["of_chunk", "id", "c", "class"]
 
-    def classes(b: pa.Table) -> pa.RecordBatch:
+    def classes(b: pa.Table) -> pa.Table:
         model, known = shared.value
-        keys = b["word"].combine_chunks().dictionary_encode()
+        lists = [w.split("\n") for w in b["words"].to_pylist()]
+        keys = pa.array([w for some in lists for w in some], pa.string()).dictionary_encode()
         word, words = keys.indices.to_numpy(), keys.dictionary.to_pylist()
-        count = np.bincount(word, b["n"].to_numpy(), len(words)).astype(np.int64)
+        n = np.concatenate([unpack_numbers(x, "<i8") for x in b["n"].to_pylist()])
+        count = np.zeros(len(words), np.int64)
+        np.add.at(count, word, n)
         of = np.array([known.get(w) or shape_class(w) for w in words], np.int64)
-        rows = np.flatnonzero(((of < END) & (count > 1))[word])
-        some = b["pairs"].take(pa.array(rows))
-        pairs = np.frombuffer(b"".join(some.to_pylist()), kind).reshape(-1, 2)
-        which, at = np.unique(word[rows], return_inverse=True)
-        at = np.repeat(at, pc.binary_length(some).to_numpy() // (2 * kind.itemsize))
-        of[which] = place(model, at, pairs, of[which], count[which])
-        return pa.RecordBatch.from_arrays(
-            [b["chunk"].combine_chunks(), b["id"].combine_chunks(), pa.array(count[word]),
-             pa.array(of[word].astype(np.int32))], names=names)
-
-    def run(batches):
-        held = []               # rows of the last word: one for each chunk at most
-        for b in batches:
-            if not len(b):
-                continue
-            last = b["word"][-1]
-            if held and held[0]["word"][-1] == last:
-                held.append(b)
-                continue
-            first = int(pc.index(b["word"], last).as_py())
-            yield classes(pa.Table.from_batches([*held, b.slice(0, first)], b.schema)
-                          ) if held or first else pa.RecordBatch.from_arrays(
-                [pa.array([], k) for k in (pa.int64(), pa.int32(), pa.int64(), pa.int32())], names=names)
-            held = [b.slice(first)]
-        if held:
-            yield classes(pa.Table.from_batches(held))
-    return (found.repartition("word").sortWithinPartitions("word")
-            .mapInArrow(run, "of_chunk long, id int, c long, class int"))
+        at = np.repeat(word, np.where(of[word] < END, n, 0))
+        pairs = np.frombuffer(b"".join(b["pairs"].to_pylist()), kind).reshape(-1, 2)
+        rows = np.argsort(at, kind="stable")
+        rows = rows[count[at[rows]] > 1]
+        which, at = np.unique(at[rows], return_inverse=True)
+        of[which] = place(model, at, pairs[rows], of[which], count[which])
+        cuts = np.cumsum([0, *map(len, lists)]).tolist()
+        count, of = count[word], of[word].astype(kind)
+        return pa.table({
+            "of_chunk": b["chunk"], "ids": b["ids"],
+            "c": pa.array([pack_numbers(count[lo:hi]) for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
+            "class": pa.array([of[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary())})
+    return found.groupBy("part").applyInArrow(
+        classes, "of_chunk long, ids binary, c binary, class binary")
 
 
 def sequences(chunks: DataFrame, values: DataFrame, model: Model) -> DataFrame:
@@ -477,15 +478,20 @@ def sequences(chunks: DataFrame, values: DataFrame, model: Model) -> DataFrame:
                            *(T.StructField(n, T.DoubleType()) for n in ("base_score", "counts")),
                            T.StructField("codes", T.BinaryType())])
 
+    def unpacked(column, kind, packed=True):
+        return np.concatenate([np.zeros(0, kind), *(
+            unpack_numbers(x, kind) if packed else np.frombuffer(x, kind) for x in column.to_pylist())])
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         model = shared.value
         whole = left.filter(pc.is_valid(left["tokens"]))
         docs = left.filter(pc.is_null(left["tokens"])).sort_by("place")
         lengths = np.asarray(whole["lengths"][0].as_py(), np.int64)
-        ids = right["id"].to_numpy()
+        ids = unpacked(right["ids"], "<i4")
         # the last number is the end, the one word of its class
         count, of = np.zeros(len(ids) + 1, np.int64), np.full(len(ids) + 1, END)
-        count[ids], of[ids], count[-1] = right["c"].to_numpy(), right["class"].to_numpy(), model.ends
+        count[ids], of[ids] = unpacked(right["c"], "<i8"), unpacked(right["class"], _bytes(size), False)
+        count[-1] = model.ends
         code = of + np.where(of < END, np.select([count == 0, count == 1], [size + END, size], 0), 0)
         logs = np.log10(np.maximum(count, 1))
         logs[-1] = 0
@@ -541,8 +547,8 @@ def score(docs: DataFrame, learn: Column, text: str = "text", keep=("doc_id",),
     whole = chunks.filter("tokens IS NOT NULL")
     ends = chunks.filter("learn").count()
     r = whole.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y))
-                  .alias("tokens")).first()
-    tokens = (r["tokens"] or 0) + ends
+                  .alias("tokens"), F.sum(F.size("words")).alias("words")).first()
+    tokens, groups = (r["tokens"] or 0) + ends, -(-(r["words"] or 1) // GROUP_WORDS)
     words = (whole.select(F.explode(F.arrays_zip("words", "counts")).alias("of"))
              .filter("of.counts > 0").groupBy(F.col("of.words").alias("word"))
              .agg(F.sum("of.counts").alias("c")))
@@ -556,7 +562,7 @@ def score(docs: DataFrame, learn: Column, text: str = "text", keep=("doc_id",),
     own, matrix, _ = exchange(pairs, len(frequent), classes, tolerance)
     size, known = len(matrix), {r["word"]: int(c) for r, c in zip(frequent, own)}
     model = Model(matrix, np.zeros(size), tokens, types, ends)
-    values = placed(contexts(whole, known, size), model, known)
+    values = placed(contexts(whole, known, size, max(1, groups)), model, known)
     coded = stored(sequences(chunks, values, model), "class-sequences")
     model = Model(*counted(coded.filter("learn"), size), tokens, types, ends)
     shared = docs.sparkSession.sparkContext.broadcast(model)

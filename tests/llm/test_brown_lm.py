@@ -130,12 +130,22 @@ def test_place_weighs_every_class():
 
 
 def test_neighbours():
+    of = np.array([lm.shape_class("ab"), lm.FIRST, lm.shape_class("zz")])
     tokens, lengths = np.array([0, 1, 0, 2, 1, 2]), np.array([3, 0, 2, 1])
-    counts, pairs = lm.neighbours(["ab", "the", "zz"], tokens, lengths, np.array([True, True, True, False]),
-                                  {"the": lm.FIRST}, lm.FIRST + 1)
-    ab, zz = lm.shape_class("ab"), lm.shape_class("zz")
-    assert counts.tolist() == [2, 0, 1]
-    assert pairs.tolist() == [[lm.END, lm.FIRST], [lm.FIRST, lm.END], [lm.END, lm.FIRST]] and ab != zz
+    pairs = lm.neighbours(of, np.array([2, 0, 1]), tokens, lengths, np.array([True, True, True, False]),
+                          lm.FIRST + 1)
+    assert pairs.tolist() == [[lm.END, lm.FIRST], [lm.END, lm.FIRST], [lm.FIRST, lm.END]]
+
+
+def test_groups_of_words_do_not_change_scores(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def scores():
+        return sorted((r["row"]["doc_id"], r["score"]) for r in lm.score(
+            docs, F.col("doc_id") % 10 != 0, classes=8, share=500).collect())
+    one = scores()
+    monkeypatch.setattr(lm, "GROUP_WORDS", 1000)
+    assert np.allclose([s for _, s in one], [s for _, s in scores()], rtol=1e-9)
 
 
 def test_probabilities_sum_to_one():
