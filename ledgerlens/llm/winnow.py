@@ -62,13 +62,12 @@ GRAM = MIN_WORDS
 WINDOW = 31                # 50 words in a row hold a selected gram
 EDGE = WINDOW - 1          # words beside a segment that no other one covers
 LOW = (1 << 32) - 1
-BATCH_CHARS = 1 << 20      # texts whose characters are read side by side
+BATCH_CHARS = 1 << 17      # texts whose characters are read side by side: a core's cache holds them
 BLOCK_CHARS = 1 << 20      # characters hashed side by side
 
 BASE = 0x9E3779B97F4A7C15
 _powers = [np.ones(1, np.uint64)] * 2
 _SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
-_STOP = np.array([chr(c) in ".!?" for c in range(0x40)] + [False])
 
 
 def units(text: str) -> list[str]:
@@ -85,20 +84,42 @@ def _read(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Character codes, start and stop of each word (as ``str.split`` has them), and
     whether a unit ends with the word."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = np.zeros(len(codes) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[np.minimum(codes, len(_SPACE) - 1)]
-    edges = np.flatnonzero(np.diff(inside))
+    inside = np.zeros(len(codes) + 2, bool)
+    np.greater(codes, 32, out=inside[1:-1])
+    # few characters are left to look up: control ones, and those from 0x85 on
+    rare = np.flatnonzero((codes >= 0x85) | (codes < 32))
+    inside[rare + 1] = ~_SPACE[np.minimum(codes[rare], len(_SPACE) - 1)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, stops = edges[::2], edges[1::2]
-    breaks = np.flatnonzero(codes == 10)
-    after = np.append(starts[1:], len(codes))
-    ends = np.searchsorted(breaks, stops) < np.searchsorted(breaks, after)
+    ends = np.zeros(len(stops), bool)
     if len(stops):
-        ends |= _STOP[np.minimum(codes[stops - 1], len(_STOP) - 1)] & (
-            codes[np.minimum(stops, len(codes) - 1)] == 32)
+        # a break ends the unit of the word before it
+        before = np.searchsorted(stops, np.flatnonzero(codes == 10), "right") - 1
+        ends[before[before >= 0]] = True
+        last = codes[stops - 1]
+        stop = np.flatnonzero((last == 46) | (last == 33) | (last == 63))
+        ends[stop[codes[np.minimum(stops[stop], len(codes) - 1)] == 32]] = True
         ends[-1] = True
     return codes, starts, stops, ends
 
 
+def _read_each(texts: list[str]):
+    """Start and stop of each word, and whether a unit ends with it, of each text; short
+    texts are read side by side."""
+    lo = 0
+    while lo < len(texts):
+        hi, chars = lo + 1, len(texts[lo])
+        while hi < len(texts) and chars + len(texts[hi]) <= BATCH_CHARS:
+            chars += len(texts[hi])
+            hi += 1
+        _, starts, stops, ends = _read("\n".join(texts[lo:hi]))
+        after = np.cumsum([len(t) + 1 for t in texts[lo:hi]])
+        cuts = np.append(0, np.searchsorted(starts, after)).tolist()
+        for first, a, b in zip([0, *after.tolist()], cuts, cuts[1:]):
+            yield starts[a:b] - first, stops[a:b] - first, ends[a:b]
+        lo = hi
+
+
 def _ends(ends: np.ndarray) -> np.ndarray:
     """The word counts up to each unit with a word, from 0."""
     return np.append(0, np.flatnonzero(ends) + 1)
@@ -231,10 +252,10 @@ def _places(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _selected(totals: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``select`` for each of the texts that the words are cut into, with places among all."""
-    starts = np.arange(max(0, len(totals) - GRAM))
-    if not len(starts):
-        return starts, starts
-    mixed = _runs(totals, starts, starts + GRAM)
+    n = max(0, len(totals) - GRAM)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    mixed = _mix((totals[GRAM:] - totals[:n]) * _power(1, n))
     grams = np.diff(cuts) - GRAM + 1
     # texts of one window at least; windows across texts have no minimum
     long = np.flatnonzero(grams >= WINDOW)
@@ -283,8 +304,8 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     def run(batches):
         try:
             for b in batches:
-                for part in _slices(b):
-                    yield _places(part)
+                # many small batches would cost more than they save
+                yield pa.concat_batches([_places(part) for part in _slices(b)])
         finally:
             _forget()
     return source.mapInArrow(run, schema)
@@ -295,7 +316,8 @@ def matches(prints: DataFrame) -> DataFrame:
     ``part`` is the text hash's share of ``place``."""
     often = stored(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
                    .filter("n > 1").select("fp"), "repeated-fingerprints")
-    places = stored(prints.join(often, "fp", "left_semi"), "repeated-places")
+    # one row a hash on this side: it fits a task's table, and the places need no sort
+    places = stored(prints.join(often.hint("shuffle_hash"), "fp", "left_semi"), "repeated-places")
     # stored, so that the join's sides are plain exchanges, whose hot partitions Spark splits
     firsts = stored(places.groupBy("fp").agg(F.min(F.struct("doc", "place")).alias("first"))
                     .select("fp", *[F.col(f"first.{c}").alias(f"first_{c}")
@@ -303,7 +325,7 @@ def matches(prints: DataFrame) -> DataFrame:
     part = F.shiftrightunsigned("place", 32)
     elsewhere = ((F.col("doc") != F.col("first_doc"))
                  | (part != F.shiftrightunsigned("first_place", 32)))
-    later = (places.join(firsts, "fp")
+    later = (places.join(firsts.hint("shuffle_hash"), "fp")
              .filter(elsewhere | ((F.col("length") > 0)
                                   & (F.col("place") != F.col("first_place")))))
     start = F.col("place").bitwiseAND(F.lit(LOW)).cast("int")
@@ -376,9 +398,8 @@ def edges(found: DataFrame) -> DataFrame:
                     "first_part", place.alias("place")))
 
 
-def _beside(text: str, places) -> list[str]:
+def _beside(text: str, starts: np.ndarray, stops: np.ndarray, places) -> list[str]:
     """The words, in lower case, before or after each place."""
-    _, starts, stops, _ = _read(text)
     out = []
     for place in places:
         word, side = place >> 1, place & 1
@@ -403,8 +424,9 @@ def contexts(rows: DataFrame, asked: DataFrame, text: str) -> DataFrame:
             b = b.filter(pa.array([k != k0 for k, k0 in zip(keys, [last, *keys])]))
             last = keys[-1] if keys else last
             texts, places = b["row"].field(text).to_pylist(), b["places"]
-            words = [_beside(t, p) if t is not None else [""] * len(p)
-                     for t, p in zip(texts, places.to_pylist())]
+            texts = [t or "" for t in texts]
+            words = [_beside(t, starts, stops, p) for t, (starts, stops, _), p in
+                     zip(texts, _read_each(texts), places.to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b["key"].take(pc.list_parent_indices(places)), pc.list_flatten(places),
                  pa.array([w for some in words for w in some], pa.string())], names=schema.names)
@@ -471,7 +493,10 @@ def near_copies(found: DataFrame, df: DataFrame, doc_id: str, text: str, percent
 def extend(text: str, at, side, shift, words) -> np.ndarray:
     """Runs and segments (start << 32 | stop), the latter with all equal words beside them: on
     the sides LEFT and RIGHT those that ``words`` names, HERE those at ``shift`` before."""
-    own, out = text.lower().split(), at.tolist()
+    out = at.tolist()
+    if (side == WHOLE).all():
+        return at
+    own = text.lower().split()
     n = len(own)
     for k, (s, d, w) in enumerate(zip(side.tolist(), shift.tolist(), words)):
         lo, hi = out[k] >> 32, out[k] & LOW
@@ -494,16 +519,19 @@ def extend(text: str, at, side, shift, words) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def remove(text: str, intervals, min_words: int = MIN_WORDS) -> tuple[str, int, int, int]:
+def remove(text: str, intervals, min_words: int = MIN_WORDS, read=None
+           ) -> tuple[str, int, int, int]:
     """(text left, runs, whole units, words removed): deletes the word runs that the
-    intervals (start << 32 | stop) cover."""
-    _, starts, stops, last = _read(text)
-    change = np.zeros(len(starts) + 2, np.int64)
-    np.add.at(change, (intervals >> 32) + 1, 1)
-    np.add.at(change, (intervals & LOW) + 1, -1)
-    edges = np.flatnonzero(np.diff((np.cumsum(change) > 0).astype(np.int8)))
-    runs = [(lo, hi) for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist())
-            if hi - lo >= min_words]
+    intervals (start << 32 | stop) cover; ``read`` is the text's ``_read_each``."""
+    starts, _, last = next(_read_each([text])) if read is None else read
+    runs: list = []
+    for at in sorted(intervals.tolist()):
+        lo, hi = at >> 32, at & LOW
+        if runs and lo <= runs[-1][1]:
+            runs[-1][1] = max(hi, runs[-1][1])
+        else:
+            runs.append([lo, hi])
+    runs = [(lo, hi) for lo, hi in runs if hi - lo >= min_words]
     lost = sum(hi - lo for lo, hi in runs)
     if not runs:
         return text, 0, 0, 0
@@ -552,9 +580,11 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     @F.pandas_udf(out_type)
     def cut(values: pd.Series, at: pd.Series, side: pd.Series, shift: pd.Series,
             words: pd.Series) -> pd.DataFrame:
+        read = _read_each([v or "" for v in values])
         return pd.DataFrame(
-            [(None, 0, 0, 0) if v is None else remove(v, extend(v, *some))
-             for v, *some in zip(values, at, side, shift, words)], columns=out_type.names)
+            [(None, 0, 0, 0) if v is None else remove(v, extend(v, *some), read=one)
+             for one, v, *some in zip(read, values, at, side, shift, words)],
+            columns=out_type.names)
     value = F.col("row")[text]
     done = (rows.join(found, "key", "left")
             .select("row", cut(F.when(F.col("edges").isNotNull(), value), "edges.at",

@@ -1,6 +1,7 @@
 """Deleted runs against brute force; the winnowing guarantee; defined results."""
 
 import random
+from unittest.mock import patch
 
 import numpy as np
 from helpers import SF, awkward, documents, empty, sentence
@@ -201,6 +202,36 @@ def test_words_and_unit_ends_are_read_like_by_split(text):
     assert winnow._ends(ends).tolist() == [0, *np.cumsum(sizes, dtype=int).tolist()]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aÉ. \n\x1f\x85\u2003\u3000\U0001f600", max_size=12), max_size=6),
+       st.integers(1, 30))
+def test_texts_read_side_by_side_are_read_like_alone(texts, chars):
+    with patch.object(winnow, "BATCH_CHARS", chars):
+        each = [[x.tolist() for x in read] for read in winnow._read_each(texts)]
+    assert each == [[x.tolist() for x in winnow._read(t)[1:]] for t in texts]
+
+
+def test_places_meet_repeated_fingerprints_without_a_sort(spark):
+    """Sorting all fingerprints was the dearest step of the join; it is by hash, and the
+    stored repeated places are what it gives."""
+    prints = spark.range(20000).selectExpr("id % 15000 AS fp", "id AS doc", "id AS place", "0 AS length")
+    plans = []
+
+    def stored(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+    real = winnow.stored
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with patch.object(winnow, "stored", stored):
+            assert winnow.matches(prints).count() == 5000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = dict(plans)["repeated-places"]
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+
+
 def test_first_holder_with_other_neighbours_does_not_hide_a_run(spark):
     """A, B, C repeat between two later documents; the first holder of B, C has X before."""
     rng = random.Random(13)
