@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from unittest.mock import patch
 
 import pytest
 
@@ -70,6 +71,28 @@ def test_only_touched_orders_are_counted(spark, make_sales):
     same(first, make_sales(*old))                       # the state before is as it was
 
 
+def test_a_step_moves_old_pairs_only_where_they_count(spark, make_sales):
+    """Pairs of promotions that were valid when they came, and orders that do not come again,
+    are looked up no more."""
+    day = [dt.date(2022, 5, 1) + dt.timedelta(k) for k in range(8)]
+    lines = [make_sales(*[dict(order_id=f"{k}-{i}" if i else None, order_date=day[k + i % 3],
+                               promotion_ids=f"A,B,C{i}") for i in range(60)]) for k in (0, 3)]
+    names = {}
+
+    def stored(df, name):
+        names[name] = real(df, name)
+        return names[name]
+    real = promotion_state.stored
+    first = promotion_state.advance(promotion_state.PromotionState(), lines[0])
+    old = first.pairs(spark)
+    assert {r["promotion_id"] for r in old.filter("valid").collect()} == {"A", "B"}
+    with patch.object(promotion_state, "stored", stored):
+        second = promotion_state.advance(first, lines[1])
+    assert [r["order_id"] for r in names["orders-again"].collect()] == [None]
+    assert names["known-pairs"].count() == 3 and old.count() == 180
+    same(second, lines[0].union(lines[1]))
+
+
 def test_no_lines(spark, make_sales):
     none = make_sales(dict()).limit(0)
     state = promotion_state.replay([none, make_sales(*sales(5, 60)), none])
